@@ -1,0 +1,63 @@
+"""Table writers: full rebuilds and rebuilds of a window of days."""
+
+from __future__ import annotations
+
+import datetime as dt
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def window_start(as_of: dt.date, days: int) -> dt.date:
+    """First day of a window of ``days`` days before ``as_of``, plus ``as_of`` itself."""
+    return as_of - dt.timedelta(days=days)
+
+
+def in_window(day: str, as_of: dt.date, days: int) -> Column:
+    return F.col(day).between(F.lit(window_start(as_of, days)), F.lit(as_of))
+
+
+def overwrite(df: DataFrame, path: str, partition: str | None = None) -> None:
+    """Replace the whole table.
+
+    A partitioned table is rebalanced by its partition first: few files per day, and
+    adaptive execution splits the days that are larger than the others.
+    """
+    if partition is None:
+        df.write.mode("overwrite").parquet(path)
+        return
+    df.hint("rebalance", partition).write.mode("overwrite").partitionBy(partition).parquet(path)
+
+
+def overwrite_days(df: DataFrame, path: str, partition: str) -> None:
+    """Replace only the days that ``df`` has rows for."""
+    (
+        df.hint("rebalance", partition)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition)
+        .parquet(path)
+    )
+
+
+def rebuild_window(
+    build: Callable[[DataFrame], DataFrame],
+    source: DataFrame,
+    path: str,
+    *,
+    source_day: str,
+    day: str,
+    as_of: dt.date,
+    late_days: int,
+    lookback_days: int = 0,
+) -> None:
+    """Rebuild the days from ``as_of - late_days`` to ``as_of`` of the table at ``path``.
+
+    ``build`` maps source rows to table rows. With a lookback (I8) it reads that many
+    more days of the source, but only the window is written. Whole days are replaced,
+    so rows whose source is gone disappear as well. A day that lost all of its rows is
+    not touched, as a batch without rows says nothing about a day.
+    """
+    recent = source.filter(in_window(source_day, as_of, late_days + lookback_days))
+    overwrite_days(build(recent).filter(in_window(day, as_of, late_days)), path, day)
