@@ -83,15 +83,19 @@ def sessionise(
     *,
     gap_micros: int = 30 * 60 * 1_000_000,
     tie_breakers: Sequence[str] = (),
+    latest_before: Mapping[str, Column] | None = None,
+    total: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Number the visits of each user (G1): a pause longer than the gap opens a new one.
 
     Adds ``session_number``, ``session_first_micros`` and ``opens_session``. A pause of
-    exactly the gap does not end a session.
+    exactly the gap does not end a session. Other running values of the user can be
+    taken along in the same pass.
     """
     order = [micros, *tie_breakers]
     bucket = day_bucket(micros)
-    hits = running(df, [user], bucket, order, latest_before={"_previous": F.col(micros)})
+    before = {"_previous": F.col(micros), **(latest_before or {})}
+    hits = running(df, [user], bucket, order, latest_before=before, total=total)
     opens = F.col("_previous").isNull() | (F.col(micros) - F.col("_previous") > gap_micros)
     hits = hits.withColumn("opens_session", opens).drop("_previous")
     return running(

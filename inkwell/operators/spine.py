@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -13,9 +13,10 @@ def day_range(events: DataFrame, day: str = "event_date_dt") -> DataFrame:
     return events.agg(F.min(day).alias("first_day"), F.max(day).alias("last_day"))
 
 
-def day_spine(bounds: DataFrame) -> DataFrame:
-    days = F.sequence("first_day", "last_day", F.expr("interval 1 day"))
-    return bounds.select(F.explode(days).alias("as_of_date"))
+def day_spine(bounds: Column, spark: SparkSession) -> DataFrame:
+    """One row per day between the two days of ``bounds``."""
+    days = F.sequence(bounds["first_day"], bounds["last_day"], F.expr("interval 1 day"))
+    return spark.range(1).select(F.explode(days).alias("as_of_date"))
 
 
 def as_of_counts(bounds: DataFrame, rows: DataFrame, dates: Mapping[str, Column]) -> DataFrame:
@@ -26,8 +27,9 @@ def as_of_counts(bounds: DataFrame, rows: DataFrame, dates: Mapping[str, Column]
     day on.
     """
     marks = F.array(*[F.struct(F.lit(n).alias("name"), d.alias("day")) for n, d in dates.items()])
-    first = bounds.select("first_day").scalar()
-    last = bounds.select("last_day").scalar()
+    # The same subquery each time, so Spark computes it once.
+    limits = bounds.select(F.struct("first_day", "last_day")).scalar()
+    first, last = limits["first_day"], limits["last_day"]
     per_day = (
         rows.select(F.explode(marks).alias("mark"))
         .select("mark.name", F.greatest(F.col("mark.day"), first).alias("as_of_date"), "mark.day")
@@ -38,4 +40,4 @@ def as_of_counts(bounds: DataFrame, rows: DataFrame, dates: Mapping[str, Column]
     # One row per calendar day, so this unpartitioned window stays tiny.
     to_date = Window.orderBy("as_of_date").rowsBetween(Window.unboundedPreceding, 0)
     totals = [F.coalesce(F.sum(f"_{n}").over(to_date), F.lit(0)).cast("bigint").alias(n) for n in dates]
-    return day_spine(bounds).join(per_day, "as_of_date", "left").select("as_of_date", *totals)
+    return day_spine(limits, bounds.sparkSession).join(per_day, "as_of_date", "left").select("as_of_date", *totals)

@@ -69,7 +69,7 @@ def session_days(staged: DataFrame, config: EngineConfig) -> DataFrame:
     tagged = browsing & (F.col("event_source") != fixed.DIRECT_SOURCE)
     order = hit_order()
     first_values = F.struct(*[F.col(hit).alias(name) for name, hit in FIRST_VALUES.items()])
-    days = staged.groupBy("stream_id", "client_key", "session_key", "event_date_dt").agg(
+    days = staged.groupBy("session_key", "event_date_dt", "client_key", "stream_id").agg(
         F.max("user_id").alias("user_id"),
         F.min("event_timestamp").alias("session_partition_min_timestamp"),
         F.count_if(F.col("event_name") == "page_view").alias("session_partition_count_page_views"),

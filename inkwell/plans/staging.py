@@ -15,14 +15,15 @@ from inkwell.functions.readers import export_date, flag, normalise_event_name
 from inkwell.functions.records import flat_records
 from inkwell.operators.dedup import first_copy
 
+# The sort before the shuffle compares these in turn; the most distinct ones come first.
 _IDENTITY = (
+    "event_timestamp",
+    "params_digest",
     "event_date_dt",
     "stream_id",
     "user_pseudo_id",
     "session_id",
     "event_name",
-    "event_timestamp",
-    "params_digest",
 )
 _STANDARD_PARAMETERS = (
     Parameter("page_location"),
@@ -65,17 +66,18 @@ def parameter_columns(parameters: Sequence[Parameter]) -> dict:
 
 
 def base_events(export: DataFrame, config: EngineConfig) -> DataFrame:
-    """Flat, typed and deduplicated hits."""
+    """Flat, typed and deduplicated hits.
+
+    Parameters are read out after the deduplication: the shuffle then carries their
+    array once, and not the values found in it as well.
+    """
     pairs = F.col("event_params")
     columns = {
         "event_date_dt": export_date(F.col("event_date")),
         "event_name": normalise_event_name(F.col("event_name")),
         **{name: F.col(name) for name in _PASSED_ON},
         **flat_records(),
-        "property_id": F.lit(config.property_id).cast("bigint"),
         "session_id": session_id(pairs),
-        "session_engaged": session_engaged(pairs),
-        **parameter_columns(_STANDARD_PARAMETERS),
         "is_page_view": flag(F.col("event_name") == "page_view"),
         "is_purchase": flag(F.col("event_name") == "purchase"),
         "params_digest": keys.params_digest(pairs),
@@ -84,7 +86,14 @@ def base_events(export: DataFrame, config: EngineConfig) -> DataFrame:
         *[column.alias(name) for name, column in columns.items()]
     )
     order = ("batch_page_id", "batch_ordering_id", "batch_event_index")
-    return first_copy(hits, _IDENTITY, [F.col(name).asc_nulls_last() for name in order])
+    hits = first_copy(hits, _IDENTITY, [F.col(name).asc_nulls_last() for name in order])
+    return hits.withColumns(
+        {
+            "property_id": F.lit(config.property_id).cast("bigint"),
+            "session_engaged": session_engaged(pairs),
+            **parameter_columns(_STANDARD_PARAMETERS),
+        }
+    )
 
 
 def staged_events(base: DataFrame, config: EngineConfig) -> DataFrame:

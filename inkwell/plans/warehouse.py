@@ -47,6 +47,9 @@ class Warehouse:
     def __post_init__(self) -> None:
         # Days are cut in UTC, whatever the machine's zone.
         self.spark.conf.set("spark.sql.session.timeZone", "UTC")
+        # The export has some hundred columns. Java never compiles methods of more than
+        # 8000 bytes, so above that Spark is to split the projection into smaller ones.
+        self.spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
 
     def relation(self, name: str) -> DataFrame:
         if name in self.inputs:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwell.operators.joins import lookup
-from inkwell.operators.ordered import day_bucket, running, sessionise
+from inkwell.operators.ordered import sessionise
 from inkwell.sources import schemas
 
 GAP_MICROS = 12 * 60 * 60 * 1_000_000
@@ -93,14 +93,14 @@ def user_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = hits.withColumn(
         "location", F.concat(F.lit(ARTICLE_PAGE), F.col("article").cast("string"), suffix)
     )
-    hits = sessionise(hits, "user_id", "micros", gap_micros=GAP_MICROS, tie_breakers=["event_id"])
     buys = (F.col("name") == "subscribe") & (F.col("user_id") % 3 == 0)
     viewed = F.when(F.col("name") == "page_view", F.col("micros"))
-    hits = running(
+    hits = sessionise(
         hits,
-        ["user_id"],
-        day_bucket("micros"),
-        ["micros", "event_id"],
+        "user_id",
+        "micros",
+        gap_micros=GAP_MICROS,
+        tie_breakers=["event_id"],
         latest_before={"last_view": viewed, "last_location": F.col("location")},
         total={"buys": buys.cast("bigint")},
     )
@@ -124,11 +124,14 @@ def user_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _accounts(hits: DataFrame) -> DataFrame:
-    """Accounts of the users whose number is a multiple of three, with their key."""
+def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounts of the users whose number is a multiple of three."""
     id_ = F.col("user_id")
-    bought = F.max(F.when(F.col("name") == "subscribe", F.to_date(F.timestamp_micros("micros"))))
-    users = hits.filter(id_ % 3 == 0).groupBy("user_id").agg(bought.alias("bought"))
+    subscribes = _event_name(F.col("event_type"), F.col("k")) == "subscribe"
+    first = F.min(F.when(subscribes, F.col("micros")))
+    bought = F.to_date(F.timestamp_micros(first))
+    users = driver_events(spark, sf_dir).filter(id_ % 3 == 0)
+    users = users.groupBy("user_id").agg(bought.alias("bought"))
     late = F.date_add(F.lit("2024-01-10").cast("date"), (id_ % 15).cast("int"))
     subscribed = F.coalesce(F.col("bought"), F.when(id_ % 12 == 0, late))
     tier = F.when(id_ % 9 == 0, "digital-only").when(id_ % 9 == 3, "basic").otherwise("premium")
@@ -136,7 +139,6 @@ def _accounts(hits: DataFrame) -> DataFrame:
     has = F.col("subscription_date").isNotNull()
     churned = F.when(id_ % 5 == 0, F.date_add("subscription_date", 7))
     return users.select(
-        id_.alias("number"),
         id_.cast("string").alias("user_id"),
         F.concat(F.lit("u"), id_.cast("string")).alias("user_pseudo_id"),
         F.date_add(F.lit("2024-01-01").cast("date"), (id_ % 10).cast("int")).alias("registration_date"),
@@ -148,10 +150,6 @@ def _accounts(hits: DataFrame) -> DataFrame:
     )
 
 
-def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _accounts(user_hits(spark, sf_dir)).drop("number")
-
-
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").filter("doc_id < 38")
     id_ = F.col("doc_id")
@@ -174,16 +172,29 @@ def _country(id_: Column) -> Column:
     return F.get(F.array(*[F.lit(n) for n in names]), (id_ % 5).cast("int"))
 
 
-def _pair(key: str, *, text: Column | None = None, whole: Column | None = None, real: Column | None = None) -> Column:
-    """A key/value entry, or null when its value is null."""
-    value = F.struct(
-        (text if text is not None else F.lit(None)).cast("string").alias("string_value"),
-        (whole if whole is not None else F.lit(None)).cast("bigint").alias("int_value"),
-        (real if real is not None else F.lit(None)).cast("double").alias("float_value"),
-        F.lit(None).cast("double").alias("double_value"),
-    )
+def _pair(
+    key: str,
+    *,
+    text: Column | None = None,
+    whole: Column | None = None,
+    real: Column | None = None,
+    stamp: Column | None = None,
+) -> Column:
+    """A list with one key/value entry, or an empty one when the value is null."""
+    none = F.lit(None)
+    fields = [
+        (text if text is not None else none).cast("string").alias("string_value"),
+        (whole if whole is not None else none).cast("bigint").alias("int_value"),
+        (real if real is not None else none).cast("double").alias("float_value"),
+        none.cast("double").alias("double_value"),
+    ]
+    pairs = schemas.PARAMS
+    if stamp is not None:
+        fields.append(stamp.alias("set_timestamp_micros"))
+        pairs = schemas.USER_PROPERTIES
     given = next(v for v in (text, whole, real) if v is not None)
-    return F.when(given.isNotNull(), F.struct(F.lit(key).alias("key"), value.alias("value")))
+    entry = F.array(F.struct(F.lit(key).alias("key"), F.struct(*fields).alias("value")))
+    return F.when(given.isNotNull(), entry.cast(pairs)).otherwise(F.array().cast(pairs))
 
 
 def _params() -> Column:
@@ -263,7 +274,7 @@ def _params() -> Column:
         _pair("file_extension", text=F.when(download, "pdf")),
         _pair("link_text", text=F.when(download & hit, "Download")),
     ]
-    return F.array_compact(F.array(*entries)).cast(schemas.PARAMS)
+    return F.flatten(F.array(*entries))
 
 
 def _properties(micros: Column) -> Column:
@@ -275,24 +286,15 @@ def _properties(micros: Column) -> Column:
         & (F.col("churn_date").isNull() | (F.col("churn_date") > day))
     )
     login = F.col("login").isNotNull()
-    entries = [
-        _pair("subscriber_status", text=F.when(login, F.when(active, "subscriber").otherwise("registered"))),
-        _pair("subscription_tier", text=F.when(login & active, F.col("subscription_tier"))),
-    ]
-    stamped = F.transform(
-        F.array_compact(F.array(*entries)),
-        lambda p: F.struct(
-            p["key"].alias("key"),
-            F.struct(
-                p["value"]["string_value"].alias("string_value"),
-                p["value"]["int_value"].alias("int_value"),
-                p["value"]["float_value"].alias("float_value"),
-                p["value"]["double_value"].alias("double_value"),
-                micros.alias("set_timestamp_micros"),
-            ).alias("value"),
-        ),
+    status = F.when(login, F.when(active, "subscriber").otherwise("registered"))
+    return F.flatten(
+        F.array(
+            _pair("subscriber_status", text=status, stamp=micros),
+            _pair(
+                "subscription_tier", text=F.when(login & active, F.col("subscription_tier")), stamp=micros
+            ),
+        )
     )
-    return stamped.cast(schemas.USER_PROPERTIES)
 
 
 def _record(schema, **values: Column) -> Column:
@@ -332,7 +334,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     user = F.col("user_id")
     logged_in = (user % 3 == 0) & ((F.col("name") == "subscribe") | (F.pmod(F.col("k"), F.lit(4)) != 0))
     rows = rows.withColumn("login", F.when(logged_in, user.cast("string")))
-    people = _accounts(base).select(
+    people = accounts(spark, sf_dir).select(
         F.col("user_id").alias("login"), "subscription_tier", "subscription_date", "churn_date"
     )
     rows = lookup(rows, people, "login", ["row_id"])
