@@ -11,7 +11,7 @@ _SPREAD = 4096
 
 
 def lookup(facts: DataFrame, table: DataFrame, key: str, spread_by: Sequence[str]) -> DataFrame:
-    """Left join on a text key that is null for many rows.
+    """Left join on a key that is null for many rows.
 
     No broadcast is forced: Spark broadcasts the table while its measured size is below
     the session's threshold and shuffles both sides beyond it. For that second case the
@@ -20,5 +20,6 @@ def lookup(facts: DataFrame, table: DataFrame, key: str, spread_by: Sequence[str
     adaptive skew handling, since the result of the join has no required distribution.
     """
     spread = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*spread_by), F.lit(_SPREAD)).cast("string"))
-    keyed = facts.withColumn("_lookup", F.coalesce(F.col(key), spread))
-    return keyed.join(table.withColumnRenamed(key, "_lookup"), "_lookup", "left").drop("_lookup")
+    keyed = facts.withColumn("_lookup", F.coalesce(F.col(key).cast("string"), spread))
+    named = table.withColumn("_lookup", F.col(key).cast("string")).drop(key)
+    return keyed.join(named, "_lookup", "left").drop("_lookup")

@@ -11,7 +11,7 @@ from inkwell.functions.keys import hit_order
 from inkwell.functions.params import column_name, param
 from inkwell.operators.firsts import earliest, newest, unpack
 
-_EVENT_VALUES = (
+EVENT_VALUES = (
     *[f"geo_{name}" for name in fixed.GEO_FIELDS],
     *[f"device_{name}" for name in fixed.DEVICE_TEXT_FIELDS],
     "device_is_limited_ad_tracking",
@@ -57,7 +57,7 @@ def user_properties(staged: DataFrame, config: EngineConfig) -> DataFrame:
 
 def client_first_last_events(staged: DataFrame) -> DataFrame:
     """Place, device and campaign of the first and last hit of each client (M8)."""
-    values, order = F.struct(*_EVENT_VALUES), hit_order()
+    values, order = F.struct(*EVENT_VALUES), hit_order()
     ends = (
         _known(staged)
         .groupBy("client_key")
@@ -72,8 +72,8 @@ def client_first_last_events(staged: DataFrame) -> DataFrame:
         F.col("first.event_key").alias("first_event"),
         F.col("last.event_key").alias("last_event"),
         "stream_id",
-        *unpack("first.values", {name: f"first_{name}" for name in _EVENT_VALUES}),
-        *unpack("last.values", {name: f"last_{name}" for name in _EVENT_VALUES}),
+        *unpack("first.values", {name: f"first_{name}" for name in EVENT_VALUES}),
+        *unpack("last.values", {name: f"last_{name}" for name in EVENT_VALUES}),
     )
 
 

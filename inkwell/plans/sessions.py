@@ -16,6 +16,7 @@ from inkwell.functions import channels
 from inkwell.functions.keys import hit_order
 from inkwell.functions.params import column_name
 from inkwell.operators.firsts import earliest
+from inkwell.operators.joins import lookup
 from inkwell.operators.ordered import day_bucket, running
 
 # First value of the visit: output column -> column of the hit.
@@ -104,7 +105,8 @@ def session_traffic_sources(days: DataFrame, categories: DataFrame) -> DataFrame
         F.col("browsing_timestamp").alias("session_partition_timestamp"),
         "tagged.*",
     )
-    visits = visits.join(categories.withColumnRenamed("source", "event_source"), "event_source", "left")
+    named = categories.withColumnRenamed("source", "event_source")
+    visits = lookup(visits, named, "event_source", ["session_partition_key"])
     tagged = F.col("event_source").isNotNull()
     channel = channels.default_channel(
         F.col("event_source"), F.col("event_medium"), F.col("source_category"), F.col("event_campaign")

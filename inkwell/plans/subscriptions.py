@@ -11,6 +11,7 @@ from inkwell.functions.params import param
 from inkwell.functions.readers import micros_to_date, micros_to_timestamp, reader_state
 from inkwell.functions.urls import article_number
 from inkwell.operators.firsts import earliest, newest
+from inkwell.operators.joins import lookup
 from inkwell.operators.ordered import DAY_MICROS
 
 _PLACE = (
@@ -179,9 +180,9 @@ def subscription_rows(
         .join(first_walls(touches), "user_id", "left")
         .join(prior_walls(journey, purchases), "user_id", "left")
         .join(campaigns, "user_id", "left")
-        .join(read_article, "last_article_id", "left")
-        .join(wall_article, "paywall_article_id", "left")
     )
+    rows = lookup(rows, read_article, "last_article_id", ["user_id"])
+    rows = lookup(rows, wall_article, "paywall_article_id", ["user_id"])
     subscribed = F.col("subscription_date")
 
     def days_since(micros: str):

@@ -22,9 +22,16 @@ class Relation:
 
 
 def table_root(spark: SparkSession) -> str:
-    """Folder for written tables: the shared one of the cluster, if it names one."""
+    """Folder for written tables: the shared one the cluster names.
+
+    Only a local session, as in tests, may do without and gets a temporary folder.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared or tempfile.mkdtemp(prefix='inkwell-')}/inkwell/{spark.sparkContext.applicationId}"
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder")
+        shared = tempfile.mkdtemp(prefix="inkwell-")
+    return f"{shared.rstrip('/')}/inkwell/{spark.sparkContext.applicationId}"
 
 
 @dataclass

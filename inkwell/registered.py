@@ -21,7 +21,7 @@ from inkwell.functions.params import param
 from inkwell.functions.readers import reader_tier, reader_type
 from inkwell.operators.joins import lookup
 from inkwell.operators.ordered import sessionise
-from inkwell.plans import articles, metrics, quality, sessions, staging, subscriptions
+from inkwell.plans import articles, clients, metrics, quality, sessions, staging, subscriptions
 from inkwell.plans.cubes import CUBES
 from inkwell.plans.dashboards import NAMED_QUERIES, named_query
 from inkwell.plans.metrics import DateRange, MetricQuery, metric_query
@@ -205,9 +205,7 @@ def _records(w: Warehouse) -> DataFrame:
         "privacy_info_analytics_storage privacy_info_ads_storage app_info_id user_ltv_revenue "
         "user_ltv_currency collected_traffic_source_gclid"
     ).split()
-    values = [name.removeprefix("first_") for name in w.relation("client_first_last_events").columns]
-    values = [name for name in values if name.startswith(("geo_", "device_", "user_"))]
-    return _with_row_id(w.relation("base_events"), *columns, *values)
+    return _with_row_id(w.relation("base_events"), *columns, *clients.EVENT_VALUES)
 
 
 def _keys(w: Warehouse) -> DataFrame:
