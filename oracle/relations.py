@@ -147,9 +147,9 @@ RELATIONS["art!"] = """
   SELECT CAST(doc_id AS INTEGER) AS article_id, 'Document ' || doc_id AS title,
     CASE doc_id % 4 WHEN 0 THEN 'politics' WHEN 1 THEN 'sports' WHEN 2 THEN 'culture' ELSE 'lifestyle' END AS section,
     'author-' || (doc_id % 12) AS author,
-    TIMESTAMP '2023-12-25 08:00:00' + to_hours(CAST(doc_id * 12 AS INTEGER)) AS published_at,
+    TIMESTAMP '2023-12-25 08:00:00' + to_hours(CAST(doc_id % 1000 * 12 AS INTEGER)) AS published_at,
     CAST(floor(n_chars / 6) AS INTEGER) AS word_count, doc_id % 10 = 0 AS is_breaking, doc_id % 5 = 0 AS has_video
-  FROM documents WHERE doc_id < 38"""
+  FROM documents WHERE doc_id NOT IN (38, 39)"""
 RELATIONS["cat"] = "SELECT * FROM (VALUES " + ", ".join(f"('{s}', '{c}')" for s, c in CATEGORIES.items()) + (
     ") AS c(source, source_category)"
 )
