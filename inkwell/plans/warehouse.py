@@ -38,6 +38,9 @@ def table_root(spark: SparkSession) -> str:
 class Warehouse:
     """Relations over one set of inputs.
 
+    Inputs are read where they lie. Those named in ``computed`` are not stored yet and
+    are written like the tables below.
+
     ``relation`` composes a relation lazily from the tables below it; ``table`` writes
     it once and reads it back. Deduplicating and keying the export is the most expensive
     step, so all marts start from the written staged events, and metric queries start
@@ -49,6 +52,7 @@ class Warehouse:
     inputs: dict[str, Callable[[], DataFrame]]
     config: EngineConfig
     root: str
+    computed: frozenset[str] = frozenset()
     _tables: dict[str, DataFrame] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
@@ -64,10 +68,12 @@ class Warehouse:
         return RELATIONS[name].build(self)
 
     def table(self, name: str) -> DataFrame:
+        if name in self.inputs and name not in self.computed:
+            return self.inputs[name]()
         if name not in self._tables:
             df = self.relation(name)
             path = f"{self.root}/{name}"
-            overwrite(df, path, INPUT_DAYS.get(name) if name in self.inputs else RELATIONS[name].day)
+            overwrite(df, path, INPUT_DAYS.get(name) if name in self.computed else RELATIONS[name].day)
             self._tables[name] = self.spark.read.schema(df.schema).parquet(path)
         return self._tables[name]
 

@@ -62,7 +62,8 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
             ),
         }
         root = f"{table_root(spark)}/{len(_warehouses)}"
-        _warehouses[key] = Warehouse(spark, inputs, CONFIG, root)
+        computed = frozenset({"events", "articles", "accounts"})
+        _warehouses[key] = Warehouse(spark, inputs, CONFIG, root, computed)
     return _warehouses[key]
 
 
