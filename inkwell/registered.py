@@ -293,6 +293,7 @@ def _staged_events(w: Warehouse) -> DataFrame:
 
 
 def _sessionise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    warehouse(spark, sf_dir)  # sets the session to UTC
     hits = derived.driver_events(spark, sf_dir)
     visits = sessionise(hits, "user_id", "micros", tie_breakers=["event_id"])
     return plain(visits.select("event_id", "user_id", "session_number"))
