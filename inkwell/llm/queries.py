@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm import chat_render, filter_cascade, line_quality
-from inkwell.llm.common import table
+from inkwell.llm import chat_render, dp_packing, filter_cascade, line_quality, pairwise_quality
+from inkwell.llm.common import crc_mod, table
 from inkwell.llm.filter_cascade import Rule
 
 URL_RULES = [
@@ -51,6 +51,30 @@ def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tokenizer_files() -> dict[str, str]:
+    """The byte-level vocabulary in both its formats, and its pattern of words."""
+    import public_tokenizers
+
+    return {
+        "tokenizer": public_tokenizers.path("byte_bpe_50k.json"),
+        "ranks": public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        "pattern": public_tokenizers.PATTERN,
+    }
+
+
+def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dp_packing.pack(docs, **tokenizer_files()).drop("ids")
+
+
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = pairwise_quality.learn(docs, table(spark, sf_dir, "labels"))
+    return pairwise_quality.scored(docs, model).select(
+        "doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score", "predicted"
+    )
+
+
 URL_SQL = """
 WITH parts AS (
   SELECT page_id,
@@ -111,6 +135,8 @@ def queries() -> dict[str, Query]:
         "op5_url_filter": url_filter,
         "op6_quality_rules": quality_rules,
         "op7_chat_format": chat_format,
+        "op8_packing": packing,
+        "op9_quality_classifier": quality_classifier,
     }
 
 
