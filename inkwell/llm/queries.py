@@ -11,7 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm import chat_render, dp_packing, filter_cascade, line_quality, pairwise_quality
+from inkwell.llm import (
+    chat_render,
+    dp_packing,
+    filter_cascade,
+    line_quality,
+    pairwise_quality,
+    pitman_yor,
+)
 from inkwell.llm.common import crc_mod, table
 from inkwell.llm.filter_cascade import Rule
 
@@ -75,6 +82,12 @@ def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = pitman_yor.in_fold("doc_id", 7, 2)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out.alias("held_out"))
+    return pitman_yor.score(docs, ~F.col("held_out"))
+
+
 URL_SQL = """
 WITH parts AS (
   SELECT page_id,
@@ -137,6 +150,7 @@ def queries() -> dict[str, Query]:
         "op7_chat_format": chat_format,
         "op8_packing": packing,
         "op9_quality_classifier": quality_classifier,
+        "op10_language_model": language_model,
     }
 
 
