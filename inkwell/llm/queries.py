@@ -16,6 +16,7 @@ from inkwell.llm import (
     dp_packing,
     filter_cascade,
     line_quality,
+    order_minhash,
     pairwise_quality,
     pitman_yor,
 )
@@ -88,6 +89,11 @@ def language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pitman_yor.score(docs, ~F.col("held_out"))
 
 
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return order_minhash.classes(docs).select("doc_id", "class_id", "class_size")
+
+
 URL_SQL = """
 WITH parts AS (
   SELECT page_id,
@@ -145,6 +151,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def queries() -> dict[str, Query]:
     return {
+        "op4_near_duplicates": near_duplicates,
         "op5_url_filter": url_filter,
         "op6_quality_rules": quality_rules,
         "op7_chat_format": chat_format,
