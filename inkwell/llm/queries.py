@@ -18,7 +18,9 @@ from inkwell.llm import (
     line_quality,
     order_minhash,
     pairwise_quality,
+    pii_sanitise,
     pitman_yor,
+    template_decontamination,
 )
 from inkwell.llm.common import crc_mod, table
 from inkwell.llm.filter_cascade import Rule
@@ -94,6 +96,19 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.classes(docs).select("doc_id", "class_id", "class_size")
 
 
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return template_decontamination.leaks(docs, table(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
+def pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii_sanitise.sanitise(docs).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", "n_term",
+        F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"), "spans",
+    )
+
+
 URL_SQL = """
 WITH parts AS (
   SELECT page_id,
@@ -151,6 +166,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_decontamination": decontamination,
+        "op3_pii": pii,
         "op4_near_duplicates": near_duplicates,
         "op5_url_filter": url_filter,
         "op6_quality_rules": quality_rules,
