@@ -42,7 +42,7 @@ class NearDuplicates:
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
+def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective mix of 64-bit values (a public finaliser)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -72,7 +72,7 @@ def windows(hashes: np.ndarray, k: int) -> np.ndarray:
     size = min(k, n)
     out = np.zeros(n - size + 1, np.uint64)
     for i in range(size):
-        out = _mixed(out * _MIX + hashes[i : n - size + 1 + i] + np.uint64(i + 1))
+        out = mixed(out * _MIX + hashes[i : n - size + 1 + i] + np.uint64(i + 1))
     return out
 
 
@@ -83,7 +83,7 @@ def labelled(grams: np.ndarray) -> np.ndarray:
     first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
     number = np.arange(len(grams)) - np.repeat(first, np.diff(np.append(first, len(grams))))
     out = grams.copy()
-    out[order] = _mixed(ranked + number.astype(np.uint64) * _MIX)
+    out[order] = mixed(ranked + number.astype(np.uint64) * _MIX)
     return out
 
 
@@ -91,7 +91,7 @@ def sketch(grams: np.ndarray, functions: np.ndarray) -> np.ndarray:
     """One value per hash function: the two least labelled windows, in text order."""
     marked = labelled(grams)
     if len(marked) == 1:
-        return _mixed(marked ^ functions)
+        return mixed(marked ^ functions)
     first, second = np.empty_like(functions), np.empty_like(functions)
     for i, f in enumerate(functions):
         hashed = (marked ^ f) * _MIX
@@ -102,15 +102,15 @@ def sketch(grams: np.ndarray, functions: np.ndarray) -> np.ndarray:
         hashed[a] = np.uint64(0xFFFFFFFFFFFFFFFF)
         b = int(hashed.argmin())
         first[i], second[i] = (least, hashed[b]) if a < b else (hashed[b], least)
-    return _mixed(first * np.uint64(3) + second)
+    return mixed(first * np.uint64(3) + second)
 
 
 def buckets(entries: np.ndarray, rows: int) -> np.ndarray:
     """One value per band."""
     out = np.zeros(len(entries) // rows, np.uint64)
     for i in range(rows):
-        out = _mixed(out * _MIX + entries[i::rows][: len(out)])
-    return _mixed(out + np.arange(len(out), dtype=np.uint64) * _MIX).view(np.int64)
+        out = mixed(out * _MIX + entries[i::rows][: len(out)])
+    return mixed(out + np.arange(len(out), dtype=np.uint64) * _MIX).view(np.int64)
 
 
 def edit_distance(a: list, b: list, limit: int) -> int:

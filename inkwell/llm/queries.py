@@ -15,6 +15,7 @@ from inkwell.llm import (
     chat_render,
     dp_packing,
     filter_cascade,
+    license_scan,
     line_quality,
     order_minhash,
     pairwise_quality,
@@ -109,6 +110,10 @@ def pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 URL_SQL = """
 WITH parts AS (
   SELECT page_id,
@@ -166,6 +171,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_license_scan": licenses,
         "op2_decontamination": decontamination,
         "op3_pii": pii,
         "op4_near_duplicates": near_duplicates,
