@@ -25,7 +25,7 @@ UNITS = (
     "litres", "ml", "s", "seconds", "minutes", "hours", "days", "weeks", "months", "years", "km/h",
     "mph", "dollars", "euros", "cents", "degrees", "watts", "volts",
 )
-_NUMBER = r"(?<![\p{L}\p{N}])[$€£]?\d[\d.,]*+"
+_NUMBER = r"(?<![\p{L}\p{N}])[$€£]?\d[\d.,]*(?<=\d)"
 _UNIT = r"(?:" + "|".join(sorted((u for u in UNITS), key=len, reverse=True)) + r")(?![\p{L}\p{N}])"
 _QUANTITY = f"(?i)({_NUMBER})(?:(\\s?)({_UNIT}))?"
 # A capital inside a sentence: the word before ends in no sentence mark.
