@@ -10,9 +10,10 @@ import os
 import sys
 import time
 
+from pyspark.sql import SparkSession
+
 from inkwell import registered
 from inkwell.plans.warehouse import RELATIONS
-from tests.session import local_session
 
 WRITTEN = [
     "events",
@@ -33,6 +34,21 @@ WRITTEN = [
 TIMED = ("m", "d", "mq", "g01", "i01", "i08")
 
 
+def local_session() -> SparkSession:
+    spark = (
+        SparkSession.builder.master(f"local[{os.environ.get('BENCH_CPUS', '8')}]")
+        .appName("inkwell-bench")
+        .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .getOrCreate()
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    return spark
+
+
 def seconds(action) -> float:
     start = time.perf_counter()
     action()

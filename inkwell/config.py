@@ -37,6 +37,8 @@ class EngineConfig:
     start_date: str = "20000101"
     late_days: int = 3
     lookback_days: int = 30
+    # Most days a session goes on after its first; engaged time is read that far back.
+    session_span_days: int = 1
     conversion_events: tuple[str, ...] = ("newsletter_signup",)
     user_properties: tuple[Parameter, ...] = (
         Parameter("subscriber_status"),

@@ -71,7 +71,9 @@ def running(
     joined = tagged.select("*", *[value.alias(name) for name, value in local.items()]).join(
         carry, [*keys, "_bucket"], "left"
     )
-    values = {n: F.coalesce(f"_in_{n}", f"_carry_{n}") for n in latest_before | latest | greatest}
+    values = {n: F.coalesce(f"_in_{n}", f"_carry_{n}") for n in latest_before | latest}
+    # A value of this bucket may be smaller than one carried into it; nulls are skipped.
+    values |= {n: F.greatest(f"_in_{n}", f"_carry_{n}") for n in greatest}
     values |= {n: F.col(f"_in_{n}") + F.coalesce(f"_carry_{n}", F.lit(0)) for n in total}
     return joined.select(*df.columns, *[value.alias(name) for name, value in values.items()])
 

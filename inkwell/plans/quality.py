@@ -44,14 +44,17 @@ def accepted_values(df: DataFrame, column: str, values: Sequence[str], *, level:
     return _result(df.agg(F.count_if(other).alias("failures")), f"accepted_values {column}", level)
 
 
-def control_totals(totals: DataFrame, expected: Mapping[str, float]) -> DataFrame:
-    """Compare the one row of a metric query with exact expected values."""
+def control_totals(totals: DataFrame, expected: Mapping[str, float | Column]) -> DataFrame:
+    """Compare the one row of a metric query with exact expected values.
+
+    Expected values are numbers, or scalars of another way to compute the same total.
+    """
     checks = F.array(
         *[
             F.struct(
                 F.lit(name).alias("check"),
                 F.col(name).cast("double").alias("actual"),
-                F.lit(float(value)).alias("expected"),
+                (value if isinstance(value, Column) else F.lit(value)).cast("double").alias("expected"),
             )
             for name, value in expected.items()
         ]

@@ -2,36 +2,30 @@
 
 from __future__ import annotations
 
-import tempfile
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from inkwell.config import EngineConfig
 from inkwell.plans import articles, clients, pages, sessions, staging, subscriptions
-from inkwell.streaming.incremental import overwrite
+from inkwell.streaming.incremental import in_window, overwrite, replace_window
 
 
 @dataclass(frozen=True)
 class Relation:
-    """How a relation is built, and the day column its table is partitioned by."""
+    """How a relation is built, and the day column its table is partitioned by.
+
+    ``lookback``: days before a window that its rows depend on; None for a relation whose rows
+    depend on the whole history, which is always built anew.
+    """
 
     build: Callable[[Warehouse], DataFrame]
     day: str | None = None
-
-
-def table_root(spark: SparkSession) -> str:
-    """Folder for written tables: the shared one the cluster names.
-
-    Only a local session, as in tests, may do without and gets a temporary folder.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a shared folder")
-        shared = tempfile.mkdtemp(prefix="inkwell-")
-    return f"{shared.rstrip('/')}/inkwell/{spark.sparkContext.applicationId}"
+    lookback: Callable[[EngineConfig], int | None] = lambda config: 0
 
 
 @dataclass
@@ -56,11 +50,8 @@ class Warehouse:
     _tables: dict[str, DataFrame] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
-        # Days are cut in UTC, whatever the machine's zone.
-        self.spark.conf.set("spark.sql.session.timeZone", "UTC")
-        # The export has some hundred columns. Java never compiles methods of more than
-        # 8000 bytes, so above that Spark is to split the projection into smaller ones.
-        self.spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+        if self.spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC", "GMT", "Z"):
+            raise ValueError("days are cut in UTC: set spark.sql.session.timeZone to UTC")
 
     def relation(self, name: str) -> DataFrame:
         if name in self.inputs:
@@ -70,7 +61,7 @@ class Warehouse:
     def table(self, name: str) -> DataFrame:
         if name in self.inputs and name not in self.computed:
             return self.inputs[name]()
-        if name not in self._tables:
+        if name not in self._tables and not self.open(name):
             df = self.relation(name)
             path = f"{self.root}/{name}"
             overwrite(df, path, INPUT_DAYS.get(name) if name in self.computed else RELATIONS[name].day)
@@ -80,6 +71,71 @@ class Warehouse:
     def event_type(self, name: str) -> DataFrame:
         return staging.event_type(self.table("staged_events"), name, self.config)
 
+    def open(self, name: str) -> bool:
+        """Take up the table that an earlier application left below the root, if there is one.
+
+        A table without any file has no schema to read; it is built anew.
+        """
+        path = f"{self.root}/{name}"
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+        if not target.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(target):
+            return False
+        try:
+            self._tables[name] = self.spark.read.parquet(path)
+        except AnalysisException as error:
+            if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                raise
+            return False
+        return True
+
+    def rebuild(self, name: str, as_of: dt.date) -> None:
+        """Bring one table up to date: the days from ``late_days`` before ``as_of`` to ``as_of``
+        of a table with days (I1, I8), the whole of any other (I6).
+
+        A window is built by the relation's own function over tables that are cut to the window
+        and the relation's lookback. Days that lost all their rows go.
+        """
+        kind, path = RELATIONS[name], f"{self.root}/{name}"
+        lookback = kind.lookback(self.config)
+        known = name in self._tables or self.open(name)
+        if not known or kind.day is None or lookback is None:
+            rows = self.relation(name)
+            overwrite(rows, path, kind.day)
+        else:
+            late = self.config.late_days
+            rows = kind.build(_Window(self, as_of, late + lookback)).where(in_window(kind.day, as_of, late))
+            replace_window(rows, path, kind.day, as_of, late)
+        self._tables[name] = self.spark.read.schema(rows.schema).parquet(path)
+
+    def build(self, as_of: dt.date, names: tuple[str, ...] | None = None) -> None:
+        """A daily run: :meth:`rebuild` for the tables, each after those it is made from."""
+        for name in names or STORED:
+            self.rebuild(name, as_of)
+
+
+class _Window:
+    """A warehouse whose tables end where a window begins and ends; the relations see no other."""
+
+    def __init__(self, whole: Warehouse, as_of: dt.date, days: int):
+        self.whole, self.as_of, self.days = whole, as_of, days
+        self.config = whole.config
+
+    def table(self, name: str) -> DataFrame:
+        rows = self.whole.table(name)
+        if name in INPUT_DAYS:
+            first = self.as_of - dt.timedelta(days=self.days)
+            return rows.where(F.col(INPUT_DAYS[name]).between(f"{first:%Y%m%d}", f"{self.as_of:%Y%m%d}"))
+        day = RELATIONS[name].day if name in RELATIONS else None
+        return rows.where(in_window(day, self.as_of, self.days)) if day else rows
+
+    def relation(self, name: str) -> DataFrame:
+        if name in self.whole.inputs:
+            return self.whole.relation(name)
+        return RELATIONS[name].build(self)
+
+    def event_type(self, name: str) -> DataFrame:
+        return staging.event_type(self.table("staged_events"), name, self.config)
+
 
 INPUT_DAYS = {"events": "event_date"}
 
@@ -98,6 +154,7 @@ RELATIONS: dict[str, Relation] = {
     "last_non_direct": Relation(
         lambda w: sessions.last_non_direct(w.table("session_traffic_sources"), w.config),
         "session_partition_date",
+        lambda config: config.lookback_days,
     ),
     "session_conversions": Relation(
         lambda w: sessions.session_conversions(w.table("session_days"), w.config), "session_partition_date"
@@ -143,6 +200,7 @@ RELATIONS: dict[str, Relation] = {
             w.event_type("page_view"), w.table("staged_events"), w.relation("page_engaged_time"), w.config
         ),
         "event_date_dt",
+        lambda config: config.session_span_days,
     ),
     "articles_daily": Relation(
         lambda w: articles.articles_daily(w.table("staged_events"), w.table("articles")), "event_date_dt"
@@ -169,3 +227,21 @@ RELATIONS: dict[str, Relation] = {
         lambda w: subscriptions.subscription_last_touch(w.table("subscription_rows"))
     ),
 }
+
+# The tables of a daily run, each after those it is made from.
+STORED = (
+    "staged_events",
+    "session_days",
+    "session_traffic_sources",
+    "last_non_direct",
+    "session_facts",
+    "session_dimension",
+    "session_activity",
+    "traffic_sources_daily",
+    "pages",
+    "articles_daily",
+    "articles_by_reader_type",
+    "paywall_daily",
+    "paywall_sessions_daily",
+    "subscription_rows",
+)

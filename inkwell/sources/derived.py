@@ -83,7 +83,7 @@ def user_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("k")
     hits = driver_events(spark, sf_dir)
     hits = hits.withColumn("name", _event_name(F.col("event_type"), k)).withColumn(
-        "article", ((F.col("event_id") * 7 + k) % 40).cast("int")
+        "article", ((F.col("event_id") * 7 + k) % _article_numbers(spark, sf_dir)).cast("int")
     )
     suffix = (
         F.when(k % 10 == 0, F.concat(F.lit("?gclid=g"), k.cast("string")))
@@ -124,6 +124,12 @@ def user_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _article_numbers(spark: SparkSession, sf_dir: str) -> Column:
+    """Numbers that hits refer to: those of all documents, and two that the CMS lacks."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return docs.agg((F.max("doc_id") + 3).alias("numbers")).scalar()
+
+
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accounts of the users whose number is a multiple of three."""
     id_ = F.col("user_id")
@@ -151,8 +157,8 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents as articles, but for two that hits refer to and the CMS lacks."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").filter("doc_id not in (38, 39)")
+    """All documents as articles."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     id_ = F.col("doc_id")
     sections = F.array(*[F.lit(s) for s in ("politics", "sports", "culture", "lifestyle")])
     first = F.lit("2023-12-25 08:00:00").cast("timestamp")

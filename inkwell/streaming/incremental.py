@@ -41,6 +41,23 @@ def overwrite_days(df: DataFrame, path: str, partition: str) -> None:
     )
 
 
+def replace_window(df: DataFrame, path: str, day: str, as_of: dt.date, late_days: int) -> None:
+    """Write the days of ``df`` and drop the other days of the window from the table.
+
+    The rows are computed once, into a table beside, from which the days are taken over.
+    """
+    spark, beside = df.sparkSession, f"{path.rstrip('/')}__window"
+    overwrite(df, beside, day)
+    built = spark.read.schema(df.schema).parquet(beside)
+    overwrite_days(built, path, day)
+    written = {r[0] for r in built.select(day).distinct().collect()}
+    window = [as_of - dt.timedelta(days=n) for n in range(late_days + 1)]
+    gone = [f"{path}/{day}={d.isoformat()}" for d in window if d not in written]
+    for folder in (*gone, beside):
+        target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def rebuild_window(
     build: Callable[[DataFrame], DataFrame],
     source: DataFrame,
@@ -56,8 +73,8 @@ def rebuild_window(
 
     ``build`` maps source rows to table rows. With a lookback (I8) it reads that many
     more days of the source, but only the window is written. Whole days are replaced,
-    so rows whose source is gone disappear as well. A day that lost all of its rows is
-    not touched, as a batch without rows says nothing about a day.
+    so rows whose source is gone disappear as well, and so does a day without any rows. A
+    run that broke off is repaired by running it again.
     """
     recent = source.filter(in_window(source_day, as_of, late_days + lookback_days))
-    overwrite_days(build(recent).filter(in_window(day, as_of, late_days)), path, day)
+    replace_window(build(recent).filter(in_window(day, as_of, late_days)), path, day, as_of, late_days)

@@ -743,8 +743,9 @@ def build() -> dict[str, str]:
     q["t06_control_totals"] = over_relations(
         "SELECT u.check AS \"check\", CAST(u.actual AS DOUBLE) AS actual, CAST(u.expected AS DOUBLE) AS expected, "
         "u.actual = u.expected AS passed FROM (SELECT unnest(["
-        "{'check': 'eventsCount', 'actual': count(*), 'expected': 13442}, "
-        "{'check': 'activeUsers', 'actual': count(DISTINCT client_key), 'expected': 147}]) AS u FROM stg)"
+        "{'check': 'eventsCount', 'actual': count(*), 'expected': (SELECT count(*) FROM all_rows)}, "
+        "{'check': 'activeUsers', 'actual': count(DISTINCT client_key), 'expected': "
+        "(SELECT count(DISTINCT number) FROM all_rows WHERE number % 50 <> 49)}]) AS u FROM stg)"
     )
     q["t07_reconciliation"] = over_relations(
         "SELECT 'pages and sessions' AS \"check\", a AS total, b AS other_total, c AS known_gap, a = b + c AS passed FROM "
@@ -752,6 +753,19 @@ def build() -> dict[str, str]:
         "(SELECT CAST(sum(session_partition_count_page_views) AS BIGINT) AS b FROM m11), "
         "(SELECT count(*) AS c FROM pv WHERE session_key IS NULL)"
     )
+    for name, model in {
+        "session_facts": "m11_session_facts_daily",
+        "session_dimension": "m10_session_dimension",
+        "session_traffic_sources": "m01_session_traffic_sources",
+        "last_non_direct": "m02_last_non_direct",
+        "traffic_sources_daily": "m21_traffic_sources_daily",
+        "pages": "m16_pages",
+        "articles_daily": "m17_articles_daily",
+        "articles_by_reader_type": "m18_articles_by_reader_type",
+        "paywall_daily": "m19_paywall_daily",
+        "paywall_sessions_daily": "m20_paywall_sessions_daily",
+    }.items():
+        q[f"i01_{name}"] = q[model]
     return q
 
 

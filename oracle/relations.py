@@ -98,8 +98,8 @@ RELATIONS["raw"] = """
     CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER) AS k
   FROM events WHERE user_id IS NOT NULL"""
 RELATIONS["named"] = """
-  SELECT *, (event_id * 7 + k) % 40 AS article,
-    'https://www.example.com/news/article-' || ((event_id * 7 + k) % 40) ||
+  SELECT *, (event_id * 7 + k) % numbers AS article,
+    'https://www.example.com/news/article-' || ((event_id * 7 + k) % numbers) ||
       CASE k % 10 WHEN 0 THEN '?gclid=g' || k WHEN 1 THEN '?utm_source=x&id=7#top' ELSE '' END AS location,
     CASE event_type
       WHEN 'view' THEN 'page_view'
@@ -111,7 +111,7 @@ RELATIONS["named"] = """
       ELSE CASE WHEN k < 60 THEN 'search' WHEN k < 80 THEN 'video_progress' WHEN k < 90 THEN 'click'
         WHEN k < 95 THEN 'file_download' ELSE 'view_search_results' END
     END AS raw_name
-  FROM raw"""
+  FROM raw, (SELECT max(doc_id) + 3 AS numbers FROM documents)"""
 RELATIONS["gaps"] = """
   SELECT *, CASE WHEN lag(us) OVER w IS NULL OR us - lag(us) OVER w > 43200000000 THEN 1 ELSE 0 END AS opens,
     row_number() OVER (PARTITION BY user_id, raw_name ORDER BY us, event_id) AS nth
@@ -149,7 +149,7 @@ RELATIONS["art!"] = """
     'author-' || (doc_id % 12) AS author,
     TIMESTAMP '2023-12-25 08:00:00' + to_hours(CAST(doc_id % 1000 * 12 AS INTEGER)) AS published_at,
     CAST(floor(n_chars / 6) AS INTEGER) AS word_count, doc_id % 10 = 0 AS is_breaking, doc_id % 5 = 0 AS has_video
-  FROM documents WHERE doc_id NOT IN (38, 39)"""
+  FROM documents"""
 RELATIONS["cat"] = "SELECT * FROM (VALUES " + ", ".join(f"('{s}', '{c}')" for s, c in CATEGORIES.items()) + (
     ") AS c(source, source_category)"
 )

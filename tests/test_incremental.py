@@ -6,12 +6,12 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
+from inkwell import registered
 from inkwell.config import EngineConfig
 from inkwell.plans import sessions
-from inkwell.plans.warehouse import table_root
 from inkwell.sources.readers import read_accounts, read_articles, read_events, read_source_categories
 from inkwell.streaming import incremental
-from tests.rows import DAY, account, article, export, hit, micros, staged
+from tests.rows import DAY, account, article, export, hit, micros, staged, warehouse
 
 START = micros("2024-01-01T12:00:00")
 AS_OF = dt.date(2024, 1, 7)
@@ -71,6 +71,30 @@ def test_rows_whose_source_is_gone_disappear(spark, tmp_path):
     assert by_day(rebuild(spark, path, staged(spark, rows[:1]))) == {"2024-01-06": 1}
 
 
+def test_a_day_without_rows_disappears_as_well(spark, tmp_path):
+    rows = [hit("page_view", START + n * DAY, session=n) for n in (0, 4, 5)]
+    path = str(tmp_path / "facts")
+    incremental.overwrite(facts(staged(spark, rows)), path, "session_partition_date")
+    assert by_day(rebuild(spark, path, staged(spark, rows[:2]))) == {"2024-01-01": 1, "2024-01-05": 1}
+    assert by_day(rebuild(spark, path, staged(spark, rows[:1]))) == {"2024-01-01": 1}
+
+
+def test_a_second_application_finds_the_tables_and_extends_them(spark, tmp_path):
+    rows = [hit("page_view", START + n * DAY, session=n) for n in range(7)]
+    names = ("staged_events", "session_days", "session_facts", "paywall_daily")
+    first = warehouse(spark, tmp_path, rows[:5])
+    first.build(AS_OF - dt.timedelta(days=2), names)
+    before = set(tmp_path.rglob("*.parquet"))
+    again = warehouse(spark, tmp_path, rows)
+    assert by_day(again.table("session_facts")) == {f"2024-01-0{n}": 1 for n in range(1, 6)}
+    assert set(tmp_path.rglob("*.parquet")) == before
+    again.build(AS_OF, names)
+    assert by_day(again.table("session_facts")) == {f"2024-01-0{n}": 1 for n in range(1, 8)}
+    # Only the window was written.
+    kept = {p for p in before if "2024-01-03" in str(p) and "session_partition_date" in str(p)}
+    assert kept and kept <= set(tmp_path.rglob("*.parquet"))
+
+
 def test_lookback_is_read_but_not_written(spark, tmp_path):
     config = EngineConfig(lookback_days=3)
     hits = [
@@ -124,12 +148,21 @@ def test_readers(spark, tmp_path):
     assert tuple(row) == ("google", "SOURCE_CATEGORY_SEARCH")
 
 
+def test_days_are_utc(spark, tmp_path):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            warehouse(spark, tmp_path, [])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_tables_go_to_the_folder_the_cluster_names():
     def session(master, folder):
         conf = SimpleNamespace(get=lambda key, default: folder if key == "spark.checkpoint.dir" else default)
         return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, applicationId="app-1"))
 
-    assert table_root(session("yarn", "/shared/folder/")) == "/shared/folder/inkwell/app-1"
-    assert table_root(session("local[2]", None)).endswith("/inkwell/app-1")
+    assert registered._root(session("yarn", "/shared/folder/")) == "/shared/folder/inkwell/app-1"
+    assert registered._root(session("local[2]", None)).endswith("/inkwell/app-1")
     with pytest.raises(ValueError, match="shared folder"):
-        table_root(session("yarn", None))
+        registered._root(session("yarn", None))

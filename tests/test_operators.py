@@ -60,6 +60,13 @@ def test_greatest_counts_rows_of_the_same_moment(spark):
     assert actual.exceptAll(expected).isEmpty() and expected.exceptAll(actual).isEmpty()
 
 
+def test_greatest_of_falling_values_is_carried(spark):
+    falling = [("c", n * DAY + m * SECOND, 100 - 10 * n - m) for n in range(4) for m in range(3)]
+    hits = spark.createDataFrame(falling + [("c", 5 * DAY, None)], "client string, at long, value long")
+    best = running(hits, ["client"], day_bucket("at"), ["at"], greatest={"best": F.col("value")})
+    assert {r.best for r in best.collect()} == {100}
+
+
 def test_a_pause_of_exactly_the_gap_stays_in_the_session(spark):
     gap = 30 * 60 * SECOND
     times = [0, gap, 2 * gap + 1, 2 * gap + 2, DAY, DAY + gap]
