@@ -29,6 +29,9 @@ WRITTEN = [
     "articles_by_reader_type",
     "paywall_daily",
     "paywall_sessions_daily",
+    "events_daily",
+    "buyers",
+    "journeys",
     "subscription_rows",
 ]
 TIMED = ("m", "d", "mq", "g01", "i01", "i08")

@@ -63,22 +63,16 @@ def _ratio(over: Measure, under: Measure) -> Measure:
 
 
 def _events(w: Warehouse) -> DataFrame:
-    """Hits with the subscription dates of their login (MQ12)."""
-    hits = w.table("staged_events").select(
-        F.col("event_date_dt").alias("event_date"),
-        "event_name",
-        "client_key",
-        "user_id",
-        "page_location",
-        "event_timestamp",
-    )
+    """Hits, counted per day, name, client, login and page, with the subscription dates of their
+    login (MQ12). The accounts meet the counts, not the hits."""
+    hits = w.table("events_daily")
     people = w.table("accounts").select(
         "user_id",
         F.col("subscription_date").alias("crm_subscription_date"),
         F.col("churn_date").alias("crm_churn_date"),
         F.lit(True).alias("registered"),
     )
-    return lookup(hits, people, "user_id", ["event_timestamp"])
+    return lookup(hits, people, "user_id", ["client_key", "page_location"])
 
 
 def _active_subscribers() -> Column:
@@ -134,7 +128,7 @@ def _paywall_funnel(w: Warehouse) -> DataFrame:
 def _crm_totals(w: Warehouse) -> DataFrame:
     """Accounts registered, subscribed and churned as of each day (MQ14)."""
     totals = as_of_counts(
-        day_range(w.table("staged_events")),
+        day_range(w.table("events_daily"), "event_date"),
         w.table("accounts"),
         {
             "registered_total": F.col("registration_date"),
@@ -153,7 +147,7 @@ def _content_totals(w: Warehouse) -> DataFrame:
     day = published.cast("date")
     counted_from = F.when(published > day.cast("timestamp"), F.date_add(day, 1)).otherwise(day)
     return as_of_counts(
-        day_range(w.table("staged_events")), w.table("articles"), {"articles_total": counted_from}
+        day_range(w.table("events_daily"), "event_date"), w.table("articles"), {"articles_total": counted_from}
     )
 
 
@@ -235,7 +229,7 @@ CUBES: dict[str, Cube] = {
     "events": Cube(
         _events,
         {
-            "eventsCount": _rows,
+            "eventsCount": lambda: F.coalesce(F.sum("hits"), F.lit(0)),
             "activeUsers": _client_count,
             "activeRegisteredUsers": _distinct("user_id"),
             # Stricter form of the catalog: logins that have an account.

@@ -150,3 +150,11 @@ def event_type(staged: DataFrame, name: str, config: EngineConfig) -> DataFrame:
         return hits
     levels = {f"pagepath_level_{n}": urls.path_level(F.col("page_location"), n) for n in range(1, 5)}
     return hits.withColumns({**levels, "page_engagement_key": keys.page_engagement_key()})
+
+
+def events_daily(staged: DataFrame) -> DataFrame:
+    """Hits per day, name, client, login and page: what the event metrics count and distinguish."""
+    day = F.col("event_date_dt").alias("event_date")
+    return staged.groupBy(day, "event_name", "client_key", "user_id", "page_location").agg(
+        F.count(F.lit(1)).alias("hits")
+    )

@@ -153,11 +153,13 @@ def prior_walls(journey: DataFrame, purchases: DataFrame) -> DataFrame:
 
 
 def subscription_rows(
-    accounts: DataFrame, staged: DataFrame, sources: DataFrame, articles: DataFrame
+    buying: DataFrame, journey: DataFrame, sources: DataFrame, articles: DataFrame
 ) -> DataFrame:
-    """One row per subscription, without the medians over all of them (M22g)."""
-    buying = buyers(accounts, staged)
-    journey = journeys(staged, buying)
+    """One row per subscription, without the medians over all of them (M22g).
+
+    ``buying`` and ``journey`` are written tables: they hold the few hits that matter, so that the
+    groupings and joins here do not go back to all hits.
+    """
     touches = touch_points(journey)
     purchases = purchase_sessions(touches)
     # Inner first: the few purchase sessions select their rows of the large relation.

@@ -215,10 +215,16 @@ RELATIONS: dict[str, Relation] = {
     "paywall_sessions_daily": Relation(
         lambda w: articles.paywall_sessions_daily(w.table("staged_events")), "event_date_dt"
     ),
+    "events_daily": Relation(lambda w: staging.events_daily(w.table("staged_events")), "event_date"),
+    "buyers": Relation(lambda w: subscriptions.buyers(w.table("accounts"), w.table("staged_events"))),
+    "journeys": Relation(
+        lambda w: subscriptions.journeys(w.table("staged_events"), w.table("buyers")), "event_date_dt",
+        lambda config: None,
+    ),
     "subscription_rows": Relation(
         lambda w: subscriptions.subscription_rows(
-            w.table("accounts"),
-            w.table("staged_events"),
+            w.table("buyers"),
+            w.table("journeys"),
             w.table("session_traffic_sources"),
             w.table("articles"),
         )
@@ -243,5 +249,8 @@ STORED = (
     "articles_by_reader_type",
     "paywall_daily",
     "paywall_sessions_daily",
+    "events_daily",
+    "buyers",
+    "journeys",
     "subscription_rows",
 )

@@ -376,8 +376,7 @@ def _wall_policy(w: Warehouse) -> DataFrame:
 
 
 def _journey(w: Warehouse) -> DataFrame:
-    buying = subscriptions.buyers(w.table("accounts"), w.table("staged_events"))
-    return subscriptions.journeys(w.table("staged_events"), buying)
+    return w.table("journeys")
 
 
 def _touches(w: Warehouse) -> DataFrame:
@@ -478,9 +477,9 @@ def _event_state(w: Warehouse) -> DataFrame:
         F.col("event_date"), F.col("crm_subscription_date"), F.col("crm_churn_date")
     )
     return state.groupBy("event_date", "event_name").agg(
-        F.count(F.lit(1)).alias("hits"),
-        F.count_if(active).alias("active_hits"),
-        F.count_if(F.col("registered")).alias("account_hits"),
+        F.sum("hits").alias("hits"),
+        F.sum(F.when(active, F.col("hits")).otherwise(0)).alias("active_hits"),
+        F.sum(F.when(F.col("registered"), F.col("hits")).otherwise(0)).alias("account_hits"),
     )
 
 

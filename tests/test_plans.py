@@ -65,3 +65,19 @@ def test_no_cross_joins_and_no_python(spark, w):
         text = plan(query(spark, SMALL))
         for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas"):
             assert operator not in text, (name, operator)
+
+
+def test_subscriptions_do_not_go_back_to_all_hits(w):
+    for name in ("subscription_rows", "subscription_last_touch"):
+        text = plan(w.relation(name))
+        scans = re.findall(r"Location: .*?/(\w+)\]", text)
+        assert "staged_events" not in scans, name
+    assert re.findall(r"Location: .*?/(\w+)\]", plan(w.relation("journeys"))).count("staged_events") == 1
+    assert re.findall(r"Location: .*?/(\w+)\]", plan(w.relation("buyers"))).count("staged_events") == 1
+
+
+def test_totals_and_event_metrics_read_the_daily_counts(w):
+    queries = registered.queries()
+    for name in ("mq12_event_state", "mq14_crm_totals", "mq15_content_totals", "cube_events_measures"):
+        text = plan(queries[name](w.spark, SMALL))
+        assert "events_daily" in text and "staged_events" not in text, name
