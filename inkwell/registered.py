@@ -7,17 +7,18 @@ they can be compared with those of another engine.
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 import tempfile
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from inkwell import fixed_values as fixed
 from inkwell.config import EngineConfig, Parameter
-from inkwell.functions import channels, urls
+from inkwell.functions import channels, keys, urls
 from inkwell.functions.params import param
 from inkwell.functions.readers import reader_tier, reader_type
 from inkwell.operators.joins import lookup
@@ -112,13 +113,21 @@ def _with_row_id(df: DataFrame, *columns) -> DataFrame:
 
 # Columns of each event type beyond those of every hit.
 _OWN = {
-    "page_view": "entrances value article_id section pagepath_level_1 pagepath_level_2 page_engagement_key",
+    "page_view": (
+        "entrances value article_id section pagepath_level_1 pagepath_level_2 pagepath_level_3 pagepath_level_4 "
+        "page_engagement_key"
+    ),
     "session_start": "entrances value",
     "first_visit": "landing_page",
     "user_engagement": "engagement_time_msec session_engaged",
     "scroll": "percent_scrolled article_id",
-    "click": "entrances outbound link_url link_domain",
-    "file_download": "entrances value file_extension file_name link_domain link_url link_text",
+    "click": (
+        "entrances outbound link_url link_domain link_classes link_id click_element click_region click_tag_name "
+        "click_url file_name"
+    ),
+    "file_download": (
+        "entrances value file_extension file_name link_domain link_url link_text link_classes link_id"
+    ),
     **dict.fromkeys(
         ("video_start", "video_progress", "video_complete"),
         "video_duration video_percent video_current_time video_url video_provider video_title visible",
@@ -268,16 +277,47 @@ def _parameters(w: Warehouse) -> DataFrame:
 
 
 def _records(w: Warehouse) -> DataFrame:
-    columns = (
-        "privacy_info_analytics_storage privacy_info_ads_storage app_info_id user_ltv_revenue "
-        "user_ltv_currency collected_traffic_source_gclid"
-    ).split()
+    fields = {
+        "privacy_info": fixed.PRIVACY_FIELDS,
+        "app_info": fixed.APP_FIELDS,
+        "user_ltv": fixed.USER_LTV_FIELDS,
+        "collected_traffic_source": fixed.COLLECTED_SOURCE_FIELDS,
+    }
+    columns = [f"{record}_{name}" for record, names in fields.items() for name in names]
     return _with_row_id(w.relation("base_events"), *columns, *clients.EVENT_VALUES)
 
 
 def _keys(w: Warehouse) -> DataFrame:
+    """The keys; of the event key, whose digest of parameters has no counterpart in SQL, how many
+    hits have it."""
     names = ("client_key", "session_key", "session_partition_key", "page_key")
-    return _with_row_id(w.relation("staged_events"), *names)
+    same = F.count(F.lit(1)).over(Window.partitionBy("event_key")).alias("hits_with_event_key")
+    engagement = keys.page_engagement_key().alias("page_engagement_key")
+    return _with_row_id(w.table("staged_events"), *names, engagement, same)
+
+
+def _column_names(w: Warehouse) -> DataFrame:
+    """Conversions whose names are no column names."""
+    renamed = F.when(F.col("event_name") == "share", "4th sign-up").otherwise(F.col("event_name"))
+    config = dataclasses.replace(w.config, conversion_events=("newsletter_signup", "4th sign-up"))
+    days = sessions.session_days(w.table("staged_events").withColumn("event_name", renamed), config)
+    return sessions.session_conversions(days, config)
+
+
+def _read_back(name: str, reader: Callable[[SparkSession, str], DataFrame]) -> Callable[[Warehouse], DataFrame]:
+    """A stored input through its reader."""
+
+    def read(w: Warehouse) -> DataFrame:
+        w.table(name)
+        return reader(w.spark, f"{w.root}/{name}")
+
+    return read
+
+
+def _source_categories(w: Warehouse) -> DataFrame:
+    path = _scratch(w, "source_categories.csv")
+    w.relation("source_categories").write.mode("overwrite").csv(path, header=True)
+    return readers.read_source_categories(w.spark, path)
 
 
 def _gclid(w: Warehouse) -> DataFrame:
@@ -505,13 +545,15 @@ _OVER_WAREHOUSE: dict[str, Callable[[Warehouse], DataFrame]] = {
     "i01_late_window_rebuild": _late_window_rebuild,
     **{f"i01_{name}": _daily_run(name) for name in INCREMENTAL},
     "i02_scan_from_date": _scan_from_date,
-    "i03_articles": _relation("articles"),
-    "i04_accounts": _relation("accounts"),
+    "i03_articles": _read_back("articles", readers.read_articles),
+    "i04_accounts": _read_back("accounts", readers.read_accounts),
+    "i05_source_categories": _source_categories,
     "i06_full_rebuild": _full_rebuild,
     "i08_widened_lookback": _widened_lookback,
     "p01_parameters": _parameters,
     "p04_records": _records,
     "p10_keys": _keys,
+    "p24_column_names": _column_names,
     "p11_gclid_repair": _gclid,
     "p12_url_parts": _url_parts,
     "p19_channels": _channels,

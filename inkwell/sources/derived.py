@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from inkwell import fixed_values as fixed
 from inkwell.operators.joins import lookup
 from inkwell.operators.ordered import sessionise
 from inkwell.sources import schemas
@@ -174,6 +175,10 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _numbered(name: str, number: Column) -> Column:
+    return F.concat(F.lit(f"{name}-"), number.cast("string"))
+
+
 def _country(id_: Column) -> Column:
     names = ("US", "United Kingdom", "Canada", "Germany", "India")
     return F.get(F.array(*[F.lit(n) for n in names]), (id_ % 5).cast("int"))
@@ -277,7 +282,17 @@ def _params() -> Column:
         _pair("outbound", text=F.when(on("click"), "true")),
         _pair("link_url", text=F.when(on("click") | download, F.concat(F.lit("https://partner.example/"), kth))),
         _pair("link_domain", text=F.when(on("click") | download, "partner.example")),
-        _pair("file_name", text=F.when(download, F.concat(F.lit("report-"), kth, F.lit(".pdf")))),
+        _pair(
+            "file_name",
+            text=F.when(download, F.concat(F.lit("report-"), kth, F.lit(".pdf"))).when(
+                on("click"), _numbered("file_name", k % 3)
+            ),
+        ),
+        *[_pair(n, text=F.when(on("click") | download, _numbered(n, k % 3))) for n in ("link_classes", "link_id")],
+        *[
+            _pair(n, text=F.when(on("click"), _numbered(n, k % 3)))
+            for n in ("click_element", "click_region", "click_tag_name", "click_url")
+        ],
         _pair("file_extension", text=F.when(download, "pdf")),
         _pair("link_text", text=F.when(download & hit, "Download")),
     ]
@@ -374,7 +389,10 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id": F.col("login"),
         "user_pseudo_id": F.when(~denied, F.concat(F.lit("u"), user.cast("string"))),
         "privacy_info": _record(
-            schemas.PRIVACY, analytics_storage=F.when(denied, "No").otherwise("Yes"), ads_storage=F.lit("Yes")
+            schemas.PRIVACY,
+            analytics_storage=F.when(denied, "No").otherwise("Yes"),
+            ads_storage=F.lit("Yes"),
+            uses_transient_token=F.lit("No"),
         ),
         "user_properties": _properties(F.col("micros")),
         "user_ltv": _record(schemas.USER_LTV, revenue=F.lit("0"), currency=F.lit("USD")),
@@ -396,7 +414,10 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
             region=F.concat(F.lit("region-"), (user % 7).cast("string")),
             city=F.concat(F.lit("city-"), ((k + 1) % 7).cast("string")),
         ),
-        "app_info": F.lit(None),
+        "app_info": F.when(
+            opener,
+            _record(schemas.APP, **{f: _numbered(f, user % 3) for f in fixed.APP_FIELDS}),
+        ),
         "traffic_source": F.when(
             opener,
             _record(
@@ -409,7 +430,12 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "stream_id": F.lit(STREAM),
         "platform": F.lit("web"),
         "collected_traffic_source": F.when(
-            clicked, _record(schemas.COLLECTED_SOURCE, gclid=F.concat(F.lit("g"), k.cast("string")))
+            clicked,
+            _record(
+                schemas.COLLECTED_SOURCE,
+                **{f: _numbered(f, k % 3) for f in fixed.COLLECTED_SOURCE_FIELDS if f != "gclid"},
+                gclid=F.concat(F.lit("g"), k.cast("string")),
+            ),
         ),
     }
     return rows.select(

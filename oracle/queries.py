@@ -100,6 +100,7 @@ EVENT_TYPES = {
     "e02_page_view": _event(
         f"{_ENTRANCES}, round(k * 0.5, 6)::DOUBLE AS value, {_ART_TEXT}, 'section-' || (article % 4) AS section, "
         "'/news' AS pagepath_level_1, '/' || split_part(split_part(page_location, '/', 5), '?', 1) AS pagepath_level_2, "
+        "CAST(NULL AS VARCHAR) AS pagepath_level_3, CAST(NULL AS VARCHAR) AS pagepath_level_4, "
         "md5(session_key || page_location) AS page_engagement_key",
         "page_view",
     ),
@@ -110,12 +111,16 @@ EVENT_TYPES = {
     "e06_scroll": _event(f"CAST(percent_scrolled AS BIGINT) AS percent_scrolled, {_ART_TEXT}", "scroll"),
     "e07_click": _event(
         f"{_NO_ENTRANCES}, 'true' AS outbound, 'https://partner.example/' || k AS link_url, "
-        "'partner.example' AS link_domain",
+        "'partner.example' AS link_domain, 'link_classes-' || (k % 3) AS link_classes, "
+        "'link_id-' || (k % 3) AS link_id, 'click_element-' || (k % 3) AS click_element, "
+        "'click_region-' || (k % 3) AS click_region, 'click_tag_name-' || (k % 3) AS click_tag_name, "
+        "'click_url-' || (k % 3) AS click_url, 'file_name-' || (k % 3) AS file_name",
         "click",
     ),
     "e08_file_download": _event(
         f"{_NO_ENTRANCES}, {_NO_VALUE}, 'pdf' AS file_extension, 'report-' || k || '.pdf' AS file_name, "
-        "'partner.example' AS link_domain, 'https://partner.example/' || k AS link_url, 'Download' AS link_text",
+        "'partner.example' AS link_domain, 'https://partner.example/' || k AS link_url, 'Download' AS link_text, "
+        "'link_classes-' || (k % 3) AS link_classes, 'link_id-' || (k % 3) AS link_id",
         "file_download",
     ),
     "e09_video_start": _video("video_start", "0"),
@@ -524,14 +529,35 @@ def build() -> dict[str, str]:
     )
     q["p04_records"] = over_relations(
         "SELECT row_id, CASE WHEN number % 50 = 49 THEN 'No' ELSE 'Yes' END AS privacy_info_analytics_storage, "
-        "'Yes' AS privacy_info_ads_storage, CAST(NULL AS VARCHAR) AS app_info_id, "
+        "'Yes' AS privacy_info_ads_storage, 'No' AS privacy_info_uses_transient_token, "
         "'0' AS user_ltv_revenue, 'USD' AS user_ltv_currency, "
-        "CASE WHEN event_name = 'page_view' AND page_location LIKE '%gclid%' THEN 'g' || k END "
+        + "".join(
+            f"CASE WHEN k = -1 THEN '{f}-' || (number % 3) END AS app_info_{f}, "
+            for f in ("id", "version", "install_source", "firebase_app_id")
+        )
+        + "".join(
+            f"CASE WHEN event_name = 'page_view' AND page_location LIKE '%gclid%' THEN '{f}-' || (k % 3) END "
+            f"AS collected_traffic_source_{f}, "
+            for f in (
+                "manual_campaign_id", "manual_campaign_name", "manual_source", "manual_medium", "manual_term",
+                "manual_content", "manual_source_platform", "manual_creative_format", "manual_marketing_tactic",
+                "dclid", "srsltid",
+            )
+        )
+        +         "CASE WHEN event_name = 'page_view' AND page_location LIKE '%gclid%' THEN 'g' || k END "
         "AS collected_traffic_source_gclid, " + cols(_typed(EVENT_VALUES)) + " FROM stg"
     )
     q["p10_keys"] = over_relations(
-        "SELECT row_id, client_key, session_key, session_partition_key, page_key FROM stg"
+        "SELECT row_id, client_key, session_key, session_partition_key, page_key, "
+        "md5(session_key || page_location) AS page_engagement_key, CAST(1 AS BIGINT) AS hits_with_event_key FROM stg"
+    )
+    q["p24_column_names"] = over_relations(
+        "SELECT session_key, session_partition_key, strftime(min(event_date_dt), '%Y-%m-%d') AS session_partition_date, "
+        "count(*) FILTER (WHERE event_name = 'newsletter_signup') AS newsletter_signup_count, "
+        "count(*) FILTER (WHERE event_name = 'share') AS _4th_sign_up_count "
+        "FROM stg GROUP BY session_key, session_partition_key"
     )
+    q["i05_source_categories"] = over_relations("SELECT source, source_category FROM cat")
     q["p11_gclid_repair"] = over_relations(
         "SELECT row_id, event_source, event_medium, event_campaign FROM stg WHERE page_location LIKE '%gclid%'"
     )
