@@ -24,6 +24,7 @@ from inkwell.functions.readers import reader_tier, reader_type
 from inkwell.operators.joins import lookup
 from inkwell.operators.ordered import sessionise
 from inkwell.plans import articles, clients, metrics, quality, sessions, staging, subscriptions
+from inkwell.plans.checks import run_checks
 from inkwell.plans.cubes import CUBES
 from inkwell.plans.dashboards import NAMED_QUERIES, named_query
 from inkwell.plans.metrics import DateRange, MetricQuery, metric_query
@@ -623,6 +624,7 @@ _OVER_WAREHOUSE: dict[str, Callable[[Warehouse], DataFrame]] = {
     ),
     "t06_control_totals": _control_totals,
     "t07_reconciliation": _reconciliation,
+    "t08_all_checks": run_checks,
 }
 _EVENT_TYPE_ORDER = (
     "page_view session_start first_visit user_engagement scroll click file_download video_start video_progress "

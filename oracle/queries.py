@@ -495,6 +495,56 @@ def _check(name: str, level: str, failures: str) -> str:
     )
 
 
+def _all_checks() -> list[str]:
+    """relation, its name here, columns without nulls, unique key, allowed values."""
+    declared = [
+        ("articles", "art", "", "article_id", {}),
+        ("accounts", "acc", "", "user_id", {}),
+        ("staged_events", "stg", "", "row_id", {}),
+        ("client_dimension", "m15", "", "client_key", {}),
+        ("client_facts", "m13", "", "client_key", {}),
+        ("articles_daily", "m17", "event_date_dt article_id page_views", "", {}),
+        (
+            "articles_by_reader_type", "m18", "event_date_dt article_id reader_type subscription_tier page_views",
+            "event_date_dt, article_id, reader_type, subscription_tier",
+            {"reader_type": "'subscriber', 'registered', 'anonymous'"},
+        ),
+        ("traffic_sources_daily", "m21", "session_partition_date sessions", "", {}),
+        (
+            "subscription_last_touch", "m22", "user_id subscription_date subscription_tier", "user_id",
+            {"subscription_source": "'subscribe_event', 'crm_only'",
+             "last_article_reader_state": "'registered', 'anonymous'"},
+        ),
+        (
+            "paywall_daily", "m19",
+            "event_date_dt article_id paywall_type bundle_offer paywall_impressions paywall_clicks", "",
+            {"paywall_type": "'hard', 'metered'", "bundle_offer": "'digital-only', 'basic', 'premium'"},
+        ),
+        (
+            "paywall_sessions_daily", "m20", "event_date_dt session_partition_key paywall_impressions",
+            "event_date_dt, session_partition_key", {},
+        ),
+    ]
+    out = []
+    for relation, here, filled, key, accepted in declared:
+        counts = {f"not_null {c}": f"SELECT count(*) FROM {here} WHERE {c} IS NULL" for c in filled.split()}
+        counts |= {
+            f"accepted_values {c}": f"SELECT count(*) FROM {here} WHERE {c} NOT IN ({values})"
+            for c, values in accepted.items()
+        }
+        if key:
+            shown = "event_key" if key == "row_id" else key
+            counts[f"unique {shown}"] = (
+                f"SELECT count(*) FROM (SELECT 1 FROM {here} WHERE coalesce({', '.join(f'CAST({k} AS VARCHAR)' for k in key.split(', '))}) "
+                f"IS NOT NULL GROUP BY {key} HAVING count(*) > 1)"
+            )
+        out += [
+            f"SELECT '{relation}' AS relation, '{check}' AS \"check\", ({sql}) AS failures, ({sql}) = 0 AS passed"
+            for check, sql in counts.items()
+        ]
+    return out
+
+
 _CURRENT = _sub("sessions", "sessions activeUsers pageviews", "", "eventDate", CURRENT_RANGE)
 _PREVIOUS = _sub("sessions", "sessions activeUsers pageviews", "", "eventDate", PREVIOUS_RANGE)
 _CHANGES = ", ".join(
@@ -779,6 +829,7 @@ def build() -> dict[str, str]:
         "(SELECT CAST(sum(session_partition_count_page_views) AS BIGINT) AS b FROM m11), "
         "(SELECT count(*) AS c FROM pv WHERE session_key IS NULL)"
     )
+    q["t08_all_checks"] = over_relations(" UNION ALL ".join(_all_checks()))
     for name, model in {
         "session_facts": "m11_session_facts_daily",
         "session_dimension": "m10_session_dimension",
