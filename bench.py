@@ -34,7 +34,7 @@ WRITTEN = [
     "journeys",
     "subscription_rows",
 ]
-TIMED = ("m", "d", "mq", "g01", "i01", "i08")
+TIMED = ("m", "d", "mq", "g01", "i01_late", "i08")
 
 
 def local_session() -> SparkSession:

@@ -19,6 +19,29 @@ GAP_MICROS = 12 * 60 * 60 * 1_000_000
 HOME_PAGE = "https://www.example.com/"
 ARTICLE_PAGE = "https://www.example.com/news/article-"
 STREAM = "web-1"
+# Source, medium, campaign, content and term of the page views that have them: all channels occur.
+CAMPAIGNS = (
+    ("google", "organic", None, None, "news"),
+    ("Facebook", "social", None, "top-story", None),
+    ("mailchimp", "email", "weekly-digest", None, None),
+    ("(direct)", "(none)", None, None, None),
+    ("google", "CPC", "brand-awareness", "ad-variant-a", "headlines"),
+    ("google", "cpc", "cross-network-1", None, None),
+    ("amazon", "cpc", None, None, None),
+    ("facebook", "cpc", None, "ad-variant-b", None),
+    ("youtube", "cpc", None, None, None),
+    ("news-site", "banner", "spring", None, None),
+    ("partner", "cpc", None, None, None),
+    ("amazon", "referral", None, None, None),
+    ("youtube", "referral", None, None, None),
+    ("blog", "referral", None, None, None),
+    ("partner", "affiliate", "spring", None, None),
+    ("podcast", "audio", None, None, None),
+    ("sms", "sms", None, None, None),
+    ("app", "push", None, None, None),
+    ("elsewhere", "other", None, None, None),
+    ("blog", "link", None, None, None),
+)
 
 
 def _cut(k: Column, *steps: tuple[int, str], rest: str) -> Column:
@@ -219,7 +242,7 @@ def _params() -> Column:
     hit = k >= 0
     session = F.floor(F.col("session_first_micros") / 1_000_000).cast("bigint")
     odd = k % 2 == 1
-    slot = F.floor(k / 5).cast("int") % 5
+    slot = F.floor(k / 5).cast("int") % len(CAMPAIGNS)
     tagged = on("page_view") & (k % 5 == 0)
 
     def campaign(*values: str | None) -> Column:
@@ -263,11 +286,12 @@ def _params() -> Column:
         _pair("session_engaged", whole=F.when(on("user_engagement") & ~odd, 1)),
         _pair("session_engaged", text=F.when(on("user_engagement") & odd, "1")),
         _pair("percent_scrolled", whole=F.when(on("scroll"), (k % 4 + 1) * 25)),
-        _pair("source", text=campaign("google", "Facebook", "mailchimp", "(direct)", "google")),
-        _pair("medium", text=campaign("organic", "social", "email", "(none)", "CPC")),
-        _pair("campaign", text=campaign(None, None, "weekly-digest", None, "brand-awareness")),
-        _pair("content", text=campaign(None, "top-story", None, None, "ad-variant-a")),
-        _pair("term", text=campaign("news", None, None, None, "headlines")),
+        *[
+            _pair(field, text=campaign(*values))
+            for field, values in zip(
+                ("source", "medium", "campaign", "content", "term"), zip(*CAMPAIGNS, strict=True), strict=True
+            )
+        ],
         _pair("paywall_type", text=F.when(walled, F.when(article % 2 == 0, "hard").otherwise("metered"))),
         _pair("bundle_offer", text=F.when(walled, offer)),
         _pair("video_percent", whole=percent),

@@ -45,7 +45,32 @@ CHANNEL = f"""CASE
 
 def _slot(name: str, values: tuple[str | None, ...]) -> str:
     cases = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values) if v is not None)
-    return f"CASE WHEN name = 'page_view' AND k % 5 = 0 THEN CASE (k // 5) % 5 {cases} END END AS raw_{name}"
+    return f"CASE WHEN name = 'page_view' AND k % 5 = 0 THEN CASE (k // 5) % {len(values)} {cases} END END AS raw_{name}"
+
+
+_CAMPAIGNS = {
+    "source": (
+        "google", "facebook", "mailchimp", "(direct)", "google", "google", "amazon", "facebook",
+        "youtube", "news-site", "partner", "amazon", "youtube", "blog", "partner", "podcast", "sms",
+        "app", "elsewhere", "blog",
+    ),
+    "medium": (
+        "organic", "social", "email", "(none)", "cpc", "cpc", "cpc", "cpc", "cpc", "banner", "cpc",
+        "referral", "referral", "referral", "affiliate", "audio", "sms", "push", "other", "link",
+    ),
+    "campaign": (
+        None, None, "weekly-digest", None, "brand-awareness", "cross-network-1", None, None, None,
+        "spring", None, None, None, None, "spring", None, None, None, None, None,
+    ),
+    "content": (
+        None, "top-story", None, None, "ad-variant-a", None, None, "ad-variant-b", None, None, None,
+        None, None, None, None, None, None, None, None, None,
+    ),
+    "term": (
+        "news", None, None, None, "headlines", None, None, None, None, None, None, None, None, None,
+        None, None, None, None, None, None,
+    ),
+}
 
 
 _METRIC_SUMS = """
@@ -171,11 +196,7 @@ RELATIONS["flat"] = f"""
     CASE WHEN name = 'user_engagement' THEN 1 END AS session_engaged,
     CASE WHEN name = 'scroll' THEN (k % 4 + 1) * 25 END AS percent_scrolled,
     CASE WHEN name IN ('subscribe', 'newsletter_signup') THEN k * 0.25 END AS event_value_in_usd,
-    {_slot('source', ('google', 'facebook', 'mailchimp', '(direct)', 'google'))},
-    {_slot('medium', ('organic', 'social', 'email', '(none)', 'cpc'))},
-    {_slot('campaign', (None, None, 'weekly-digest', None, 'brand-awareness'))},
-    {_slot('content', (None, 'top-story', None, None, 'ad-variant-a'))},
-    {_slot('term', ('news', None, None, None, 'headlines'))},
+    {', '.join(_slot(n, v) for n, v in _CAMPAIGNS.items())},
     CASE WHEN name IN ('page_view', 'scroll', 'bookmark', 'comment', 'paywall_impression', 'paywall_click',
       'subscribe') THEN article END AS article_param,
     CASE WHEN name = 'share' THEN article END AS item_param,
