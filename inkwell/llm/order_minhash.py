@@ -1,11 +1,11 @@
 """Near-duplicates by Order MinHash, verified by banded alignment.
 
 A text's k-mers are its windows of five words, each labelled with how often it occurred before.
-A sketch entry takes, under one hash function, the two k-mers with the least hashes and keeps
-them in text order, so it agrees for two texts when they share k-mers in the same order. Bands of
-entries make buckets. In a bucket every text is aligned with the most central one; what is still
-unlinked goes on with further leaders, and at last the rest is compared pair by pair, so that no
-link inside a bucket is lost and groups of copies cost a linear number of alignments.
+A sketch entry takes, under one hash function, the two k-mers with the least hashes and
+keeps them in text order, so it agrees for two texts when they share k-mers in the same order.
+Bands of entries make buckets. In a bucket every text is aligned with the most central one, so
+that groups of copies cost a linear number of alignments. Texts of a bucket that do not hang
+together yet are then compared in blocks of bounded size, so that no link inside a bucket is lost.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,16 +26,20 @@ from inkwell.llm.common import batch_rows, checkpointed, removed, text_or_empty,
 @dataclass(frozen=True)
 class NearDuplicates:
     """k: words of a window; similarity: least Jaccard similarity of the windows and least edit
-    similarity of the words; bands of rows sketch entries. With 24 bands of 3 entries two texts of
-    similarity 0.8 share a bucket with probability 0.9993, those of 0.5 with 0.31, of 0.3 with
-    0.01. leaders: rounds with one leader per bucket before the rest goes pair by pair.
+    similarity of the words; bands of rows sketch entries. With 20 bands of 3 entries two texts of
+    similarity 0.8 share a bucket with probability 0.998, those of 0.85 with 0.9999, of 0.5 with
+    0.27, of 0.3 with 0.01. agreement: least share of equal entries before texts are fetched; the
+    mean at similarity 0.8 is 0.64, four deviations above it. block: texts compared at a time;
+    broadcast_rows: most keys that are sent to all executors.
     """
 
     k: int = 5
     similarity: float = 0.8
-    bands: int = 24
+    bands: int = 20
     rows: int = 3
-    leaders: int = 3
+    agreement: float = 0.4
+    block: int = 256
+    broadcast_rows: int = 200_000
     seed: int = 11
 
 
@@ -93,10 +97,9 @@ def sketch(grams: np.ndarray, functions: np.ndarray) -> np.ndarray:
     if len(marked) == 1:
         return mixed(marked ^ functions)
     first, second = np.empty_like(functions), np.empty_like(functions)
+    hashed = np.empty_like(marked)
     for i, f in enumerate(functions):
-        hashed = (marked ^ f) * _MIX
-        hashed ^= hashed >> np.uint64(29)
-        hashed *= np.uint64(0xBF58476D1CE4E5B9)
+        np.multiply(marked, f, out=hashed)
         a = int(hashed.argmin())
         least = hashed[a]
         hashed[a] = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -166,45 +169,55 @@ def words_of(text: str) -> list[bytes]:
 
 
 def text_key():
-    """What identifies a text: its sha-256."""
-    return F.unhex(F.sha2(text_or_empty().cast("binary"), 256))
+    """What identifies a text: half its sha-256."""
+    return F.unhex(F.substring(F.sha2(text_or_empty().cast("binary"), 256), 1, 32))
+
+
+def key_of(text: str) -> bytes:
+    return hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()[:16]
 
 
 def sketched(documents: DataFrame, settings: NearDuplicates) -> DataFrame:
-    """doc_id, key (of the text), distinct windows and the bands of each row."""
+    """doc_id, key (of the text), distinct windows, bands and short entries of each row."""
     functions = np.random.default_rng(settings.seed).integers(
         1 << 63, size=settings.bands * settings.rows, dtype=np.uint64
-    )
+    ) * np.uint64(2) + np.uint64(1)
     source = documents.select("doc_id", text_or_empty().alias("text"))
     schema = T.StructType([source.schema["doc_id"]]).add("key", "binary").add("windows", "long")
-    schema = schema.add("bands", T.ArrayType(T.LongType()))
+    schema = schema.add("bands", T.ArrayType(T.LongType())).add("entries", T.ArrayType(T.ShortType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for whole in batches:
             for batch in batch_rows(whole):
-                keys, sizes, bands = [], [], []
+                keys, sizes, bands, entries = [], [], [], []
                 for text in batch.column("text").to_pylist():
-                    raw = text.encode("utf-8", "surrogatepass")
-                    keys.append(hashlib.sha256(raw).digest())
-                    grams = windows(hashes.of(raw.split()), settings.k)
+                    keys.append(key_of(text))
+                    grams = windows(hashes.of(words_of(text)), settings.k)
                     sizes.append(len(np.unique(grams)))
-                    found = buckets(sketch(grams, functions), settings.rows) if len(grams) else []
-                    bands.append(found)
+                    found = sketch(grams, functions) if len(grams) else np.array([], np.uint64)
+                    bands.append(buckets(found, settings.rows) if len(grams) else [])
+                    entries.append((found >> np.uint64(48)).astype(np.uint16).view(np.int16))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id"),
                         pa.array(keys, pa.binary()),
                         pa.array(sizes, pa.int64()),
                         pa.array(bands, pa.list_(pa.int64())),
+                        pa.array(entries, pa.list_(pa.int16())),
                     ],
-                    names=["doc_id", "key", "windows", "bands"],
+                    names=["doc_id", "key", "windows", "bands", "entries"],
                 )
 
     return source.mapInArrow(run, schema)
 
 
-def texts_of(documents: DataFrame, keys: DataFrame) -> DataFrame:
+def _sent(df: DataFrame, settings: NearDuplicates) -> DataFrame:
+    """A table for the small side of a join: sent to all only when its measured size allows."""
+    return F.broadcast(df) if df.count() <= settings.broadcast_rows else df
+
+
+def texts_of(documents: DataFrame, keys: DataFrame, settings: NearDuplicates) -> DataFrame:
     """One row (key, text) for each of the keys. Tasks pass a text once, whatever its copies."""
     source = documents.select(text_or_empty().alias("text"))
     schema = T.StructType().add("key", "binary").add("text", "string")
@@ -215,7 +228,7 @@ def texts_of(documents: DataFrame, keys: DataFrame) -> DataFrame:
             for batch in batch_rows(whole):
                 keys, texts = [], []
                 for text in batch.column("text").to_pylist():
-                    key = hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()
+                    key = key_of(text)
                     if key not in seen:
                         seen.add(key)
                         keys.append(key)
@@ -224,13 +237,14 @@ def texts_of(documents: DataFrame, keys: DataFrame) -> DataFrame:
                     [pa.array(keys, pa.binary()), pa.array(texts, pa.string())], names=["key", "text"]
                 )
 
-    return source.mapInArrow(run, schema).join(keys, "key", "left_semi").dropDuplicates(["key"])
+    wanted = _sent(checkpointed(keys.select("key").distinct()), settings)
+    return source.mapInArrow(run, schema).join(wanted, "key", "left_semi").dropDuplicates(["key"])
 
 
 def verified(documents: DataFrame, pairs: DataFrame, settings: NearDuplicates) -> DataFrame:
     """The pairs (a, b) of keys whose texts are near-duplicates."""
-    keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    texts = texts_of(documents, keys)
+    keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b"))
+    texts = texts_of(documents, keys, settings)
     both = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a").join(
         texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b"
     )
@@ -241,8 +255,7 @@ def verified(documents: DataFrame, pairs: DataFrame, settings: NearDuplicates) -
         for whole in batches:
             for batch in batch_rows(whole):
                 kept = []
-                a_s, b_s = batch.column("a").to_pylist(), batch.column("b").to_pylist()
-                for i, (a, b) in enumerate(zip(a_s, b_s, strict=True)):
+                for i, b in enumerate(batch.column("b").to_pylist()):
                     if b != key:  # rows of one leader follow each other
                         key, words = b, words_of(batch.column("text_b")[i].as_py())
                         grams = np.unique(windows(hashes.of(words), settings.k))
@@ -255,6 +268,79 @@ def verified(documents: DataFrame, pairs: DataFrame, settings: NearDuplicates) -
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary")
 
 
+def shared_windows(grams: list[np.ndarray]) -> np.ndarray:
+    """How many windows each two of the sets share: a product of matrices over those in several."""
+    values, number, count = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
+    several = (count > 1)[number]
+    row, column = row[several], (np.cumsum(count > 1) - 1)[number][several]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    shared = np.zeros((len(grams), len(grams)), np.float32)
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+        a, b = np.searchsorted(column, [start, start + 4096])
+        part = np.zeros((len(grams), 4096), np.float32)
+        part[row[a:b], column[a:b] - start] = 1
+        shared += part @ part.T
+    return shared
+
+
+def block_links(table: pa.Table, settings: NearDuplicates) -> list[tuple[bytes, bytes]]:
+    """Links between members of different components of a block, or of two blocks of a bucket.
+
+    What a link joins is one component from then on, so its other pairs need no alignment.
+    """
+    keys, texts = table.column("key").to_pylist(), table.column("text").to_pylist()
+    part, own = table.column("part").to_pylist(), table.column("component").to_pylist()
+    two = len(set(part)) > 1
+    hashes = WordHashes()
+    words = [words_of(t) for t in texts]
+    grams = [np.unique(windows(hashes.of(w), settings.k)) for w in words]
+    size = np.array([len(g) for g in grams], float)
+    common = shared_windows(grams)
+    near = common >= settings.similarity * (size[:, None] + size[None, :] - common) - 1e-6
+    top = {c: c for c in own}
+
+    def root(c: bytes) -> bytes:
+        while top[c] != c:
+            top[c] = top[top[c]]
+            c = top[c]
+        return c
+
+    links = []
+    for i, j in zip(*np.nonzero(np.triu(near, 1)), strict=True):
+        if two and part[i] == part[j]:
+            continue
+        a, b = root(own[i]), root(own[j])
+        if a != b and similar(words[i], words[j], grams[i], grams[j], settings.similarity):
+            top[max(a, b)] = min(a, b)
+            links.append((keys[i], keys[j]))
+    return links
+
+
+def blocks(documents: DataFrame, members: DataFrame, settings: NearDuplicates) -> DataFrame:
+    """Links (a, b) among the members (bucket, key, component) of buckets.
+
+    A bucket is dealt into parts of about ``block`` texts; each part is compared with itself and
+    with each other part, in a group of its own.
+    """
+    sizes = members.groupBy("bucket").agg(F.ceil(F.count("*") / settings.block).cast("int").alias("parts"))
+    texts = texts_of(documents, members, settings)
+    dealt = members.join(sizes, "bucket").withColumn("part", F.pmod(F.hash("key"), F.col("parts")))
+    groups = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
+        "bucket", "key", "component", "part",
+        F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"),
+    )
+
+    def compared(table: pa.Table) -> pa.Table:
+        links = block_links(table, settings)
+        return pa.table(
+            {"a": pa.array([x for x, _ in links], pa.binary()), "b": pa.array([y for _, y in links], pa.binary())}
+        )
+
+    return groups.join(texts, "key").groupBy("bucket", "low", "high").applyInArrow(compared, "a binary, b binary")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(key, component) for all ends of edges; the component is its least key.
 
@@ -304,77 +390,50 @@ def _with_component(df: DataFrame, of: DataFrame) -> DataFrame:
     return df.join(of, "key", "left").withColumn("component", F.coalesce("component", "key"))
 
 
-def _open(members: DataFrame, found: DataFrame | None, before: DataFrame | None) -> DataFrame:
-    """Members of buckets that are not in one component, after the leader ``before``.
-
-    Members of a bucket have an order, by centrality and key, and go through it from the top.
-    """
-    if found is None:
-        out = members.withColumn("component", F.col("key"))
-    else:
-        out = _with_component(members, found)
-    if before is None:
-        return out
-    out = out.join(before.select("bucket", "past"), "bucket")
-    return out.where(F.struct("central", "key") < F.col("past")).drop("past")
-
-
-def _leaders(open_: DataFrame) -> DataFrame:
-    """Bucket, its first member as ``leader`` and that one's place as ``past``."""
-    first = open_.groupBy("bucket").agg(
-        F.max(F.struct("central", "key", "windows", "component")).alias("leader"),
-        F.min("component").alias("low"),
-        F.max("component").alias("high"),
-    )
-    place = F.struct("leader.central", "leader.key").alias("past")
-    return first.where("low != high").select("bucket", "leader", place)
-
-
-def _fit(left: Column, right: Column, least: float) -> Column:
-    """Whether the numbers of windows allow the similarity at all."""
-    return F.least(left, right) >= least * F.greatest(left, right)
-
-
-def linked(documents: DataFrame, members: DataFrame, settings: NearDuplicates) -> DataFrame | None:
+def linked(documents: DataFrame, members: DataFrame, rows: DataFrame, settings: NearDuplicates):
     """(key, component) of all texts with a near-duplicate; None if there are no links.
 
-    A few rounds with one leader per bucket link what hangs together; then members of different
-    components of a bucket that have not met are compared pair by pair.
+    First each member of a bucket meets the most central one. Buckets whose members are not in one
+    component then are compared in blocks, without the leader, who has met them all.
     """
-    links = found = leaders = None
-    least = settings.similarity
-
-    def extended(pairs: DataFrame) -> None:
-        nonlocal links, found
-        pairs = checkpointed(pairs.select("a", "b").distinct())
-        if pairs.isEmpty():
-            return
-        new = checkpointed(verified(documents, pairs, settings))
-        links = new if links is None else links.union(new)
-        found = components(links)
-
-    for _ in range(settings.leaders):
-        open_ = _open(members, found, leaders)
-        leaders = checkpointed(_leaders(open_))
-        if leaders.isEmpty():
-            return found
-        extended(
-            open_.join(leaders, "bucket")
-            .where(F.struct("central", "key") < F.col("past"))
-            .where(F.col("component") != F.col("leader.component"))
-            .where(_fit(F.col("windows"), F.col("leader.windows"), least))
-            .select(F.col("key").alias("a"), F.col("leader.key").alias("b"))
+    links = found = None
+    leaders = checkpointed(
+        members.groupBy("bucket").agg(F.max(F.struct("central", "key", "windows")).alias("leader"))
+    )
+    pairs = (
+        members.join(leaders, "bucket")
+        .where(F.col("key") != F.col("leader.key"))
+        .where(
+            F.least("windows", "leader.windows")
+            >= settings.similarity * F.greatest("windows", "leader.windows")
         )
-    rest = _open(members, found, leaders)
-    rest = rest.join(_leaders(rest).select("bucket"), "bucket")
-    other = rest.select("bucket", *[F.col(c).alias(f"{c}_b") for c in ("key", "central", "windows", "component")])
-    extended(
-        rest.join(other, "bucket")
-        .where(F.struct("central", "key") < F.struct("central_b", "key_b"))
-        .where(F.col("component") != F.col("component_b"))
-        .where(_fit(F.col("windows"), F.col("windows_b"), least))
-        .select(F.col("key").alias("a"), F.col("key_b").alias("b"))
+        .select(F.col("key").alias("a"), F.col("leader.key").alias("b"))
+        .distinct()
+    )
+    entries = rows.select("key", "entries").dropDuplicates(["key"])
+    equal = F.aggregate(
+        F.zip_with("entries_a", "entries_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x
+    )
+    pairs = (
+        pairs.join(entries.select(F.col("key").alias("a"), F.col("entries").alias("entries_a")), "a")
+        .join(entries.select(F.col("key").alias("b"), F.col("entries").alias("entries_b")), "b")
+        .where(equal >= settings.agreement * settings.bands * settings.rows)
+        .select("a", "b")
     )
+    pairs = checkpointed(pairs)
+    if not pairs.isEmpty():
+        links = checkpointed(verified(documents, pairs, settings))
+        found = components(links)
+    rest = members.select("bucket", "key")
+    rest = rest.withColumn("component", F.col("key")) if found is None else _with_component(rest, found)
+    led = leaders.select("bucket", F.col("leader.key").alias("leader"))
+    rest = rest.join(led, "bucket").where(F.col("key") != F.col("leader"))
+    open_ = rest.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    rest = checkpointed(rest.join(open_.where("low != high").select("bucket"), "bucket").drop("leader"))
+    if not rest.isEmpty():
+        new = checkpointed(blocks(documents, rest, settings))
+        links = new if links is None else links.union(new)
+        found = components(links)
     return found
 
 
@@ -397,7 +456,7 @@ def classes(documents: DataFrame, settings: NearDuplicates | None = None) -> Dat
     members, members_path = written(
         shared.join(central, "key").select("bucket", "key", "windows", "central"), "omh-buckets"
     )
-    found = linked(documents, members, settings)
+    found = linked(documents, members, rows, settings)
     removed(documents.sparkSession, members_path)
     own = rows.select("doc_id", "key")
     own = own.withColumn("component", F.col("key")) if found is None else _with_component(own, found)
