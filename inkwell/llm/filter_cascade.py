@@ -71,9 +71,7 @@ def _passes(key: Column, level: int, filter_: Level) -> Column:
     def bit(position: Column) -> Column:
         byte = F.substring(F.lit(filter_.bits), (F.floor(position / 8) + 1).cast("int"), F.lit(1))
         value = F.conv(F.hex(byte), 16, 10).cast("int")
-        return F.shiftright(value, 0).bitwiseAND(
-            F.element_at(F.array(*[F.lit(1 << b) for b in range(8)]), (position % 8 + 1).cast("int"))
-        ) != 0
+        return F.getbit(value, (position % 8).cast("int")) == 1
 
     return reduce(
         lambda a, b: a & b,
@@ -89,10 +87,14 @@ def member(key: Column, levels: list[Level]) -> Column:
     return answer
 
 
-def _built(keys: DataFrame, level: int, count: int, rate: float) -> Level:
-    """A filter over the ``key`` column. Only its words, whose number is known, are fetched."""
+def _shape(count: int, rate: float) -> tuple[int, int]:
+    """Bits (a multiple of 64) and probes of a filter for so many keys and this rate of errors."""
     probes = max(1, round(math.log2(1 / rate)))
-    size = max(64, math.ceil(count * probes / math.log(2) / 64) * 64)
+    return max(64, math.ceil(count * probes / math.log(2) / 64) * 64), probes
+
+
+def _built(keys: DataFrame, level: int, size: int, probes: int) -> Level:
+    """A filter over the ``key`` column. Only its words, whose number is known, are fetched."""
     words = (
         keys.select(F.explode(F.array(*_positions(F.col("key"), level, size, probes))).alias("p"))
         .groupBy(F.floor(F.col("p") / 64).cast("int").alias("word"))
@@ -117,16 +119,13 @@ def cascade(universe: DataFrame, max_bytes: int = 1 << 20, max_levels: int = 64)
     levels: list[Level] = []
     rate = min(0.5, math.sqrt(0.5) * count / others) if count and others else 0.5
     while count:
-        if len(levels) == max_levels or sum(len(x.bits) for x in levels) + count * 2 > max_bytes * (
-            1 if levels else 8
-        ):
+        size, probes = _shape(count, rate)
+        if len(levels) == max_levels or sum(len(x.bits) for x in levels) + size // 8 > max_bytes:
             return None
         side = F.col("listed") if len(levels) % 2 == 0 else ~F.col("listed")
         passed = [_passes(F.col("key"), i, x) for i, x in enumerate(levels)]
         inside = universe.where(reduce(lambda a, b: a & b, passed, side))
-        levels.append(_built(inside, len(levels), count, rate))
-        if sum(len(x.bits) for x in levels) > max_bytes:
-            return None
+        levels.append(_built(inside, len(levels), size, probes))
         wrong = reduce(lambda a, b: a & b, [*passed, _passes(F.col("key"), len(levels) - 1, levels[-1])], ~side)
         count, rate = universe.where(wrong).count(), 0.5
     return levels
@@ -136,14 +135,12 @@ def filter_urls(
     pages: DataFrame,
     rules: list[Rule],
     url: str = "url",
-    listed=lambda groups: F.col("blocked") > F.col("allowed"),
     max_bytes: int = 1 << 20,
 ) -> DataFrame:
     """``pages`` with host, path, rule and verdict.
 
-    The longest fitting rule decides. A page without one is blocked when its host is listed: by
-    default hosts with more pages blocked than allowed by rules, taken from all pages. Listing is
-    looked up in the cascade; when it would outgrow ``max_bytes`` a join gives the same answer.
+    The longest fitting rule decides. A page without one is blocked when its host is listed: hosts
+    with more pages blocked than allowed by rules, taken from all pages, are. Listing is looked up in the cascade; when it would outgrow ``max_bytes`` a join gives the same answer.
     Nulls and urls without ``://`` have an empty host and path, fit no rule and are allowed.
     Columns of ``pages`` called host, path, rule or verdict are replaced. Repeated rows are kept.
     """
@@ -157,7 +154,7 @@ def filter_urls(
             F.count_if(F.col("_ruled") == "block").alias("blocked"),
             F.count_if(F.col("_ruled") == "allow").alias("allowed"),
         )
-        .select("key", listed(None).alias("listed"))
+        .select("key", (F.col("blocked") > F.col("allowed")).alias("listed"))
     )
     levels = cascade(universe, max_bytes)
     if levels is None:

@@ -342,21 +342,33 @@ def _scored(
     )
     unknown = root_new / (totals.vocabulary + 1)
 
-    top = predictive.orderBy(F.desc("n"), "word").limit(model.head).toArrow().combine_chunks()
-    head = [bytes(w) for w in top.column("word").to_pylist()]
-    logs = np.zeros((max(len(head), 1), size), np.float32)
-    base = np.zeros(max(len(head), 1))
-    for i, batch in enumerate(top.to_batches()):
+    # Most frequent words: those above a bound on the count, taken from a histogram of log counts,
+    # so that no task orders all words. Contexts come first and so keep their numbers.
+    step = F.floor(F.log2("n") * 32)
+    room, bound = model.head - other, None
+    for row in sorted(predictive.groupBy(step.alias("step")).count().collect(), reverse=True):
+        room -= row["count"]
+        if room < 0:
+            break
+        bound = row.step
+    wanted = F.col("word").isin(contexts) if contexts else F.lit(False)
+    if bound is not None:
+        wanted = wanted | (step >= bound)
+    top = predictive.where(wanted).toArrow().combine_chunks()
+    rank = {w: i for i, w in enumerate(contexts)}
+    for word in top.column("word").to_pylist():
+        rank.setdefault(bytes(word), len(rank))
+    logs = np.zeros((max(len(rank), 1), size), np.float32)
+    base = np.zeros(max(len(rank), 1))
+    for batch in top.to_batches():
+        at = np.array([rank[bytes(w)] for w in batch.column("word").to_pylist()], int)
         parents = np.array(batch.column("parents").to_pylist(), float).mean(axis=1)
         table = backoff[None, :] * parents[:, None]
         row, ctx, _ = _entries(batch.append_column("ns", batch.column("probs")))
         table[row, ctx] = batch.column("probs").flatten().to_numpy(zero_copy_only=False)
-        start = sum(b.num_rows for b in top.to_batches()[:i])
-        logs[start : start + len(table)] = np.log10(table)
-        base[start : start + len(table)] = np.log10((np.array(batch.column("n")) + 1) / low)
-    # The contexts are the first words of the head, so both have the same numbers.
-    assert head[:other] == contexts[: len(head)]
-    shared = spark.sparkContext.broadcast(({w: i for i, w in enumerate(head)}, logs, base))
+        logs[at] = np.log10(table)
+        base[at] = np.log10((np.array(batch.column("n")) + 1) / low)
+    shared = spark.sparkContext.broadcast((rank, logs, base))
 
     plain = [f for f in documents.schema if f.name != "_text"]
     schema = (
