@@ -12,7 +12,7 @@ import time
 
 from pyspark.sql import SparkSession
 
-from inkwell import registered
+from fixtures import registered
 from inkwell.plans.warehouse import RELATIONS
 
 WRITTEN = [

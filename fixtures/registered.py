@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fixtures import derived
 from inkwell import fixed_values as fixed
 from inkwell.config import EngineConfig, Parameter
 from inkwell.functions import channels, keys, urls
@@ -29,8 +30,8 @@ from inkwell.plans.cubes import CUBES
 from inkwell.plans.dashboards import NAMED_QUERIES, named_query
 from inkwell.plans.metrics import DateRange, MetricQuery, metric_query
 from inkwell.plans.warehouse import RELATIONS, Warehouse
-from inkwell.sources import derived, readers, schemas
-from inkwell.streaming import incremental
+from inkwell.rebuilds import incremental
+from inkwell.sources import readers, schemas
 
 # The few sources that occur in the derived events; users give a full table as a CSV file.
 SOURCE_CATEGORIES = (

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from inkwell.config import EngineConfig
 from inkwell.plans import articles, clients, pages, sessions, staging, subscriptions
-from inkwell.streaming.incremental import in_window, overwrite, replace_window
+from inkwell.rebuilds.incremental import in_window, overwrite, replace_window
 
 
 @dataclass(frozen=True)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
-from inkwell import registered
+from fixtures import registered
 from tools.check_against_sql import ordered, sql_rows
 
 SMALL = "/root/testdata/sf0.001"

@@ -6,11 +6,11 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
-from inkwell import registered
+from fixtures import registered
 from inkwell.config import EngineConfig
 from inkwell.plans import sessions
 from inkwell.sources.readers import read_accounts, read_articles, read_events, read_source_categories
-from inkwell.streaming import incremental
+from inkwell.rebuilds import incremental
 from tests.rows import DAY, account, article, export, hit, micros, staged, warehouse
 
 START = micros("2024-01-01T12:00:00")

@@ -9,7 +9,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from inkwell import registered
+from fixtures import registered
 from inkwell.plans.dashboards import named_query
 
 SMALL = "/root/testdata/sf0.001"
