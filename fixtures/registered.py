@@ -11,6 +11,7 @@ import dataclasses
 import datetime as dt
 import tempfile
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -526,14 +527,43 @@ def _event_state(w: Warehouse) -> DataFrame:
 
 
 def _control_totals(w: Warehouse) -> DataFrame:
-    """Hits and clients against those of the export, where each hit has its row and batch."""
-    totals = metric_query(w, MetricQuery(["events.eventsCount", "events.activeUsers"]))
-    export = w.table("events")
+    """Totals of the cubes against counts of the hits, accounts and articles themselves."""
+    export, hits = w.table("events"), w.table("staged_events")
+    people, content = w.table("accounts"), w.table("articles")
+    viewed, known = F.col("event_name") == "page_view", F.col("session_key").isNotNull()
+
+    def distinct(rows: DataFrame, column: str):
+        return rows.agg(F.countDistinct(column)).scalar()
+
+    def filled(rows: DataFrame, column: str):
+        return rows.agg(F.count(column)).scalar()
+
     expected = {
-        "eventsCount": export.agg(F.countDistinct("batch_ordering_id")).scalar(),
-        "activeUsers": export.agg(F.countDistinct("user_pseudo_id")).scalar(),
+        "events": {
+            "eventsCount": distinct(export, "batch_ordering_id"),
+            "activeUsers": distinct(export, "user_pseudo_id"),
+            "activeRegisteredUsers": distinct(export, "user_id"),
+        },
+        "sessions": {
+            "sessions": distinct(hits, "session_key"),
+            "pageviews": filled(hits.where(viewed & known), "event_name"),
+        },
+        "pages": {"pageviews": filled(hits.where(viewed), "event_name")},
+        "crm": {
+            "newRegisteredUsers": filled(people, "registration_date"),
+            "newSubscribers": filled(people, "subscription_date"),
+            "newChurns": filled(people, "churn_date"),
+        },
+        "subscriptions": {"newSubscribers": filled(people, "subscription_date")},
+        "content": {"articlesPublished": filled(content, "article_id")},
     }
-    return quality.control_totals(totals, expected)
+    parts = [
+        quality.control_totals(
+            metric_query(w, MetricQuery([f"{cube}.{m}" for m in totals])), totals
+        ).withColumn("check", F.concat(F.lit(f"{cube}."), "check"))
+        for cube, totals in expected.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _reconciliation(w: Warehouse) -> DataFrame:
