@@ -12,7 +12,6 @@ them, so that no text is walked per match.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -195,9 +194,7 @@ def _beside(spans: Column, size: int) -> Column:
     # A word that the limit may have cut is left out.
     left = F.when(F.length(spans["left"]) > size, F.regexp_replace(left, r"^\p{L}+", "")).otherwise(left)
     right = F.when(F.length(spans["right"]) > size, F.regexp_replace(right, r"\p{L}+$", "")).otherwise(right)
-    return F.array_distinct(
-        F.regexp_extract_all(F.lower(F.concat_ws(" ", left, right)), F.lit(f"({_TERM})"), 1)
-    )
+    return _terms_of(F.concat_ws(" ", left, right))
 
 
 def _sent(df: DataFrame, settings: Disclosure) -> DataFrame:
@@ -205,59 +202,74 @@ def _sent(df: DataFrame, settings: Disclosure) -> DataFrame:
     return F.broadcast(df) if df.count() <= settings.broadcast_rows else df
 
 
-def disclosing_terms(spans: DataFrame, settings: Disclosure) -> DataFrame:
-    """(term, share): terms that give ``generalise`` or more of a value's information.
+def _terms_of(text: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(f"({_TERM})"), 1))
+
+
+def disclosing_terms(spans: DataFrame, settings: Disclosure) -> DataFrame | None:
+    """(key, _terms): for texts with terms that give ``generalise`` or more of a value's
+    information, those terms with their shares. None if there are no terms to look for.
 
-    ``spans``: key and text of each document with the columns of :func:`with_spans`. Only terms
-    near a value in enough distinct texts are counted over the corpus.
+    ``spans``: key and text of each document with the columns of :func:`with_spans`. Values come
+    from one pass over the texts; only terms near a value in enough distinct texts are then looked
+    up in all texts, in a second pass.
     """
-    values = reduce(
-        DataFrame.union,
-        [
-            spans.where(F.size(f"_{kind}") > 0)
-            .select("key", F.explode(f"_{kind}").alias("s"))
-            .select(
-                "key",
-                F.concat_ws(":", F.lit(kind), F.col("s.match")).alias("value"),
-                _beside(F.col("s"), settings.context).alias("terms"),
+    every = F.concat(
+        *[
+            F.transform(
+                F.col(f"_{kind}"),
+                lambda s: F.struct(
+                    F.concat_ws(":", F.lit(kind), s["match"]).alias("value"),
+                    _beside(s, settings.context).alias("terms"),
+                ),
             )
             for kind in KINDS
-        ],
+        ]
+    )
+    values = checkpointed(
+        spans.select("key", F.explode(every).alias("v")).select("key", "v.value", "v.terms")
     )
-    values = checkpointed(values)
     per_value = (
         values.select("value", "key").distinct().groupBy("value").agg(F.count("*").alias("n_value"))
     ).where(F.col("n_value") >= settings.min_texts)
-    met = (
+    total = float(spans.select("key").distinct().count())
+    near = values.select("key", F.explode("terms").alias("term")).distinct()
+    near = near.groupBy("term").agg(F.count("*").alias("n_near"))
+    # A term can reach the share only while n(t) <= n(e,t) (N / n(e)) ^ (1 - share). The texts
+    # where it stands near any value already are a part of n(t), so most common terms end here.
+    most = F.col("n_both") * F.pow(F.lit(total) / F.col("n_value"), F.lit(1 - settings.generalise))
+    met = checkpointed(
         values.join(per_value, "value")
         .select("value", "n_value", "key", F.explode("terms").alias("term"))
         .distinct()
         .groupBy("value", "n_value", "term")
         .agg(F.count("*").alias("n_both"))
         .where(F.col("n_both") >= settings.min_texts)
+        .join(near, "term")
+        .where(F.col("n_near") <= most + 1e-6)
+        .drop("n_near")
     )
-    met = checkpointed(met)
     if met.isEmpty():
-        return met.select("term", F.lit(0.0).alias("share")).limit(0)
-    words = spans.select(
-        "key", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(f"({_TERM})"), 1))).alias("term")
-    )
-    per_term = (
-        words.join(_sent(met.select("term").distinct(), settings), "term", "left_semi")
+        return None
+    held = checkpointed(
+        spans.select("key", F.explode(_terms_of(F.col("text"))).alias("term"))
+        .join(_sent(met.select("term").distinct(), settings), "term", "left_semi")
         .distinct()
-        .groupBy("term")
-        .agg(F.count("*").alias("n_term"))
     )
-    total = spans.select("key").distinct().count()
-    pmi = F.log(F.lit(float(total)) * F.col("n_both") / (F.col("n_value") * F.col("n_term")))
-    information = F.log(F.lit(float(total)) / F.col("n_value"))
-    return (
-        met.join(per_term, "term")
+    pmi = F.log(F.lit(total) * F.col("n_both") / (F.col("n_value") * F.col("n_term")))
+    information = F.log(F.lit(total) / F.col("n_value"))
+    disclosing = (
+        met.join(held.groupBy("term").agg(F.count("*").alias("n_term")), "term")
         .select("term", F.when(information > 0, F.try_divide(pmi, information)).alias("share"))
         .groupBy("term")
         .agg(F.max("share").alias("share"))
         .where(F.col("share") >= settings.generalise)
     )
+    return checkpointed(
+        held.join(disclosing, "term")
+        .groupBy("key")
+        .agg(F.collect_set(F.struct("term", "share")).alias("_terms"))
+    )
 
 
 def sanitise(documents: DataFrame, settings: Disclosure | None = None, text: str = "text") -> DataFrame:
@@ -278,18 +290,11 @@ def sanitise(documents: DataFrame, settings: Disclosure | None = None, text: str
     )
     key = F.unhex(F.sha2(F.col("text").cast("binary"), 256))
     found = with_spans(packed).withColumn("key", key)
-    terms = checkpointed(disclosing_terms(found.select("key", "text", *[f"_{k}" for k in KINDS]), settings))
-    if terms.isEmpty():
+    terms = disclosing_terms(found.select("key", "text", *[f"_{k}" for k in KINDS]), settings)
+    if terms is None:
         found = found.withColumn("_terms", F.lit(None).cast("array<struct<term:string,share:double>>"))
     else:
-        words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(f"({_TERM})"), 1))
-        held = (
-            packed.select(key.alias("key"), F.explode(words).alias("term"))
-            .join(_sent(terms, settings), "term")
-            .groupBy("key")
-            .agg(F.collect_set(F.struct("term", "share")).alias("_terms"))
-        )
-        found = found.join(_sent(checkpointed(held), settings), "key", "left")
+        found = found.join(_sent(terms, settings), "key", "left")
     return _finished(found, own, text, settings)
 
 
