@@ -1,11 +1,12 @@
 """Language-model scores: a hierarchical Pitman-Yor model over words, learned from a corpus.
 
-There is a restaurant for each of the most frequent preceding words and one for all others. Their
-tables are the customers of one shared parent, whose base is uniform over the vocabulary and one
-unknown word. Seating is sampled by Gibbs: all customers of a word leave a restaurant and are
-seated again one after another, given the tables of all others. Words are spread over tasks; the
-totals of tables of a restaurant are those of the last pass. The predictive probabilities of
-several seatings are averaged.
+There is a restaurant for each preceding word. Their tables are the customers of one shared
+parent, whose base is uniform over the vocabulary and one unknown word. Seating is sampled by
+Gibbs: all customers of a word leave a restaurant and are seated again one after another, given
+the tables of all others. Entries (preceding word, word) are rows of a table and meet the totals of
+their word and of their restaurant, which are those of the last pass, by joins. A customer alone in
+an entry has one table, so only entries of two or more are seated. The tables and the parent's
+probabilities of several seatings are averaged.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -26,13 +27,15 @@ from inkwell.llm.common import batch_rows, crc_mod, removed, text_or_empty, writ
 
 # The end of a text; words are never empty.
 END = b""
+# In place of the word before, for what a word adds alone; no word is a space.
+ALONE = b" "
 
 
 @dataclass(frozen=True)
 class Model:
-    """contexts: preceding words with a restaurant of their own. head: most frequent words, whose
-    probabilities are kept as one table of head x (contexts + 1) and need no join. passes: over
-    all words for the totals of tables; sweeps: of each word in a pass; samples: seatings averaged.
+    """contexts, head: most frequent words; pairs of a preceding word of the first and a word of the
+    second are scored from one table of head x contexts and need no join, with the same results.
+    passes times sweeps: seatings before the ``samples`` that are averaged.
     """
 
     contexts: int = 255
@@ -46,7 +49,10 @@ class Model:
 
 @dataclass(frozen=True)
 class Totals:
-    """Customers and tables per restaurant, tables and customers of the parent, and settings."""
+    """Customers and tables per restaurant, tables and customers of the parent, and settings.
+
+    Without ``root_customers`` the parent has a customer for each of ``tables``.
+    """
 
     customers: np.ndarray
     tables: np.ndarray
@@ -55,6 +61,7 @@ class Totals:
     discount: float
     root_discount: float
     strength: float
+    root_customers: float | None = None
 
 
 def words_of(text: str) -> list[bytes]:
@@ -92,36 +99,38 @@ def _seated(customers: np.ndarray, new: np.ndarray, discount: float, rng: np.ran
 
 
 def seat(
-    word: np.ndarray, ctx: np.ndarray, count: np.ndarray, totals: Totals, sweeps: int, samples: int, seed: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Gibbs sweeps over entries (word number, context, count), all entries of a word together.
-
-    Returns the tables of the last sweep per entry and of the parent per word, and from the last
-    ``samples`` sweeps the predictive probability per entry (averaged) and the parent's
-    probability per word and sample.
+    word: np.ndarray, ctx: np.ndarray, count: np.ndarray, totals: Totals, sweeps: int, samples: int, seed: int,
+    tables: np.ndarray | None = None, others: np.ndarray | None = None, root: np.ndarray | None = None,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Gibbs sweeps over entries (word number, context, count).
+
+    ``tables``: per entry to start with; ``others``: tables of the words in entries elsewhere;
+    ``root``: tables of the words in the parent, then held still. Returns the tables of the last
+    sweep per entry and of the parent per word, and from the last ``samples`` sweeps the predictive
+    probability per entry (averaged) and the parent's probability per word and sample.
     """
     rng = np.random.default_rng(seed)
     n_words = int(word[-1]) + 1 if len(word) else 0
     t = totals
     d1, d0 = t.discount, t.root_discount
     base = 1 / (t.vocabulary + 1)
-    root_customers = float(t.tables.sum())
-    tables = np.ones(len(word), np.int64)
-    root = np.ones(n_words, np.int64)
+    root_customers = float(t.tables.sum()) if t.root_customers is None else t.root_customers
+    tables = np.ones(len(word), np.int64) if tables is None else tables
+    others = np.zeros(n_words, np.int64) if others is None else others
+    held, root = root is not None, np.ones(n_words, np.int64) if root is None else root
     mean = np.zeros(len(word))
     parents = np.zeros((n_words, samples))
 
     def parent(own: np.ndarray | int, by: np.ndarray | slice) -> np.ndarray:
-        served = np.bincount(word, tables, n_words)[by] - own
-        weight = np.maximum(served - d0 * np.minimum(root[by], np.maximum(served, 0)), 0)
-        return (weight + (t.strength + d0 * t.root_tables) * base) / (t.strength + root_customers)
+        served = (np.bincount(word, tables, n_words) + others)[by] - own
+        return _parent(served, np.minimum(root[by], np.maximum(served, 0)), t, root_customers)
 
     for sweep in range(sweeps + samples):
         new = (t.strength + d1 * np.maximum(t.tables[ctx] - tables, 0)) * parent(tables, word)
         tables = _seated(count, new, d1, rng)
-        served = np.bincount(word, tables, n_words).astype(np.int64)
-        new_root = np.full(n_words, (t.strength + d0 * t.root_tables) * base)
-        root = _seated(served, new_root, d0, rng)
+        if not held:
+            served = np.bincount(word, tables, n_words).astype(np.int64) + others
+            root = _seated(served, np.full(n_words, (t.strength + d0 * t.root_tables) * base), d0, rng)
         if sweep >= sweeps:
             above = parent(0, slice(None))
             parents[:, sweep - sweeps] = above
@@ -130,12 +139,11 @@ def seat(
     return tables, root, mean, parents
 
 
-def _entries(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    lists = batch.column("ctxs")
-    lengths = np.diff(lists.offsets.to_numpy())
-    ctx = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-    count = batch.column("ns").flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-    return np.repeat(np.arange(batch.num_rows), lengths), ctx, count
+def _parent(served, root, t: Totals, root_customers: float):
+    """The parent's probability of words with so many customers and tables there."""
+    weight = np.maximum(served - t.root_discount * root, 0)
+    above = (t.strength + t.root_discount * t.root_tables) / (t.vocabulary + 1)
+    return (weight + above) / (t.strength + root_customers)
 
 
 def _seed(batch: pa.RecordBatch, turn: int) -> int:
@@ -144,15 +152,12 @@ def _seed(batch: pa.RecordBatch, turn: int) -> int:
     return zlib.crc32(batch.column("word")[0].as_py()) * 1000 + turn
 
 
-def word_counts(documents: DataFrame, contexts: list[bytes] | None, flush: int) -> DataFrame:
-    """Counts by word, or by word and context number, over all texts.
+def word_counts(documents: DataFrame, flush: int) -> DataFrame:
+    """Counts by word and preceding word, over all texts; rows of a pair are several.
 
     Tasks count in a dictionary first, which is emptied at ``flush`` entries.
     """
-    numbers = {w: i for i, w in enumerate(contexts or [])}
-    other = len(numbers)
-    schema = T.StructType([T.StructField("word", T.BinaryType()), T.StructField("ctx", T.IntegerType())])
-    schema = schema.add("n", "long")
+    schema = "word binary, ctx binary, n long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
@@ -165,12 +170,10 @@ def word_counts(documents: DataFrame, contexts: list[bytes] | None, flush: int)
             counts.clear()
             for i in range(0, len(keys), 50_000):
                 part = keys[i : i + 50_000]
-                words = [k[0] for k in part] if contexts is not None else part
-                ctx = [k[1] for k in part] if contexts is not None else [0] * len(part)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(words, pa.binary()),
-                        pa.array(ctx, pa.int32()),
+                        pa.array([w for w, _ in part], pa.binary()),
+                        pa.array([c for _, c in part], pa.binary()),
                         pa.array(values[i : i + 50_000], pa.int64()),
                     ],
                     names=["word", "ctx", "n"],
@@ -180,97 +183,162 @@ def word_counts(documents: DataFrame, contexts: list[bytes] | None, flush: int)
             for batch in batch_rows(whole):
                 for text in batch.column(0).to_pylist():
                     words = words_of(text)
-                    if contexts is None:
-                        counts.update(words)
-                    else:
-                        before = [numbers.get(w, other) for w in words]
-                        counts.update(zip(words, [before[-1], *before[:-1]], strict=True))
-                yield from rows(flush)
+                    counts.update(zip(words, [END, *words[:-1]], strict=True))
+                    yield from rows(flush)
         yield from rows(0)
 
     return documents.select(text_or_empty().alias("text")).mapInArrow(run, schema)
 
 
-def _totals(entries: DataFrame, vocabulary: int, root_discount: float, model: Model) -> Totals:
-    """Where each word has one table in each of its contexts."""
-    size = model.contexts + 1
-    customers, tables = np.zeros(size), np.zeros(size)
-    once = twice = 0
-    flat = entries.select(F.explode(F.arrays_zip("ctxs", "ns")).alias("e"))
-    for row in (
-        flat.groupBy(F.col("e.ctxs").alias("ctx"))
-        .agg(
-            F.sum("e.ns").alias("customers"),
-            F.count("*").alias("tables"),
-            F.count_if(F.col("e.ns") == 1).alias("once"),
-            F.count_if(F.col("e.ns") == 2).alias("twice"),
-        )
-        .collect()
-    ):
-        customers[row.ctx], tables[row.ctx] = row.customers, row.tables
-        once, twice = once + row.once, twice + row.twice
-    discount = _discount(once, twice)
-    return Totals(customers, tables, float(vocabulary), vocabulary, discount, root_discount, model.strength)
+def _seated_entries(repeated: DataFrame, words: DataFrame, totals: Totals, turn: int) -> DataFrame:
+    """The entries (ctx, word, n, tables, kept) seated once, given the totals of the last pass."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            count, tables, kept, served, root, own = (
+                batch.column(c).to_numpy(zero_copy_only=False)
+                for c in ("n", "tables", "kept", "served", "root", "own")
+            )
+            each = np.arange(batch.num_rows)
+            here = replace(totals, tables=own.astype(float))
+            tables, *_ = seat(each, each, count, here, 1, 0, _seed(batch, turn), tables, served - tables, root)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("ctx"), batch.column("word"), batch.column("n"), pa.array(tables), pa.array(kept)],
+                names=["ctx", "word", "n", "tables", "kept"],
+            )
+
+    return (
+        repeated.join(words.select("word", "served", "root"), "word")
+        .join(words.select(F.col("word").alias("ctx"), "own"), "ctx")
+        .mapInArrow(run, "ctx binary, word binary, n long, tables long, kept long")
+    )
 
 
-def _pass(entries: DataFrame, totals: Totals, model: Model, turn: int) -> Totals:
-    """One pass over all words; the tables per restaurant it ends with."""
-    size = model.contexts + 1
+def _seated_words(words: DataFrame, totals: Totals, turn: int) -> DataFrame:
+    """The words with the parent's tables seated again, given the tables that serve them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(size + 1)
         for batch in batches:
             if batch.num_rows:
-                word, ctx, count = _entries(batch)
-                tables, root, _, _ = seat(word, ctx, count, totals, model.sweeps, 0, _seed(batch, turn))
-                sums[:size] += np.bincount(ctx, tables, size)
-                sums[size] += root.sum()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(size + 1), pa.int64()), pa.array(sums, pa.float64())], names=["at", "tables"]
-        )
+                served = batch.column("served").to_numpy(zero_copy_only=False)
+                t = totals
+                new = (t.strength + t.root_discount * t.root_tables) / (t.vocabulary + 1)
+                rng = np.random.default_rng(_seed(batch, turn))
+                root = _seated(served, np.full(len(served), new), t.root_discount, rng)
+                at = batch.schema.get_field_index("root")
+                yield batch.set_column(at, "root", pa.array(root.astype(np.int64)))
+
+    return words.mapInArrow(run, words.schema)
+
+
+@dataclass(frozen=True)
+class Learned:
+    """words: word, count, parent (its probability), backoff (the weight of the parent after it);
+    gains: word, ctx, gain, where 10 ** gain is what multiplies backoff and parent; the parent's
+    probability of an unknown word, distinct words and tokens.
+    """
+
+    words: DataFrame
+    gains: DataFrame
+    unknown: float
+    vocabulary: int
+    tokens: int
 
-    tables = np.zeros(size + 1)
-    rows = entries.mapInArrow(run, "at long, tables double").groupBy("at").agg(F.sum("tables").alias("tables"))
-    for row in rows.collect():
-        tables[row.at] = row.tables
-    return Totals(
-        totals.customers, tables[:size], float(tables[size]), totals.vocabulary,
-        totals.discount, totals.root_discount, totals.strength,
+
+def learn(documents: DataFrame, model: Model) -> Learned:
+    """The model of the texts of ``documents``."""
+    spark = documents.sparkSession
+    grouped = word_counts(documents, model.flush).groupBy("ctx", "word").agg(F.sum("n").alias("n"))
+    entries, entries_path = written(grouped, "hpy-entries")
+    single = F.count_if(F.col("n") == 1)
+    # Each token is once a word and once the word before, so both sides have the same words.
+    start, words_path = written(
+        entries.groupBy("word")
+        .agg(F.sum("n").alias("count"), single.alias("served_once"), F.count("*").alias("served"))
+        .join(
+            entries.groupBy(F.col("ctx").alias("word")).agg(single.alias("own_once"), F.count("*").alias("own")),
+            "word",
+        )
+        .select(
+            "word", "count", "served_once", "own_once", "served", "own", F.lit(1).cast("long").alias("root"),
+            F.lit(0).cast("long").alias("own_sum"), F.lit(0.0).alias("parent_sum"),
+        ),
+        "hpy-words",
     )
 
+    def zero(column):
+        return F.coalesce(column, F.lit(0))
+
+    facts = start.agg(
+        F.count("*").alias("words"), zero(F.sum("count")).alias("tokens"), zero(F.sum("served")).alias("tables"),
+        F.count_if(F.col("count") == 1).alias("once"), F.count_if(F.col("count") == 2).alias("twice"),
+    ).first()
+    pairs = entries.agg(single.alias("once"), F.count_if(F.col("n") == 2).alias("twice")).first()
+    none = np.zeros(0)
+    totals = Totals(
+        none, none, float(facts.words), facts.words, _discount(pairs.once, pairs.twice),
+        _discount(facts.once, facts.twice), model.strength, float(facts.tables),
+    )
 
-def _predictive(entries: DataFrame, totals: Totals, model: Model) -> DataFrame:
-    """Per word its count, the parent's probability by sample and the contexts' probabilities."""
-    schema = (
-        T.StructType([T.StructField("word", T.BinaryType())])
-        .add("n", "long")
-        .add("parents", T.ArrayType(T.DoubleType()))
-        .add("ctxs", T.ArrayType(T.IntegerType()))
-        .add("probs", T.ArrayType(T.DoubleType()))
+    one = F.lit(1).cast("long")
+    repeated, repeated_path = (
+        entries.where("n > 1").select("ctx", "word", "n", one.alias("tables"), F.lit(0).cast("long").alias("kept")),
+        None,
     )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            word, ctx, count = _entries(batch)
-            _, _, probs, parents = seat(
-                word, ctx, count, totals, model.sweeps, model.samples, _seed(batch, 1 << 20)
-            )
-            offsets = np.append(0, np.cumsum(np.bincount(word, minlength=batch.num_rows))).astype(np.int32)
-            each = np.arange(0, model.samples * batch.num_rows + 1, model.samples, dtype=np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("word"),
-                    pa.array(np.bincount(word, count, batch.num_rows).astype(np.int64)),
-                    pa.ListArray.from_arrays(each, parents.reshape(-1)),
-                    pa.ListArray.from_arrays(offsets, ctx.astype(np.int32)),
-                    pa.ListArray.from_arrays(offsets, probs),
-                ],
-                names=["word", "n", "parents", "ctxs", "probs"],
+    words, unknown = start, 0.0
+    burn = model.passes * model.sweeps
+    for turn in range(burn + model.samples):
+        now = _seated_entries(repeated, words, totals, turn)
+        if turn >= burn:
+            now = now.withColumn("kept", F.col("kept") + F.col("tables"))
+        now, path = written(now, "hpy-seats")
+        served = now.groupBy("word").agg(F.sum("tables").alias("s"))
+        own = now.groupBy(F.col("ctx").alias("word")).agg(F.sum("tables").alias("o"))
+        moved = (
+            words.join(served, "word", "left")
+            .join(own, "word", "left")
+            .withColumn("served", F.col("served_once") + zero(F.col("s")))
+            .withColumn("own", F.col("own_once") + zero(F.col("o")))
+            .select(*words.columns)
+        )
+        moved, moved_path = written(_seated_words(moved, totals, turn), "hpy-words")
+        sums = moved.agg(zero(F.sum("served")).alias("served"), zero(F.sum("root")).alias("root")).first()
+        totals = replace(totals, root_tables=float(sums.root), root_customers=float(sums.served))
+        if turn >= burn:
+            above = (totals.strength + totals.root_discount * totals.root_tables) / (totals.vocabulary + 1)
+            low = totals.strength + totals.root_customers
+            unknown += above / low / model.samples
+            weight = F.greatest(F.col("served") - F.lit(totals.root_discount) * F.col("root"), F.lit(0.0))
+            # Evaluated with the next pass, or at the end.
+            moved = moved.withColumn("own_sum", F.col("own_sum") + F.col("own")).withColumn(
+                "parent_sum", F.col("parent_sum") + (weight + F.lit(above)) / F.lit(low)
             )
-
-    return entries.mapInArrow(run, schema)
+        removed(spark, words_path, *([repeated_path] if repeated_path else []))
+        repeated, repeated_path, words, words_path = now, path, moved, moved_path
+
+    d, strength = F.lit(totals.discount), F.lit(totals.strength)
+    room = strength + d * F.col("own_sum") / model.samples
+    scored = words.select(
+        "word", "count", (F.col("parent_sum") / model.samples).alias("parent"), room.alias("room"),
+        (room / (strength + F.col("count"))).alias("backoff"),
+    )
+    scored, _ = written(scored, "hpy-model")
+    all_entries = entries.where("n = 1").select("ctx", "word", "n", F.lit(1.0).alias("tables")).union(
+        repeated.select("ctx", "word", "n", F.col("kept") / model.samples)
+    )
+    gains, _ = written(
+        all_entries.join(scored.select("word", "parent"), "word")
+        .join(scored.select(F.col("word").alias("ctx"), "room"), "ctx")
+        .select(
+            "word", "ctx",
+            F.log10(1 + (F.col("n") - d * F.col("tables")) / (F.col("room") * F.col("parent"))).alias("gain"),
+        ),
+        "hpy-gains",
+    )
+    removed(spark, entries_path, words_path, *([repeated_path] if repeated_path else []))
+    return Learned(scored.drop("room"), gains, unknown, facts.words, facts.tokens)
 
 
 def score(documents: DataFrame, training, model: Model | None = None, text: str = "text") -> DataFrame:
@@ -284,96 +352,56 @@ def score(documents: DataFrame, training, model: Model | None = None, text: str
     """
     model = model or Model()
     results = ["n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"]
-    spark = documents.sparkSession
     documents = documents.withColumn("_text", text_or_empty(text))
-    learned = documents.where(training).select(F.col("_text").alias("text"))
-    documents = documents.drop(text, *results)
-
-    frequent = (
-        word_counts(learned, None, model.flush)
-        .groupBy("word")
-        .agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "word")
-        .limit(model.contexts)
-    )
-    contexts = [bytes(r.word) for r in frequent.collect()]
-    grouped = (
-        word_counts(learned, contexts, model.flush)
-        .repartition("word")
-        .groupBy("word", "ctx")
-        .agg(F.sum("n").alias("n"))
-        .groupBy("word")
-        .agg(F.sort_array(F.collect_list(F.struct("ctx", "n"))).alias("e"))
-        .select("word", F.col("e.ctx").alias("ctxs"), F.col("e.n").alias("ns"))
-    )
-    entries, entries_path = written(grouped, "hpy-entries")
-    n = F.aggregate("ns", F.lit(0).cast("long"), lambda a, b: a + b)
-    facts = (
-        entries.select(n.alias("n"))
-        .agg(
-            F.count("*").alias("words"),
-            F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"),
-            F.count_if(F.col("n") == 1).alias("once"),
-            F.count_if(F.col("n") == 2).alias("twice"),
-        )
-        .first()
-    )
-    vocabulary, tokens = facts.words, facts.tokens
-    totals = _totals(entries, vocabulary, _discount(facts.once, facts.twice), model)
-    for turn in range(model.passes):
-        totals = _pass(entries, totals, model, turn)
-    predictive, _ = written(_predictive(entries, totals, model), "hpy-words")
-    removed(spark, entries_path)
-    return _scored(documents, predictive, contexts, totals, tokens, model)
-
-
-def _scored(
-    documents: DataFrame, predictive: DataFrame, contexts: list[bytes], totals: Totals, tokens: int, model: Model
-) -> DataFrame:
-    """Head words are scored from the table while the text is read; rows of the other words meet
-    the word's probabilities in one join, and what they add is summed per document."""
+    learned = learn(documents.where(training).select(F.col("_text").alias("text")), model)
+    return _scored(documents.drop(text, *results), learned, model)
+
+
+def _scored(documents: DataFrame, learned: Learned, model: Model) -> DataFrame:
+    """Each token adds its parent's probability as a word, its backoff as the word before, and the
+    gain of its pair. Those of the head come from a table while the text is read; rows of the other
+    words and pairs meet theirs in one join, and what they add is summed per document."""
     spark = documents.sparkSession
-    size, other = model.contexts + 1, len(contexts)
-    low = tokens + totals.vocabulary + 1
-    parent_weight = totals.strength + totals.discount * totals.tables
-    backoff = parent_weight / (totals.strength + totals.customers)
-    root_new = (totals.strength + totals.root_discount * totals.root_tables) / (
-        totals.strength + float(totals.tables.sum())
-    )
-    unknown = root_new / (totals.vocabulary + 1)
+    words, gains = learned.words, learned.gains
+    low = learned.tokens + learned.vocabulary + 1
+    unknown = math.log10(learned.unknown)
+    frequent = words.orderBy(F.desc("count"), "word").limit(min(model.contexts, model.head)).select("word")
+    contexts = [bytes(r.word) for r in frequent.collect()]
+    other = len(contexts)
 
     # Most frequent words: those above a bound on the count, taken from a histogram of log counts,
     # so that no task orders all words. Contexts come first and so keep their numbers.
-    step = F.floor(F.log2("n") * 32)
+    step = F.floor(F.log2("count") * 32)
     room, bound = model.head - other, None
-    for row in sorted(predictive.groupBy(step.alias("step")).count().collect(), reverse=True):
-        room -= row["count"]
+    for row in sorted(words.groupBy(step.alias("step")).agg(F.count("*").alias("size")).collect(), reverse=True):
+        room -= row["size"]
         if room < 0:
             break
         bound = row.step
     wanted = F.col("word").isin(contexts) if contexts else F.lit(False)
     if bound is not None:
         wanted = wanted | (step >= bound)
-    top = predictive.where(wanted).toArrow().combine_chunks()
+    value = F.log10("parent") + F.log10("backoff")
+    top = words.where(wanted).select("word", "count", value.alias("value")).toArrow()
     rank = {w: i for i, w in enumerate(contexts)}
-    for word in top.column("word").to_pylist():
-        rank.setdefault(bytes(word), len(rank))
-    logs = np.zeros((max(len(rank), 1), size), np.float32)
-    base = np.zeros(max(len(rank), 1))
-    for batch in top.to_batches():
-        at = np.array([rank[bytes(w)] for w in batch.column("word").to_pylist()], int)
-        parents = np.array(batch.column("parents").to_pylist(), float).mean(axis=1)
-        table = backoff[None, :] * parents[:, None]
-        row, ctx, _ = _entries(batch.append_column("ns", batch.column("probs")))
-        table[row, ctx] = batch.column("probs").flatten().to_numpy(zero_copy_only=False)
-        logs[at] = np.log10(table)
-        base[at] = np.log10((np.array(batch.column("n")) + 1) / low)
-    shared = spark.sparkContext.broadcast((rank, logs, base))
+    at = [rank.setdefault(bytes(w), len(rank)) for w in top.column("word").to_pylist()]
+    single, base = np.zeros(max(len(rank), 1)), np.zeros(max(len(rank), 1))
+    single[at] = top.column("value").to_numpy()
+    base[at] = np.log10((top.column("count").to_numpy() + 1) / low)
+    table = np.zeros((max(len(rank), 1), other + 1), np.float32)
+    if contexts:
+        head = gains.where(F.col("ctx").isin(contexts)).join(
+            F.broadcast(words.where(wanted).select("word")), "word", "left_semi"
+        )
+        for batch in head.toArrow().to_batches():
+            row = [rank[w] for w in batch.column("word").to_pylist()]
+            table[row, [rank[c] for c in batch.column("ctx").to_pylist()]] = batch.column("gain").to_numpy()
+    shared = spark.sparkContext.broadcast((rank, single, base, table))
 
     plain = [f for f in documents.schema if f.name != "_text"]
     schema = (
-        T.StructType([T.StructField("word", T.BinaryType()), T.StructField("key", T.LongType())])
-        .add("ctx", T.IntegerType())
+        T.StructType([T.StructField("word", T.BinaryType()), T.StructField("ctx", T.BinaryType())])
+        .add("key", "long")
         .add("n", "long")
         .add("n_tokens", "long")
         .add("n_known", "long")
@@ -385,12 +413,12 @@ def _scored(
         schema = schema.add(name, f.dataType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, logs, base = shared.value
+        known, single, base, table = shared.value
         key = TaskContext.get().partitionId() << 33
         for whole in batches:
-            for batch in batch_rows(whole):
+            for batch in batch_rows(whole, 64):
                 columns: tuple[list, ...] = ([], [], [], [], [], [], [], [])
-                places: list[int] = []
+                places: list[int | None] = []
                 for at, text in enumerate(batch.column("_text").to_pylist()):
                     words = words_of(text)
                     n = len(words)
@@ -398,43 +426,39 @@ def _scored(
                     before = np.roll(number, 1)
                     before[(before < 0) | (before >= other)] = other
                     mine = number >= 0
+                    paired = mine & (before < other)
                     mark = b" %d" % key  # no word has a space, so this finds no partner
-                    row = (mark, key, 0, 0, n, int(mine.sum()), float(base[number[mine]].sum()),
-                           float(logs[number[mine], before[mine]].sum(dtype=np.float64)))
-                    for column, value in zip(columns, row, strict=True):
-                        column.append(value)
+                    row = (mark, ALONE, key, 0, n, int(mine.sum()), float(base[number[mine]].sum()),
+                           float(single[number[mine]].sum())
+                           + float(table[number[paired], before[paired]].sum(dtype=np.float64)))
+                    for column, v in zip(columns, row, strict=True):
+                        column.append(v)
                     places.append(at)
-                    rest = np.flatnonzero(~mine)
-                    tail = Counter((words[i], b) for i, b in zip(rest.tolist(), before[rest].tolist(), strict=True))
-                    size_ = len(tail)
+                    tail = Counter((words[i], ALONE) for i in np.flatnonzero(~mine).tolist())
+                    tail.update((words[i], words[i - 1]) for i in np.flatnonzero(~paired).tolist())
+                    size = len(tail)
                     columns[0].extend(w for w, _ in tail)
-                    columns[1].extend([key] * size_)
-                    columns[2].extend(c for _, c in tail)
+                    columns[1].extend(c for _, c in tail)
+                    columns[2].extend([key] * size)
                     columns[3].extend(tail.values())
-                    for column, zero in zip(columns[4:], (0, 0, 0.0, 0.0), strict=True):
-                        column.extend([zero] * size_)
-                    places.extend([None] * size_)
+                    for column, nothing in zip(columns[4:], (0, 0, 0.0, 0.0), strict=True):
+                        column.extend([nothing] * size)
+                    places.extend([None] * size)
                     key += 1
-                kinds = [pa.binary(), pa.int64(), pa.int32(), *[pa.int64()] * 3, pa.float64(), pa.float64()]
+                kinds = [*[pa.binary()] * 2, *[pa.int64()] * 4, pa.float64(), pa.float64()]
                 arrays = [pa.array(v, k) for v, k in zip(columns, kinds, strict=True)]
                 index = pa.array(places, pa.int64())
                 others = [batch.column(f.name).take(index) for f in plain]
                 yield pa.RecordBatch.from_arrays([*arrays, *others], names=schema.names)
 
-    def literal(values: np.ndarray):
-        return F.array(*[F.lit(float(v)) for v in values])
-
     rows = documents.mapInArrow(run, schema)
-    parents = F.aggregate("parents", F.lit(0.0), lambda a, b: a + b) / model.samples
-    at = F.array_position("ctxs", F.col("ctx"))
-    probability = F.when(at > 0, F.get("probs", (at - 1).cast("int"))).otherwise(
-        F.get(literal(backoff), F.col("ctx")) * F.coalesce(parents, F.lit(float(unknown)))
-    )
-    found = rows.alias("t").join(
-        predictive.select("word", F.col("n").alias("c"), "parents", "ctxs", "probs"), "word", "left"
+    every = words.select("word", F.lit(ALONE).alias("ctx"), F.col("count").alias("c"), value.alias("v")).union(
+        gains.select("word", "ctx", F.lit(None).cast("long"), "gain")
     )
-    own = F.col("n") > 0
+    found = rows.join(every, ["word", "ctx"], "left")
+    own = (F.col("n") > 0) & (F.col("ctx") == F.lit(ALONE))
     count = F.coalesce("c", F.lit(0))
+    missing = F.when(own, F.lit(unknown)).otherwise(0.0)
     parts = found.select(
         "key",
         *own_columns,
@@ -444,7 +468,7 @@ def _scored(
             F.col("base_score")
             + F.when(own, F.col("n") * F.log10((count + 1) / F.lit(float(low)))).otherwise(0.0)
         ).alias("base_score"),
-        (F.col("score") + F.when(own, F.col("n") * F.log10(probability)).otherwise(0.0)).alias("score"),
+        (F.col("score") + F.col("n") * F.coalesce("v", missing)).alias("score"),
     )
     return (
         parts.groupBy("key")
@@ -458,7 +482,7 @@ def _scored(
             *[F.col(f"`{f.name}`") for f in plain],
             "n_tokens",
             "n_known",
-            F.lit(int(tokens)).cast("long").alias("train_tokens"),
+            F.lit(int(learned.tokens)).cast("long").alias("train_tokens"),
             "base_score",
             "score",
             F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"),

@@ -395,6 +395,37 @@ def test_every_text_has_a_probability(spark, head):
     assert len(score) == len(texts) + len(probes)
 
 
+def test_every_preceding_word_has_a_restaurant(spark):
+    """400 words, each always before one of its own: more than the head's contexts."""
+    size = 400
+    texts = [f"before{i} after{i} end" for i in range(size) for _ in range(3)]
+    probes = [f"before{i} after{j} end" for i in range(size) for j in (i, (i + 1) % size)]
+    df = spark.createDataFrame(
+        [(i, t, True) for i, t in enumerate(texts)] + [(10_000 + i, t, False) for i, t in enumerate(probes)],
+        "doc_id long, text string, train boolean",
+    )
+    score = {r.doc_id: r.score for r in pitman_yor.score(df, F.col("train")).collect()}
+    assert all(score[10_000 + 2 * i] > score[10_001 + 2 * i] + 1 for i in range(size))
+
+
+def test_learned_probabilities_sum_to_one(spark):
+    """After each word, over the vocabulary and the unknown word; the head does not matter."""
+    texts = [prose(i % 7, 40) + " a b a c a b" for i in range(20)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    model = pitman_yor.learn(df, pitman_yor.Model())
+    words = {bytes(r.word): r for r in model.words.collect()}
+    gains = {(bytes(r.ctx), bytes(r.word)): 10**r.gain for r in model.gains.collect()}
+    assert abs(sum(r.parent for r in words.values()) + model.unknown - 1) < 1e-9
+    for u, r in words.items():
+        total = sum(x.parent * r.backoff * gains.get((u, w), 1) for w, x in words.items())
+        assert abs(total + model.unknown * r.backoff - 1) < 1e-9
+    scores = [
+        {r.doc_id: round(r.score, 3) for r in pitman_yor.score(df, F.lit(True), pitman_yor.Model(contexts=c, head=h)).collect()}
+        for c, h in ((1, 1), (255, 8192))
+    ]
+    assert scores[0] == scores[1]
+
+
 def test_predictive_probabilities_sum_to_one():
     """Of every restaurant, over the vocabulary and the unknown word, whatever the seating."""
     rng = np.random.default_rng(2)
