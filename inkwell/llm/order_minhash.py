@@ -26,18 +26,16 @@ from inkwell.llm.common import batch_rows, checkpointed, removed, text_or_empty,
 @dataclass(frozen=True)
 class NearDuplicates:
     """k: words of a window; similarity: least Jaccard similarity of the windows and least edit
-    similarity of the words; bands of rows sketch entries. With 20 bands of 3 entries two texts of
-    similarity 0.8 share a bucket with probability 0.998, those of 0.85 with 0.9999, of 0.5 with
-    0.27, of 0.3 with 0.01. agreement: least share of equal entries before texts are fetched; the
-    mean at similarity 0.8 is 0.64, four deviations above it. block: texts compared at a time;
-    broadcast_rows: most keys that are sent to all executors.
+    similarity of the words; bands of rows sketch entries. With 24 bands of 3 entries two texts of
+    similarity 0.8 share a bucket with probability 0.9993, those of 0.85 with 0.99998, of 0.5 with
+    0.31, of 0.3 with 0.02. block: texts compared at a time; broadcast_rows: most keys that are sent
+    to all executors.
     """
 
     k: int = 5
     similarity: float = 0.8
-    bands: int = 20
+    bands: int = 24
     rows: int = 3
-    agreement: float = 0.4
     block: int = 256
     broadcast_rows: int = 200_000
     seed: int = 11
@@ -177,36 +175,38 @@ def key_of(text: str) -> bytes:
     return hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()[:16]
 
 
-def sketched(documents: DataFrame, settings: NearDuplicates) -> DataFrame:
-    """doc_id, key (of the text), distinct windows, bands and short entries of each row."""
-    functions = np.random.default_rng(settings.seed).integers(
+def hash_functions(settings: NearDuplicates) -> np.ndarray:
+    """One odd factor per sketch entry."""
+    return np.random.default_rng(settings.seed).integers(
         1 << 63, size=settings.bands * settings.rows, dtype=np.uint64
     ) * np.uint64(2) + np.uint64(1)
+
+
+def sketched(documents: DataFrame, settings: NearDuplicates) -> DataFrame:
+    """doc_id, key (of the text), distinct windows and bands of each row."""
+    functions = hash_functions(settings)
     source = documents.select("doc_id", text_or_empty().alias("text"))
     schema = T.StructType([source.schema["doc_id"]]).add("key", "binary").add("windows", "long")
-    schema = schema.add("bands", T.ArrayType(T.LongType())).add("entries", T.ArrayType(T.ShortType()))
+    schema = schema.add("bands", T.ArrayType(T.LongType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for whole in batches:
             for batch in batch_rows(whole):
-                keys, sizes, bands, entries = [], [], [], []
+                keys, sizes, bands = [], [], []
                 for text in batch.column("text").to_pylist():
                     keys.append(key_of(text))
                     grams = windows(hashes.of(words_of(text)), settings.k)
                     sizes.append(len(np.unique(grams)))
-                    found = sketch(grams, functions) if len(grams) else np.array([], np.uint64)
-                    bands.append(buckets(found, settings.rows) if len(grams) else [])
-                    entries.append((found >> np.uint64(48)).astype(np.uint16).view(np.int16))
+                    bands.append(buckets(sketch(grams, functions), settings.rows) if len(grams) else [])
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id"),
                         pa.array(keys, pa.binary()),
                         pa.array(sizes, pa.int64()),
                         pa.array(bands, pa.list_(pa.int64())),
-                        pa.array(entries, pa.list_(pa.int16())),
                     ],
-                    names=["doc_id", "key", "windows", "bands", "entries"],
+                    names=["doc_id", "key", "windows", "bands"],
                 )
 
     return source.mapInArrow(run, schema)
@@ -390,7 +390,7 @@ def _with_component(df: DataFrame, of: DataFrame) -> DataFrame:
     return df.join(of, "key", "left").withColumn("component", F.coalesce("component", "key"))
 
 
-def linked(documents: DataFrame, members: DataFrame, rows: DataFrame, settings: NearDuplicates):
+def linked(documents: DataFrame, members: DataFrame, settings: NearDuplicates):
     """(key, component) of all texts with a near-duplicate; None if there are no links.
 
     First each member of a bucket meets the most central one. Buckets whose members are not in one
@@ -410,16 +410,6 @@ def linked(documents: DataFrame, members: DataFrame, rows: DataFrame, settings:
         .select(F.col("key").alias("a"), F.col("leader.key").alias("b"))
         .distinct()
     )
-    entries = rows.select("key", "entries").dropDuplicates(["key"])
-    equal = F.aggregate(
-        F.zip_with("entries_a", "entries_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x
-    )
-    pairs = (
-        pairs.join(entries.select(F.col("key").alias("a"), F.col("entries").alias("entries_a")), "a")
-        .join(entries.select(F.col("key").alias("b"), F.col("entries").alias("entries_b")), "b")
-        .where(equal >= settings.agreement * settings.bands * settings.rows)
-        .select("a", "b")
-    )
     pairs = checkpointed(pairs)
     if not pairs.isEmpty():
         links = checkpointed(verified(documents, pairs, settings))
@@ -456,7 +446,7 @@ def classes(documents: DataFrame, settings: NearDuplicates | None = None) -> Dat
     members, members_path = written(
         shared.join(central, "key").select("bucket", "key", "windows", "central"), "omh-buckets"
     )
-    found = linked(documents, members, rows, settings)
+    found = linked(documents, members, settings)
     removed(documents.sparkSession, members_path)
     own = rows.select("doc_id", "key")
     own = own.withColumn("component", F.col("key")) if found is None else _with_component(own, found)

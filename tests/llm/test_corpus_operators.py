@@ -143,6 +143,44 @@ def test_bands_meet_as_often_as_promised():
     assert missed <= 2
 
 
+def test_production_bands_meet_as_often_as_promised():
+    chosen = omh.NearDuplicates()
+    functions = omh.hash_functions(chosen)
+    assert len(functions) == chosen.bands * chosen.rows
+    hashes = omh.WordHashes()
+    rng = np.random.default_rng(5)
+    equal = []
+    for i in range(150):
+        words = [b"%d" % x for x in rng.integers(1 << 40, size=230)]
+        other = words[:]
+        for j in range(10, 230, 45):  # five changes: similarity 0.80
+            other[j] = b"x%d" % i
+        a, b = (omh.sketch(omh.windows(hashes.of(w), 5), functions) for w in (words, other))
+        equal.append((a == b).mean())
+    assert (1 - np.mean(equal) ** chosen.rows) ** chosen.bands < 0.001
+
+
+def test_links_with_leaders_do_not_hang_on_the_sketch(spark):
+    """Pairs with a repeated word: the sketches differ more than the sets of windows."""
+    chosen, hashes, documents, wanted = omh.NearDuplicates(), omh.WordHashes(), [], {}
+    for i in range(40):
+        words = [f"{i}w{j}" for j in range(100)]
+        other = words[:]
+        other[30] = other[70] = f"{i}x"
+        pair = [[*words, *[f"{i}z"] * 6], [*other, *[f"{i}z"] * 30]]
+        documents += [(2 * i + n, " ".join(p)) for n, p in enumerate(pair)]
+        a, b = (
+            omh.buckets(
+                omh.sketch(omh.windows(hashes.of([w.encode() for w in p]), 5), omh.hash_functions(chosen)), chosen.rows
+            )
+            for p in pair
+        )
+        wanted[2 * i + 1] = 2 * i if set(a.tolist()) & set(b.tolist()) else 2 * i + 1
+    found = classes(spark, documents)
+    assert all(found[(d, c)] == 1 for d, c in wanted.items())
+    assert sum(d != c for d, c in wanted.items()) > 25
+
+
 # Decontamination
 
 
