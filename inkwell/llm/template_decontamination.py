@@ -3,8 +3,8 @@
 Texts are reduced to templates: lower-case words without punctuation, where numbers, units after
 numbers and names inside sentences are typed placeholders. Windows of a benchmark item's template
 are joined by hash with those of the documents. Where enough windows of an item meet, the values
-in the placeholders are compared: each value of the item must stand for one value of the document
-and the other way round, as when a question is asked again with other parameters.
+in the placeholders are compared: each value of the item must stand for one value of the document,
+as when a question is asked again with other parameters.
 """
 
 from __future__ import annotations
@@ -53,7 +53,7 @@ def template(text: Column) -> Column:
     numbers = F.regexp_replace(clean, _QUANTITY, f" {NUMBER}$2$3 ")
     # A unit is kept by the step above and becomes a placeholder only after a number's.
     units = F.regexp_replace(numbers, f"(?i)(?<={NUMBER})\\s?{_UNIT}", f" {UNIT} ")
-    names = F.regexp_replace(units, _NAME, NAME)
+    names = F.regexp_replace(units, _NAME, f" {NAME} ")
     words = F.trim(F.regexp_replace(F.lower(names), _BETWEEN, " "))
     return F.when(words == "", F.array().cast("array<string>")).otherwise(F.split(words, " "))
 
@@ -102,7 +102,8 @@ def leaks(
     """doc_id, text_hash, item_id, windows met, windows of the item, coverage, run, slots,
     verbatim, for each pair of a document and an item that it holds.
 
-    An item is held when its windows meet as ``Templates`` says and its slots are consistent.
+    An item is held when its windows meet as ``Templates`` says and its slots are consistent in one
+    of the alignments that meet so, or in the longest.
     Windows with too few literal words are left out, unless an item has no others. Items shorter
     than a window match whole documents with the same template. Null texts count as empty and
     match nothing; an item without words matches nothing. Documents with the same id and text
@@ -144,8 +145,12 @@ def leaks(
         .agg(F.lit(1).alias("one"))
     )
     met = checkpointed(met.drop("one"))
-    runs = met.groupBy(*key, "shift").agg(F.count("*").alias("run")).groupBy(*key).agg(
-        F.max_by("shift", F.struct("run", -F.col("shift"))).alias("shift"), F.max("run").alias("run")
+    shifts = met.groupBy(*key, "item_windows", "shift").agg(F.count("*").alias("own_run"))
+    enough = (F.col("own_run") >= s.run) | (F.col("own_run") / F.col("item_windows") >= s.coverage)
+    runs = shifts.groupBy(*key).agg(
+        F.max_by("shift", F.struct("own_run", -F.col("shift"))).alias("best"),
+        F.max("own_run").alias("run"),
+        F.collect_set(F.when(enough, F.col("shift"))).alias("others"),
     )
     found = (
         met.groupBy(*key, "item_windows")
@@ -157,7 +162,7 @@ def leaks(
     )
     found = checkpointed(found)
 
-    # Slots of the best alignment of each pair.
+    # Slots of the alignments of each pair.
     whole = docs.join(
         _sent(_null_safe(found.select("doc_id", "text_hash").distinct(), ["doc_id", "text_hash"]), s),
         _same(["doc_id", "text_hash"]), "left_semi",
@@ -168,7 +173,8 @@ def leaks(
         ),
         ["doc_id", "text_hash"],
     )
-    covered = found.select(*key, "shift").join(
+    tried = found.select(*key, F.explode(F.array_union(F.array("best"), "others")).alias("shift"))
+    covered = tried.join(
         _null_safe(met.withColumn("met_shift", F.col("shift")).select(*key, "item_at", "met_shift"), key),
         _same(key) & (F.col("shift") == F.col("met_shift")),
     )
@@ -184,29 +190,29 @@ def leaks(
     )
     compared = covered.join(
         slots, _same(["doc_id", "text_hash"]) & (F.col("doc_at") == F.col("_at"))
-    ).select(*key, "item_value", "doc_value")
+    ).select(*key, "shift", "item_value", "doc_value")
     verdicts = (
-        compared.groupBy(*key)
+        compared.groupBy(*key, "shift")
         .agg(
             F.count("*").alias("slots"),
             F.count_distinct("item_value").alias("item_values"),
-            F.count_distinct("doc_value").alias("doc_values"),
             F.count_distinct("item_value", "doc_value").alias("pairs"),
             F.bool_and(F.col("item_value") == F.col("doc_value")).alias("equal"),
         )
     )
-    consistent = F.col("pairs").isNull() | (
-        (F.col("pairs") == F.col("item_values")) & (F.col("pairs") == F.col("doc_values"))
+    consistent = F.col("pairs").isNull() | (F.col("pairs") == F.col("item_values"))
+    verdict = F.struct(
+        F.coalesce("equal", F.lit(True)).alias("verbatim"), F.coalesce("slots", F.lit(0)).alias("slots")
     )
-    return (
-        found.join(_null_safe(verdicts, key), _same(key), "left")
+    held = (
+        tried.join(_null_safe(verdicts, [*key, "shift"]), _same([*key, "shift"]), "left")
         .where(consistent)
-        .select(
-            *key, "windows", "item_windows", "coverage", "run",
-            F.coalesce("slots", F.lit(0)).alias("slots"),
-            F.coalesce("equal", F.lit(True)).alias("verbatim"),
-        )
-    )
+        .groupBy(*key)
+        .agg(F.max(verdict).alias("verdict"))
+    )
+    return found.join(_null_safe(held, key), _same(key)).select(
+        *key, "windows", "item_windows", "coverage", "run", "verdict.slots", "verdict.verbatim"
+    )
 
 
 def _null_safe(df: DataFrame, keys: list[str]) -> DataFrame:

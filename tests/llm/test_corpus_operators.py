@@ -228,6 +228,21 @@ def test_template_and_values_have_the_same_slots(spark):
     assert row[1] == ["anna", "lee", "12.5", "km", "3", "miles", "$40", "7", "%", "5", "kg", "rice"]
 
 
+def test_verbatim_leaks_after_words_with_digits_and_bad_copies(spark):
+    bad = ITEM.replace("12 sheep", "45 sheep").replace("Tom have", "Max have")
+    # One value of the document for two of the item.
+    merged = ITEM.replace("Anna", "Tom")
+    before = prose(1, 60) + " He plays an MP3 on A4 for Tom today. "
+    texts = [before + ITEM, bad + "\n" + prose(2, 30) + "\n" + ITEM, merged, bad, before + bad]
+    benchmark = spark.createDataFrame([(7, ITEM)], "item_id long, text string")
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = decontamination.leaks(df, benchmark).collect()
+    assert sorted((r.doc_id, r.verbatim) for r in rows) == [(0, True), (1, True), (2, False)]
+    one = df.limit(1).select(F.lit("He plays an MP3 for Tom today").alias("text"))
+    row = one.select(decontamination.template(F.col("text")), decontamination.values(F.col("text"))).first()
+    assert sum(w == decontamination.NAME for w in row[0]) == len(row[1]) == 2
+
+
 def test_leaks_on_awkward_rows(spark):
     benchmark = table(spark, SMALL, "benchmark")
     item = benchmark.where("item_id = 3").first().text
