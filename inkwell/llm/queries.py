@@ -17,10 +17,12 @@ from inkwell.llm import (
     filter_cascade,
     license_scan,
     line_quality,
+    merkle_manifest,
     order_minhash,
     pairwise_quality,
     pii_sanitise,
     pitman_yor,
+    source_divergence,
     template_decontamination,
 )
 from inkwell.llm.common import crc_mod, table
@@ -114,6 +116,30 @@ def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
+def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents, checked against the rows as they would be after tampering with some."""
+    docs = table(spark, sf_dir, "documents")
+    names = ("doc_id", "source", "lang", "n_chars", "text")
+    fields = {name: F.col(name) for name in names}
+    touched = {**fields, "n_chars": F.col("n_chars") + F.lit(1)}
+    tampered = F.col("doc_id").isNotNull() & F.col("n_chars").isNotNull() & (crc_mod("doc_id", 7) == 0)
+    shown = F.when(tampered, merkle_manifest.digest([touched[n] for n in names]))
+    leaves = docs.select(
+        "doc_id", "lang", merkle_manifest.digest([fields[n] for n in names]).alias("leaf"), shown.alias("shown")
+    )
+    proven = merkle_manifest.manifest(leaves, "lang", ["doc_id"])
+    presented = F.coalesce("shown", "leaf")
+    return proven.select(
+        "doc_id", "leaf", "subroot", "root",
+        F.sha2(merkle_manifest.siblings(F.col("steps")).cast("binary"), 256).alias("proof_sha256"),
+        merkle_manifest.folded(presented, F.col("steps")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 URL_SQL = """
 WITH parts AS (
   SELECT page_id,
@@ -166,6 +192,114 @@ SELECT conv_id, count(*) AS n_turns, CAST(0 AS BIGINT) AS rewritten_turns,
 FROM sized GROUP BY conv_id
 """
 
+DIVERGENCE_SQL = """
+WITH rows AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS words
+  FROM documents
+), kept AS (
+  SELECT lang, term FROM (SELECT lang, unnest(list_distinct(words)) AS term FROM rows)
+  GROUP BY lang, term HAVING count(*) >= 3
+), groups AS (
+  SELECT DISTINCT lang, source FROM rows
+), counts AS (
+  SELECT lang, source, term, count(*) AS n FROM (SELECT lang, source, unnest(words) AS term FROM rows)
+  SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term
+), sizes AS (
+  SELECT g.lang, g.source, coalesce((SELECT sum(n) FROM counts c WHERE c.lang = g.lang AND c.source = g.source), 0) AS total,
+    (SELECT count(*) FROM kept k WHERE k.lang = g.lang) AS v
+  FROM groups g
+), shares AS (
+  SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (s.total + s.v)::HUGEINT AS p
+  FROM sizes s JOIN kept k ON k.lang = s.lang
+  LEFT JOIN counts c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term
+), whole AS (
+  SELECT lang, term, sum(n) AS n, sum(sum(n)) OVER (PARTITION BY lang) AS total, count(*) OVER (PARTITION BY lang) AS v
+  FROM counts GROUP BY lang, term
+), lang_shares AS (
+  SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 1)) // (total + v)::HUGEINT AS q FROM whole
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item,
+    coalesce((SELECT sum(((x.p - y.p) * (x.p - y.p)) // y.p) FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term
+      WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source != b.source
+), terms AS (
+  SELECT s.lang, s.source, s.term AS item, ((s.p - l.q) * (s.p - l.q)) // l.q AS value
+  FROM shares s JOIN lang_shares l ON s.lang = l.lang AND s.term = l.term WHERE s.n > 0 AND s.p > l.q
+), ranked AS (
+  SELECT 'pair' AS part, *, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pairs
+  UNION ALL
+  SELECT * FROM (
+    SELECT 'term' AS part, *, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM terms
+  ) WHERE rank <= 200
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked
+"""
+
+MANIFEST_SQL = """
+WITH RECURSIVE docs AS (
+  SELECT *,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+    coalesce(strlen(text) || ':' || text, '-') AS tail
+  FROM documents
+), leaves AS (
+  SELECT doc_id, lang, sha256(head || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || tail) AS leaf,
+    sha256(head || coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') || tail) AS tampered
+  FROM docs
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+    count(*) OVER (PARTITION BY lang) AS n
+  FROM leaves
+), nodes AS (
+  SELECT lang, 0 AS level, i, n, leaf AS h FROM placed
+  UNION ALL
+  SELECT lang, level + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i))
+  FROM nodes WHERE n > 1 GROUP BY lang, level, n, i // 2
+), subroots AS (
+  SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS n
+  FROM nodes WHERE n = 1
+), top AS (
+  SELECT 0 AS level, i, n, h FROM subroots
+  UNION ALL
+  SELECT level + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM top WHERE n > 1 GROUP BY level, n, i // 2
+), ends AS (
+  SELECT p.doc_id, p.leaf, s.h AS subroot, (SELECT h FROM top WHERE n = 1) AS root, p.lang, p.i, s.i AS group_i,
+    p.tampered, row_number() OVER () AS id,
+    xor(4294967295, list_reduce(
+      [4294967295] || list_transform(string_split(p.doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+      lambda c, b: list_reduce([xor(c, b)] || range(8), lambda d, bit: xor(d >> 1, 3988292384 * (d & 1)))
+    )) AS crc
+  FROM placed p JOIN subroots s ON p.lang IS NOT DISTINCT FROM s.lang
+), steps AS (
+  SELECT e.id, n.level AS step, e.i >> n.level AS at, max(o.h) AS sibling
+  FROM ends e JOIN nodes n ON n.lang IS NOT DISTINCT FROM e.lang AND n.n > 1 AND n.i = e.i >> n.level
+  LEFT JOIN nodes o ON o.lang IS NOT DISTINCT FROM n.lang AND o.level = n.level AND o.i = xor(n.i, 1)
+  GROUP BY ALL
+  UNION ALL
+  SELECT e.id, 1000 + t.level, e.group_i >> t.level, max(o.h)
+  FROM ends e JOIN top t ON t.n > 1 AND t.i = e.group_i >> t.level
+  LEFT JOIN top o ON o.level = t.level AND o.i = xor(t.i, 1)
+  GROUP BY ALL
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY step) AS k FROM steps
+), fold AS (
+  SELECT id, 0 AS k, CASE WHEN crc % 7 = 0 THEN tampered ELSE leaf END AS h FROM ends
+  UNION ALL
+  SELECT f.id, f.k + 1, sha256(CASE WHEN n.at % 2 = 1 THEN coalesce(n.sibling, '') || f.h ELSE f.h || coalesce(n.sibling, '') END)
+  FROM fold f JOIN numbered n ON n.id = f.id AND n.k = f.k + 1
+), folded AS (
+  SELECT id, arg_max(h, k) AS folded_root FROM fold GROUP BY id
+), proofs AS (
+  SELECT id, string_agg(sibling, '' ORDER BY k) AS joined FROM numbered GROUP BY id
+)
+SELECT e.doc_id, e.leaf, e.subroot, e.root, sha256(coalesce(p.joined, '')) AS proof_sha256, f.folded_root,
+  f.folded_root = e.root AS verified
+FROM ends e JOIN folded f ON e.id = f.id LEFT JOIN proofs p ON p.id = e.id
+"""
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -181,8 +315,15 @@ def queries() -> dict[str, Query]:
         "op8_packing": packing,
         "op9_quality_classifier": quality_classifier,
         "op10_language_model": language_model,
+        "op11_source_divergence": divergence,
+        "op13_merkle_manifest": manifest,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_url_filter": URL_SQL, "op7_chat_format": CHAT_SQL}
+    return {
+        "op5_url_filter": URL_SQL,
+        "op7_chat_format": CHAT_SQL,
+        "op11_source_divergence": DIVERGENCE_SQL,
+        "op13_merkle_manifest": MANIFEST_SQL,
+    }
