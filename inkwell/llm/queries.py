@@ -15,6 +15,7 @@ from inkwell.llm import (
     chat_render,
     dp_packing,
     filter_cascade,
+    jaccard_join,
     license_scan,
     line_quality,
     merkle_manifest,
@@ -120,6 +121,10 @@ def divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence.audit(table(spark, sf_dir, "documents").select("lang", "source", "text"))
 
 
+def ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Proofs of all documents, checked against the rows as they would be after tampering with some."""
     docs = table(spark, sf_dir, "documents")
@@ -238,6 +243,28 @@ WITH rows AS (
 SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked
 """
 
+JACCARD_SQL = """
+WITH RECURSIVE docs AS (
+  SELECT doc_id, row_number() OVER () AS id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s
+  FROM docs
+), items AS (
+  SELECT id, len(s) AS n, unnest(s) AS t FROM sets
+), links AS (
+  SELECT a.id AS a, b.id AS b FROM items a JOIN items b ON a.t = b.t AND a.id != b.id
+  GROUP BY a.id, b.id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), reached AS (
+  SELECT id AS a, id AS b FROM sets UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b
+)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, min(o.doc_id) AS component_id
+FROM sets s JOIN reached r ON r.a = s.id JOIN sets o ON o.id = r.b GROUP BY s.id, s.doc_id, len(s.s)
+"""
+
 MANIFEST_SQL = """
 WITH RECURSIVE docs AS (
   SELECT *,
@@ -316,6 +343,7 @@ def queries() -> dict[str, Query]:
         "op9_quality_classifier": quality_classifier,
         "op10_language_model": language_model,
         "op11_source_divergence": divergence,
+        "op12_ngram_jaccard_join": ngram_join,
         "op13_merkle_manifest": manifest,
     }
 
@@ -325,5 +353,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_url_filter": URL_SQL,
         "op7_chat_format": CHAT_SQL,
         "op11_source_divergence": DIVERGENCE_SQL,
+        "op12_ngram_jaccard_join": JACCARD_SQL,
         "op13_merkle_manifest": MANIFEST_SQL,
     }
