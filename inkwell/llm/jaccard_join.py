@@ -135,10 +135,9 @@ def frequent(documents: DataFrame, settings: JaccardJoin) -> tuple[np.ndarray, n
             low = (tokens & ((np.uint64(1) << rest) - np.uint64(1))).astype("<u4")
             once = counts == 1
             buckets, heads = np.unique(tokens >> rest, return_index=True)
-            cuts = zip(heads.tolist(), [*heads.tolist()[1:], len(tokens)], strict=True)
             rows = [
                 (low[a:b][once[a:b]].tobytes(), low[a:b][~once[a:b]].tobytes(), counts[a:b][~once[a:b]].astype("<u4").tobytes())
-                for a, b in cuts
+                for a, b in itertools.pairwise([*heads.tolist(), len(tokens)])
             ]
             return pa.RecordBatch.from_arrays(
                 [pa.array(buckets.astype(np.int64)), *[pa.array([r[i] for r in rows], pa.binary()) for i in range(3)]],
