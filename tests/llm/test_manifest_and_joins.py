@@ -230,17 +230,17 @@ def expected_proofs(leaves):
     )
 
 
-def proven(spark, leaves, **more):
-    df = spark.createDataFrame(leaves, "lang string, doc_id long, leaf string").withColumns(
+def proven(spark, rows, **more):
+    df = spark.createDataFrame(rows, "lang string, doc_id long, leaf string").withColumns(
         {name: F.lit("mine") for name in ("tree", "index", "size", "chunk", "hash", "steps_")}
     )
     out = merkle_manifest.manifest(df, "lang", ["doc_id"], merkle_manifest.Manifest(**more))
     out = out.withColumn("joined", merkle_manifest.siblings(F.col("steps"))).withColumn(
         "folded", merkle_manifest.folded(F.col("leaf"), F.col("steps"))
     )
-    rows = out.collect()
-    assert all(r.folded == r.root and r.tree == r["index"] == "mine" for r in rows)
-    return collections.Counter((r.doc_id, r.leaf, r.subroot, r.root, r.joined) for r in rows)
+    found = out.collect()
+    assert all(r.folded == r.root and r.tree == r["index"] == "mine" for r in found)
+    return collections.Counter((r.doc_id, r.leaf, r.subroot, r.root, r.joined) for r in found)
 
 
 @pytest.mark.parametrize("more", [{}, {"levels": 2, "leaves": 5, "requests": 1}, {"levels": 1, "leaves": 3}])
