@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwell import fixed_values as fixed
+from inkwell.functions.params import param
 from inkwell.operators.joins import lookup
 from inkwell.operators.ordered import sessionise
 from inkwell.sources import schemas
@@ -44,6 +45,27 @@ CAMPAIGNS = (
 )
 
 
+# Categories of the campaign sources that have one.
+CATEGORIES = {
+    "google": fixed.CATEGORY_SEARCH,
+    "facebook": fixed.CATEGORY_SOCIAL,
+    "youtube": fixed.CATEGORY_VIDEO,
+    "amazon": fixed.CATEGORY_SHOPPING,
+}
+
+
+def source_categories(export: DataFrame) -> DataFrame:
+    """Category of each source that occurs in the export and has one."""
+    source = F.lower(param(F.col("event_params"), "source"))
+    category = F.coalesce(*[F.when(F.col("source") == s, c) for s, c in CATEGORIES.items()])
+    return (
+        export.select(source.alias("source"))
+        .distinct()
+        .withColumn("source_category", category)
+        .where(F.col("source_category").isNotNull())
+    )
+
+
 def _cut(k: Column, *steps: tuple[int, str], rest: str) -> Column:
     """The name of the first step whose bound ``k`` stays below."""
     bound, name = steps[0]

@@ -32,15 +32,8 @@ from inkwell.plans.dashboards import NAMED_QUERIES, named_query
 from inkwell.plans.metrics import DateRange, MetricQuery, metric_query
 from inkwell.plans.warehouse import RELATIONS, Warehouse
 from inkwell.rebuilds import incremental
-from inkwell.sources import readers, schemas
-
-# The few sources that occur in the derived events; users give a full table as a CSV file.
-SOURCE_CATEGORIES = (
-    ("google", fixed.CATEGORY_SEARCH),
-    ("facebook", fixed.CATEGORY_SOCIAL),
-    ("youtube", fixed.CATEGORY_VIDEO),
-    ("amazon", fixed.CATEGORY_SHOPPING),
-)
+from inkwell.sources import readers
+
 SECTION_WALLS = {"politics": "hard", "sports": "metered", "culture": "metered", "lifestyle": "free"}
 RANGE = DateRange.of("2024-01-03", "2024-01-27")
 WIDE_RANGE = DateRange.of("2023-12-20", "2024-02-10")
@@ -77,12 +70,10 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
             "events": lambda: derived.events(spark, sf_dir),
             "articles": lambda: derived.articles(spark, sf_dir),
             "accounts": lambda: derived.accounts(spark, sf_dir),
-            "source_categories": lambda: spark.createDataFrame(
-                SOURCE_CATEGORIES, schemas.SOURCE_CATEGORIES
-            ),
+            "source_categories": lambda: derived.source_categories(_warehouses[key].table("events")),
         }
         root = f"{_root(spark)}/{len(_warehouses)}"
-        computed = frozenset({"events", "articles", "accounts"})
+        computed = frozenset({"events", "articles", "accounts", "source_categories"})
         _warehouses[key] = Warehouse(spark, inputs, CONFIG, root, computed)
     return _warehouses[key]
 
@@ -217,6 +208,41 @@ def _daily_run(name: str) -> Callable[[Warehouse], DataFrame]:
     return run
 
 
+# Relations over states that a daily run extends, and columns that SQL does not have.
+STATES = {
+    "user_id_mapping": (),
+    "user_properties": (),
+    "client_first_last_events": ("first_event", "last_event"),
+    "client_first_last_page_views": ("first_page_view_event_key", "last_page_view_event_key"),
+    "sessions": (),
+    "client_facts": (),
+    "user_facts": (),
+    "client_dimension": ("first_event", "last_event"),
+}
+_STATE_TABLES = ("session_days", "session_facts", "client_days", "client_states", "totals")
+_extended: dict[tuple[str, str], Warehouse] = {}
+
+
+def _two_runs(w: Warehouse) -> Warehouse:
+    """A warehouse after a daily run that missed a third of the last two days' hits, and the run two
+    days later over all hits: sessions go on, clients move between logins, days come in."""
+    key = (w.spark.sparkContext.applicationId, w.root)
+    if key not in _extended:
+        hits, root = w.table("staged_events"), _scratch(w, "extended")
+        first_day = LAST_DAY - dt.timedelta(days=2)
+        missed = (F.col("event_date_dt") >= first_day - dt.timedelta(days=1)) & (F.col("batch_ordering_id") % 3 == 0)
+        early = hits.where((F.col("event_date_dt") <= first_day) & ~missed)
+        Warehouse(w.spark, {"staged_events": lambda: early}, w.config, root).build(first_day, _STATE_TABLES)
+        later = Warehouse(w.spark, {"staged_events": lambda: hits}, w.config, root)
+        later.build(LAST_DAY, _STATE_TABLES)
+        _extended[key] = later
+    return _extended[key]
+
+
+def _state_run(name: str, dropped: tuple[str, ...]) -> Callable[[Warehouse], DataFrame]:
+    return lambda w: _two_runs(w).relation(name).drop(*dropped)
+
+
 # Tables that the incremental models are made from.
 _UPSTREAM = (
     "events",
@@ -319,7 +345,7 @@ def _read_back(name: str, reader: Callable[[SparkSession, str], DataFrame]) -> C
 
 def _source_categories(w: Warehouse) -> DataFrame:
     path = _scratch(w, "source_categories.csv")
-    w.relation("source_categories").write.mode("overwrite").csv(path, header=True)
+    w.table("source_categories").write.mode("overwrite").csv(path, header=True)
     return readers.read_source_categories(w.spark, path)
 
 
@@ -346,7 +372,7 @@ def _channels(w: Warehouse) -> DataFrame:
     """Distinct campaigns are few, so the rules run after the grouping."""
     campaign = ("event_source", "event_medium", "event_campaign")
     counted = w.table("staged_events").groupBy(*campaign).agg(F.count(F.lit(1)).alias("hits"))
-    categories = w.relation("source_categories").withColumnRenamed("source", "event_source")
+    categories = w.table("source_categories").withColumnRenamed("source", "event_source")
     known = counted.join(categories, "event_source", "left")
     channel = channels.default_channel(
         F.col("event_source"), F.col("event_medium"), F.col("source_category"), F.col("event_campaign")
@@ -530,7 +556,17 @@ def _control_totals(w: Warehouse) -> DataFrame:
     """Totals of the cubes against counts of the hits, accounts and articles themselves."""
     export, hits = w.table("events"), w.table("staged_events")
     people, content = w.table("accounts"), w.table("articles")
-    viewed, known = F.col("event_name") == "page_view", F.col("session_key").isNotNull()
+    name, known = F.col("event_name"), F.col("session_key").isNotNull()
+    viewed, shown = name == "page_view", name == "paywall_impression"
+    last_day = hits.agg(F.max("event_date_dt")).scalar()
+    walls = F.count_if(shown).cast("double"), F.count_if(name == "paywall_click").cast("double")
+    of_article = param(F.col("event_params"), "article_id").try_cast("int").isNotNull()
+    exposed = hits.where(shown & F.col("session_partition_key").isNotNull())
+    exposed_days = exposed.select("event_date_dt").distinct()
+    started = people.join(exposed_days, people["subscription_date"] == exposed_days["event_date_dt"], "left_semi")
+    in_cms = articles.article_hits(hits.where(viewed)).join(
+        content.select(F.col("article_id").alias("number")), F.col("article_id") == F.col("number"), "left_semi"
+    )
 
     def distinct(rows: DataFrame, column: str):
         return rows.agg(F.countDistinct(column)).scalar()
@@ -538,6 +574,9 @@ def _control_totals(w: Warehouse) -> DataFrame:
     def filled(rows: DataFrame, column: str):
         return rows.agg(F.count(column)).scalar()
 
+    def until(column: str):
+        return people.where(F.col(column) <= last_day).agg(F.count(F.lit(1))).scalar()
+
     expected = {
         "events": {
             "eventsCount": distinct(export, "batch_ordering_id"),
@@ -546,16 +585,40 @@ def _control_totals(w: Warehouse) -> DataFrame:
         },
         "sessions": {
             "sessions": distinct(hits, "session_key"),
+            "activeUsers": distinct(hits, "client_key"),
             "pageviews": filled(hits.where(viewed & known), "event_name"),
         },
         "pages": {"pageviews": filled(hits.where(viewed), "event_name")},
+        "paywall": {
+            "impressions": hits.where(of_article).agg(walls[0]).scalar(),
+            "clicks": hits.where(of_article).agg(walls[1]).scalar(),
+            "ctr": hits.where(of_article).agg(walls[1] / walls[0]).scalar(),
+        },
+        "paywallFunnel": {
+            "sessionsExposed": distinct(exposed, "session_partition_key"),
+            "newSubscribers": filled(started, "user_id"),
+            "paywallConversionRate": filled(started, "user_id").cast("double")
+            / distinct(exposed, "session_partition_key"),
+        },
         "crm": {
             "newRegisteredUsers": filled(people, "registration_date"),
             "newSubscribers": filled(people, "subscription_date"),
             "newChurns": filled(people, "churn_date"),
         },
+        "crmTotals": {
+            "numberOfRegisteredUsers": until("registration_date"),
+            "cumulativeSubscribers": until("subscription_date"),
+            "cumulativeChurns": until("churn_date"),
+            "numberOfSubscribers": until("subscription_date") - until("churn_date"),
+        },
         "subscriptions": {"newSubscribers": filled(people, "subscription_date")},
         "content": {"articlesPublished": filled(content, "article_id")},
+        "contentTotals": {
+            "numberOfArticles": content.where(F.col("published_at") <= last_day.cast("timestamp"))
+            .agg(F.count(F.lit(1)))
+            .scalar()
+        },
+        "articles": {"articlePageviews": filled(in_cms, "article_id")},
     }
     parts = [
         quality.control_totals(
@@ -576,6 +639,10 @@ def _reconciliation(w: Warehouse) -> DataFrame:
 _OVER_WAREHOUSE: dict[str, Callable[[Warehouse], DataFrame]] = {
     "i01_late_window_rebuild": _late_window_rebuild,
     **{f"i01_{name}": _daily_run(name) for name in INCREMENTAL},
+    "i01_session_conversions": lambda w: sessions.session_conversions(
+        _daily_run("session_conversions_daily")(w), w.config
+    ),
+    **{f"i01_{name}": _state_run(name, dropped) for name, dropped in STATES.items()},
     "i02_scan_from_date": _scan_from_date,
     "i03_articles": _read_back("articles", readers.read_articles),
     "i04_accounts": _read_back("accounts", readers.read_accounts),

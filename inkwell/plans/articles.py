@@ -16,7 +16,7 @@ from inkwell.functions.readers import (
     reader_tier,
     reader_type,
 )
-from inkwell.operators.joins import lookup
+from inkwell.operators.joins import heavy_keys, lookup
 from inkwell.operators.ordered import day_bucket, running
 
 _COUNTED = {
@@ -87,14 +87,21 @@ def _reduced(hits: DataFrame, *keys: str) -> DataFrame:
 
 
 def _totals(reduced: DataFrame, *keys: str) -> DataFrame:
+    """Metrics from rows that are one per client: readers are then rows, not distinct values."""
     summed = [*_COUNTED.values(), "new_client_keys", "entrances", "engagement_time_msec"]
     return reduced.groupBy(*keys).agg(
         *[F.coalesce(F.sum(column), F.lit(0)).alias(column) for column in summed],
-        F.countDistinct(F.when(F.col("page_views") > 0, F.col("client_key"))).alias("distinct_client_keys"),
+        F.count_if((F.col("page_views") > 0) & F.col("client_key").isNotNull()).alias("distinct_client_keys"),
         (F.sum("scrolled") / F.nullif(F.sum("scrolls"), F.lit(0))).alias("avg_scroll_percent"),
     )
 
 
+def _per_client(reduced: DataFrame, *keys: str) -> DataFrame:
+    """The logins of a client put together."""
+    summed = [*_COUNTED.values(), "new_client_keys", "entrances", "scrolled", "scrolls", "engagement_time_msec"]
+    return reduced.groupBy(*keys, "client_key").agg(*[F.sum(column).alias(column) for column in summed])
+
+
 def articles_daily(staged: DataFrame, articles: DataFrame) -> DataFrame:
     """Daily metrics of each known article."""
     keys = ("event_date_dt", "article_id")
@@ -125,7 +132,7 @@ def articles_by_reader_type(staged: DataFrame, articles: DataFrame, accounts: Da
             "subscription_tier": reader_tier(day, known, subscribed, churned, F.col("tier")),
         }
     )
-    daily = _totals(read, *keys)
+    daily = _totals(_per_client(read, *keys), *keys)
     return daily.join(articles, "article_id").select(*keys, *_CMS, *_METRICS)
 
 
@@ -189,9 +196,9 @@ def wall_policy(
         "user_id",
         F.col("article_id").try_cast("int").alias("article_id"),
     ).filter(F.col("article_id").isNotNull() & F.col("client_key").isNotNull())
-    reads = reads.withColumn("month", F.trunc(day, "month"))
+    numbered = reads.withColumn("month", F.trunc(day, "month"))
     reads = running(
-        reads,
+        numbered,
         ["client_key", "month"],
         day_bucket("event_timestamp"),
         ["event_timestamp", "batch_page_id", "batch_ordering_id", "batch_event_index", "event_key"],
@@ -199,8 +206,9 @@ def wall_policy(
     )
     sections = articles.select("article_id", "section")
     people = accounts.select("user_id", "subscription_date", "churn_date")
-    known = reads.join(sections, "article_id", "left")
-    known = lookup(known, people, "user_id", ["event_key"])
+    # Raw reads: an article or a login may hold a large share of them.
+    known = lookup(reads, sections, "article_id", ["event_key"], heavy_keys(numbered, "article_id"))
+    known = lookup(known, people, "user_id", ["event_key"], heavy_keys(numbered, "user_id"))
     section = F.col("section")
     hard = [name for name, wall in walls.items() if wall == "hard"]
     metered = [name for name, wall in walls.items() if wall == "metered"]

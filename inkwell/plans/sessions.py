@@ -1,4 +1,4 @@
-"""Session relations (M1 to M3, M10 to M12) and their joint base.
+"""Session relations (M1 to M3, M10, M11) and their joint base.
 
 Everything about a session-day comes from one grouping of the hits: its metrics, its
 first values and its first campaign. The marts are projections of that relation, so no
@@ -152,8 +152,17 @@ def last_non_direct(sources: DataFrame, config: EngineConfig) -> DataFrame:
     )
 
 
+def session_conversions_daily(days: DataFrame, config: EngineConfig) -> DataFrame:
+    """Conversion counts per session-day, and per day for hits without a session.
+
+    A row belongs to one day, so a run can replace the days of its window.
+    """
+    keys = ("session_key", "session_partition_key", "session_partition_date")
+    return days.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in conversion_columns(config)])
+
+
 def session_conversions(days: DataFrame, config: EngineConfig) -> DataFrame:
-    """Conversion counts per session-day (M3)."""
+    """Conversion counts per session-day (M3); hits without a session are one row."""
     return days.groupBy("session_key", "session_partition_key").agg(
         F.min("session_partition_date").alias("session_partition_date"),
         *[F.sum(name).alias(name) for name in conversion_columns(config)],
@@ -209,24 +218,6 @@ def session_facts(days: DataFrame, config: EngineConfig) -> DataFrame:
     )
 
 
-def sessions(facts: DataFrame, config: EngineConfig) -> DataFrame:
-    """Metrics of whole sessions."""
-    return facts.groupBy("client_key", "session_key", "stream_id").agg(
-        F.max("user_id").alias("user_id"),
-        F.min("session_partition_min_timestamp").alias("session_start_timestamp"),
-        F.min("session_partition_date").alias("session_start_date"),
-        F.sum("session_partition_count_page_views").alias("count_pageviews"),
-        F.sum("session_partition_sum_event_value_in_usd").alias("sum_event_value_in_usd"),
-        F.max("session_partition_max_session_engaged").alias("is_session_engaged"),
-        F.sum("session_partition_sum_engagement_time_msec").alias("sum_engaged_time_msec"),
-        F.min("session_number").alias("session_number"),
-        *[
-            F.sum(column).alias(f"count_{column_name(name)}")
-            for name, column in zip(config.conversion_events, conversion_columns(config), strict=True)
-        ],
-    )
-
-
 def traffic_sources_daily(activity: DataFrame, config: EngineConfig) -> DataFrame:
     """Session-days by campaign and last non-direct campaign."""
     signups = "newsletter_signup_count"

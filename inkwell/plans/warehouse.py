@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from inkwell.config import EngineConfig
 from inkwell.plans import articles, clients, pages, sessions, staging, subscriptions
 from inkwell.rebuilds.incremental import in_window, overwrite, replace_window
+from inkwell.rebuilds.states import Bundle, ClosedStates, as_it_is, extended
 
 
 @dataclass(frozen=True)
@@ -95,18 +96,53 @@ class Warehouse:
         A window is built by the relation's own function over tables that are cut to the window
         and the relation's lookback. Days that lost all their rows go.
         """
+        if name in BUNDLES:
+            self.extend(name, as_of)
+            return
         kind, path = RELATIONS[name], f"{self.root}/{name}"
         lookback = kind.lookback(self.config)
         known = name in self._tables or self.open(name)
         if not known or kind.day is None or lookback is None:
             rows = self.relation(name)
             overwrite(rows, path, kind.day)
+            self._reopen(name)
         else:
             late = self.config.late_days
             rows = kind.build(_Window(self, as_of, late + lookback)).where(in_window(kind.day, as_of, late))
             replace_window(rows, path, kind.day, as_of, late)
         self._tables[name] = self.spark.read.schema(rows.schema).parquet(path)
 
+    def folded(self, table: str) -> DataFrame:
+        """A table of a bundle, from all days."""
+        (bundle,) = [b for b in (make(self.config) for make in BUNDLES.values()) if table in b.tables]
+        return bundle.advance(None, {n: self.table(n) for n in bundle.days}, as_it_is)[table]
+
+    def extend(self, name: str, as_of: dt.date) -> None:
+        """Bring the tables of a bundle up to date, reading only days since its closed states."""
+        bundle = BUNDLES[name](self.config)
+        closed = ClosedStates(self.spark, f"{self.root}/{name}__closed", bundle)
+
+        def days(table: str, after: dt.date | None, to: dt.date | None) -> DataFrame:
+            rows, day = self.table(table), F.col(RELATIONS[table].day)
+            rows = rows if after is None else rows.where(day > F.lit(after))
+            return rows if to is None else rows.where(day <= F.lit(to))
+
+        def keep(rows: DataFrame, part: str) -> DataFrame:
+            path = f"{self.root}/{name}__parts/{part}"
+            overwrite(rows, path)
+            return self.spark.read.schema(rows.schema).parquet(path)
+
+        until = as_of - dt.timedelta(days=self.config.late_days + 1)
+        for table, rows in extended(closed, days, until, keep).items():
+            overwrite(rows, f"{self.root}/{table}")
+            self._tables[table] = self.spark.read.schema(rows.schema).parquet(f"{self.root}/{table}")
+
+    def _reopen(self, name: str) -> None:
+        """Closed states that were made from days which have been built anew are made again."""
+        for bundle, make in BUNDLES.items():
+            if name in make(self.config).days:
+                ClosedStates(self.spark, f"{self.root}/{bundle}__closed", make(self.config)).forget()
+
     def build(self, as_of: dt.date, names: tuple[str, ...] | None = None) -> None:
         """A daily run: :meth:`rebuild` for the tables, each after those it is made from."""
         for name in names or STORED:
@@ -148,7 +184,7 @@ RELATIONS: dict[str, Relation] = {
         lambda w: sessions.session_days(w.table("staged_events"), w.config), "session_partition_date"
     ),
     "session_traffic_sources": Relation(
-        lambda w: sessions.session_traffic_sources(w.table("session_days"), w.relation("source_categories")),
+        lambda w: sessions.session_traffic_sources(w.table("session_days"), w.table("source_categories")),
         "session_partition_date",
     ),
     "last_non_direct": Relation(
@@ -156,8 +192,12 @@ RELATIONS: dict[str, Relation] = {
         "session_partition_date",
         lambda config: config.lookback_days,
     ),
+    "session_conversions_daily": Relation(
+        lambda w: sessions.session_conversions_daily(w.table("session_days"), w.config),
+        "session_partition_date",
+    ),
     "session_conversions": Relation(
-        lambda w: sessions.session_conversions(w.table("session_days"), w.config), "session_partition_date"
+        lambda w: sessions.session_conversions(w.table("session_conversions_daily"), w.config)
     ),
     "session_activity": Relation(
         lambda w: sessions.session_activity(w.table("session_days"), w.table("last_non_direct")),
@@ -169,30 +209,29 @@ RELATIONS: dict[str, Relation] = {
     "session_facts": Relation(
         lambda w: sessions.session_facts(w.table("session_days"), w.config), "session_partition_date"
     ),
-    "sessions": Relation(lambda w: sessions.sessions(w.relation("session_facts"), w.config)),
+    "client_days": Relation(
+        lambda w: clients.client_days(w.table("staged_events"), w.config), "event_date_dt"
+    ),
+    "client_states": Relation(lambda w: w.folded("client_states")),
+    "session_totals": Relation(lambda w: w.folded("session_totals")),
+    "client_totals": Relation(lambda w: w.folded("client_totals")),
+    "user_totals": Relation(lambda w: w.folded("user_totals")),
+    "sessions": Relation(lambda w: clients.sessions(w.table("session_totals"))),
     "traffic_sources_daily": Relation(
         lambda w: sessions.traffic_sources_daily(w.table("session_activity"), w.config),
         "session_partition_date",
     ),
-    "user_id_mapping": Relation(lambda w: clients.user_id_mapping(w.table("staged_events"))),
-    "user_properties": Relation(lambda w: clients.user_properties(w.table("staged_events"), w.config)),
+    "user_id_mapping": Relation(lambda w: clients.user_id_mapping(w.table("client_states"))),
+    "user_properties": Relation(lambda w: clients.user_properties(w.table("client_states"), w.config)),
     "client_first_last_events": Relation(
-        lambda w: clients.client_first_last_events(w.table("staged_events"))
+        lambda w: clients.client_first_last_events(w.table("client_states"))
     ),
     "client_first_last_page_views": Relation(
-        lambda w: clients.client_first_last_page_views(w.event_type("page_view"))
-    ),
-    "client_facts": Relation(lambda w: clients.client_facts(w.relation("sessions"), w.config)),
-    "user_facts": Relation(
-        lambda w: clients.user_facts(w.relation("client_facts"), w.relation("user_id_mapping"), w.config)
-    ),
-    "client_dimension": Relation(
-        lambda w: clients.client_dimension(
-            w.relation("client_first_last_events"),
-            w.relation("client_first_last_page_views"),
-            w.relation("user_properties"),
-        )
+        lambda w: clients.client_first_last_page_views(w.table("client_states"))
     ),
+    "client_facts": Relation(lambda w: clients.client_facts(w.table("client_totals"), w.config)),
+    "user_facts": Relation(lambda w: clients.user_facts(w.table("user_totals"), w.config)),
+    "client_dimension": Relation(lambda w: clients.client_dimension(w.table("client_states"), w.config)),
     "page_conversions": Relation(lambda w: pages.page_conversions(w.table("staged_events"), w.config)),
     "page_engaged_time": Relation(lambda w: pages.page_engaged_time(w.table("staged_events"))),
     "pages": Relation(
@@ -240,6 +279,7 @@ STORED = (
     "session_days",
     "session_traffic_sources",
     "last_non_direct",
+    "session_conversions_daily",
     "session_facts",
     "session_dimension",
     "session_activity",
@@ -250,7 +290,16 @@ STORED = (
     "paywall_daily",
     "paywall_sessions_daily",
     "events_daily",
+    "client_days",
+    "client_states",
+    "totals",
     "buyers",
     "journeys",
     "subscription_rows",
 )
+
+# Tables that are extended together, from closed states of their own.
+BUNDLES: dict[str, Callable[[EngineConfig], Bundle]] = {
+    "client_states": clients.client_states,
+    "totals": clients.totals,
+}

@@ -607,7 +607,9 @@ def build() -> dict[str, str]:
         "count(*) FILTER (WHERE event_name = 'share') AS _4th_sign_up_count "
         "FROM stg GROUP BY session_key, session_partition_key"
     )
-    q["i05_source_categories"] = over_relations("SELECT source, source_category FROM cat")
+    q["i05_source_categories"] = over_relations(
+        "SELECT DISTINCT cat.source, cat.source_category FROM stg JOIN cat ON stg.raw_source = cat.source"
+    )
     q["p11_gclid_repair"] = over_relations(
         "SELECT row_id, event_source, event_medium, event_campaign FROM stg WHERE page_location LIKE '%gclid%'"
     )
@@ -822,7 +824,20 @@ def build() -> dict[str, str]:
         "events.activeRegisteredUsers": "count(DISTINCT user_id) FROM stg",
         "sessions.sessions": "count(DISTINCT session_key) FROM stg",
         "sessions.pageviews": "count(*) FROM pv WHERE session_key IS NOT NULL",
+        "sessions.activeUsers": "count(DISTINCT client_key) FROM stg",
         "pages.pageviews": "count(*) FROM pv",
+        "paywall.impressions": "sum(paywall_impressions) FROM m19",
+        "paywall.clicks": "sum(paywall_clicks) FROM m19",
+        "paywall.ctr": "round(sum(paywall_clicks) / sum(paywall_impressions), 6) FROM m19",
+        "paywallFunnel.sessionsExposed": "count(*) FROM m20",
+        "paywallFunnel.newSubscribers": "sum(new_subscribers) FROM funnel",
+        "paywallFunnel.paywallConversionRate": "round(sum(new_subscribers) / sum(sessions_exposed), 6) FROM funnel",
+        "crmTotals.numberOfRegisteredUsers": "max(registered_total) FROM crm_totals",
+        "crmTotals.cumulativeSubscribers": "max(subscriber_starts_total) FROM crm_totals",
+        "crmTotals.cumulativeChurns": "max(churned_total) FROM crm_totals",
+        "crmTotals.numberOfSubscribers": "arg_max(active_subscribers_total, as_of_date) FROM crm_totals",
+        "contentTotals.numberOfArticles": "max(articles_total) FROM content_totals",
+        "articles.articlePageviews": "sum(page_views) FROM m17",
         "crm.newRegisteredUsers": "count(registration_date) FROM acc",
         "crm.newSubscribers": "count(subscription_date) FROM acc",
         "crm.newChurns": "count(churn_date) FROM acc",
@@ -845,6 +860,15 @@ def build() -> dict[str, str]:
     q["t08_all_checks"] = over_relations(" UNION ALL ".join(_all_checks()))
     for name, model in {
         "session_facts": "m11_session_facts_daily",
+        "session_conversions": "m03_session_conversions",
+        "user_id_mapping": "m06_user_id_mapping",
+        "user_properties": "m07_user_properties",
+        "client_first_last_events": "m08_client_first_last_events",
+        "client_first_last_page_views": "m09_client_first_last_page_views",
+        "sessions": "m12_session_facts",
+        "client_facts": "m13_client_facts",
+        "user_facts": "m14_user_facts",
+        "client_dimension": "m15_client_dimension",
         "session_dimension": "m10_session_dimension",
         "session_traffic_sources": "m01_session_traffic_sources",
         "last_non_direct": "m02_last_non_direct",

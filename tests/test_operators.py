@@ -2,15 +2,17 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import re
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from inkwell.operators.dedup import first_copy
-from inkwell.operators.joins import lookup
-from inkwell.operators.ordered import day_bucket, running, sessionise
+from inkwell.operators.joins import heavy_keys, lookup
+from inkwell.operators.ordered import day_bucket, running, sessionise, slice_starts
 from inkwell.operators.spine import as_of_counts, day_range
 from tests.rows import DAY, SECOND
+from tests.test_plans import plan
 
 
 def _hits(spark, hot_share=0.4, n=4000):
@@ -129,3 +131,105 @@ def test_as_of_counts_can_fall_and_include_earlier_dates(spark):
         (day(2024, 1, 5), 2, 1),
         (day(2024, 1, 6), 2, 1),
     ]
+
+
+def _whole_visits(hits, gap):
+    """Visits by one window per user."""
+    order = Window.partitionBy("user").orderBy("at", "id")
+    opens = F.coalesce(F.col("at") - F.lag("at").over(order) > gap, F.lit(True))
+    marked = hits.withColumn("opens_session", opens)
+    return marked.select(
+        "id",
+        F.last(F.when(F.col("opens_session"), F.col("at")), ignorenulls=True).over(order).alias("session_first_micros"),
+        F.count_if("opens_session").over(order).alias("session_number"),
+        "opens_session",
+        F.last("value", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("seen"),
+        F.sum("id").over(order).alias("sum"),
+    )
+
+
+def _crowded_day(spark, n=6000):
+    """One user has 90 % of the rows of a day, half of them within a minute; others go over midnight."""
+    chance = random.Random(3)
+    rows = []
+    for i in range(n):
+        if chance.random() < 0.9:
+            at = 5 * DAY + (chance.randrange(60) if chance.random() < 0.5 else chance.randrange(24 * 3600)) * SECOND
+            rows.append(("hot", at, i, i if i % 7 == 0 else None))
+        else:
+            rows.append((f"u{i % 40}", 5 * DAY + chance.randrange(-7200, 30 * 3600) * SECOND, i, None))
+    return spark.createDataFrame(rows, "user string, at long, id long, value long")
+
+
+def test_crowded_days_are_cut_into_slices(spark):
+    hits, gap = _crowded_day(spark), 90 * SECOND
+    visits = sessionise(
+        hits, "user", "at", gap_micros=gap, tie_breakers=["id"],
+        latest_before={"seen": F.col("value")}, total={"sum": F.col("id")}, slice_rows=300,
+    )
+    actual, expected = visits.drop("user", "at", "value"), _whole_visits(hits, gap)
+    actual = actual.select(*expected.columns)
+    assert actual.exceptAll(expected).isEmpty() and expected.exceptAll(actual).isEmpty()
+    # A slice is a group of the window, and so the most that one task has to take.
+    tagged = hits.withColumn("_bucket", day_bucket("at"))
+    starts = slice_starts(tagged, ["user"], "at", 300)
+    (hot,) = starts.collect()
+    cut = tagged.where("user = 'hot'").withColumn("s", F.size(F.filter(F.lit(hot["_starts"]), lambda x: x <= F.col("at"))))
+    most = cut.where(F.col("_bucket") == hot["_bucket"]).groupBy("s").count().agg(F.max("count")).first()[0]
+    assert hot["user"] == "hot" and most <= 2 * 300
+
+
+def test_a_pause_over_midnight_and_over_slices(spark):
+    gap = 30 * 60 * SECOND
+    times = [DAY - 60 * SECOND, DAY + 60 * SECOND, DAY + gap + 61 * SECOND, *[2 * DAY + n * SECOND for n in range(50)]]
+    hits = spark.createDataFrame([("u", t, i, None) for i, t in enumerate(times)], "user string, at long, id long, value long")
+    expected = _whole_visits(hits, gap)
+    for rows in (4, 1000):
+        visits = sessionise(hits, "user", "at", gap_micros=gap, tie_breakers=["id"], slice_rows=rows)
+        actual = visits.select("id", "session_first_micros", "session_number", "opens_session")
+        assert actual.exceptAll(expected.select(*actual.columns)).isEmpty()
+    assert sessionise(hits.limit(0), "user", "at").count() == 0
+
+
+def test_running_values_read_and_shuffle_the_rows_once(spark):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        hits = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select(
+            "user_id", "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("micros"), "event_type"
+        ).where("user_id is not null")
+        tree = plan(sessionise(hits, "user_id", "micros", tie_breakers=["event_id"])).split("\n\n")[0]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(re.findall(r"Scan parquet", tree)) == 1
+    assert len(re.findall(r"- Exchange|Exchange \(", tree)) <= 4
+
+
+def test_frequent_keys_are_joined_apart(spark):
+    """With broadcasts and adaptive execution off, a key with half of the facts meets its row in all tasks."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        key = F.when(F.col("id") % 2 == 0, F.lit(7)).when(F.col("id") % 10 == 1, F.lit(None)).otherwise(F.col("id"))
+        facts = spark.range(4000).select("id", key.cast("int").alias("k"))
+        table = spark.range(3000).select(F.col("id").cast("int").alias("k"), (F.col("id") * 2).alias("v"))
+        heavy = heavy_keys(facts, "k")
+        assert [r.k for r in heavy.collect()] == [7]
+        found = lookup(facts, table, "k", ["id"], heavy)
+        expected = facts.join(table, "k", "left").select("id", "k", "v")
+        assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) < 4000 * 0.25
+        by_bytes = lookup(
+            facts.withColumn("k", F.col("k").cast("string").cast("binary")),
+            table.withColumn("k", F.col("k").cast("string").cast("binary")), "k", ["id"],
+        )
+        assert by_bytes.where("v is not null").count() == expected.where("v is not null").count()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
