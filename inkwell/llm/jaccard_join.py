@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from inkwell.llm.common import batch_rows, checkpointed, removed, text_or_empty, written
-from inkwell.llm.order_minhash import WordHashes, components, mixed, text_key, windows
+from inkwell.llm.order_minhash import components, mixed, text_key
 from inkwell.operators.joins import heavy_keys, lookup
 
 
@@ -32,9 +32,8 @@ class JaccardJoin:
     the tokens that are indexed as pairs, as triples and so on; table: tokens of the frequency table,
     the most frequent ones, which is sent to all tasks (12 bytes each) and bounds what is called
     frequent, never what is found; spread: tokens of a set in a sub-class, about; held: tokens that a
-    task counts at a time; rounds: leaders that the sets of a list meet before they are compared in
-    blocks of ``block``; words: 64-bit words of the bitmap that rules out pairs before their texts are
-    fetched; broadcast_rows: most keys sent to all tasks.
+    task counts at a time; block: sets of a list that are compared with each other at a time;
+    broadcast_rows: most keys sent to all tasks.
     """
 
     n: int = 3
@@ -43,9 +42,7 @@ class JaccardJoin:
     table: int = 1 << 20
     spread: int = 3
     held: int = 2_000_000
-    rounds: int = 3
     block: int = 256
-    words: int = 8
     broadcast_rows: int = 100_000
 
 
@@ -61,9 +58,36 @@ def alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(a) + len(b) - common)
 
 
+class WordHashes(dict):
+    """64-bit hashes of the words met so far, worked out on first sight."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        value = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        return value
+
+
+_PLACES = np.random.default_rng(5).integers(1 << 63, size=64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
 def token_set(text: bytes, hashes: WordHashes, n: int) -> np.ndarray:
-    """Distinct tokens in the order of their hashes; ``text`` is UTF-8. A-Z are lower-cased."""
-    return np.unique(windows(hashes.of(text.lower().split()), n))
+    """Distinct tokens in the order of their hashes; ``text`` is UTF-8. A-Z are lower-cased.
+
+    A text of fewer words is one token, an empty one none.
+    """
+    words = text.lower().split()
+    own = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+    size = min(n, len(own))
+    if not size:
+        return own
+    count = len(own) - size + 1
+    out = np.full(count, size, np.uint64)
+    for i in range(size):
+        out += own[i : i + count] * _PLACES[i % 64]
+    out = mixed(out)
+    out.sort()
+    return out[np.append(True, out[1:] != out[:-1])]
 
 
 def set_key(tokens: np.ndarray) -> bytes:
@@ -74,6 +98,14 @@ def size_band(size: int) -> int:
     return size.bit_length()
 
 
+def _salt(band: int) -> np.uint64:
+    return np.uint64(band * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+
+
+def _singles(tokens: np.ndarray, band: int) -> np.ndarray:
+    return mixed(tokens ^ _salt(band)).view(np.int64)
+
+
 def signatures(tokens: np.ndarray, k: np.ndarray, band: int, percent: int, spread: int) -> list[int]:
     """The signatures of a set among sets of a size band: hashes of combinations of its prefix.
 
@@ -85,10 +117,10 @@ def signatures(tokens: np.ndarray, k: np.ndarray, band: int, percent: int, sprea
     size = len(tokens)
     need = size - least_common(size, percent) + 1
     parts = max(1, (1 << band) // (2 * spread))
-    salt = np.uint64(band * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+    salt = _salt(band)
     rare = k == 1
     found = tokens[rare][:need]
-    out = [] if not len(found) else mixed(found ^ salt).view(np.int64).tolist()
+    out = _singles(found, band).tolist()
     covered = len(found)
     if covered >= need:
         return out
@@ -187,13 +219,46 @@ def class_of(tokens: np.ndarray, table: np.ndarray, classes: np.ndarray) -> np.n
     return np.where(table[at] == high, classes[at], np.int8(1))
 
 
-def bitmap(tokens: np.ndarray, words: int) -> np.ndarray:
-    """Parities of the tokens in 64 * ``words`` classes by hash; each differing token changes one."""
-    at = (tokens >> np.uint64(7)) % np.uint64(64 * words)
+def bitmap(tokens: np.ndarray) -> np.ndarray:
+    """Parities of the tokens in classes by hash, a bit or more for each token, in 64-bit words.
+
+    Each token that two sets differ in changes one bit, so sets whose bitmaps differ in more bits than
+    sets that are alike can differ in tokens are not alike.
+    """
+    words = max(8, 1 << ((len(tokens) - 1) >> 6).bit_length())
+    at = (tokens >> np.uint64(7)) & np.uint64(64 * words - 1)
     odd = np.bincount(at.astype(np.int64), minlength=64 * words) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def narrowed(bits: np.ndarray, words: int) -> np.ndarray:
+    """The bitmap of the same set with fewer words, without signs, as bits are counted."""
+    bits = bits.view(np.uint64)
+    while len(bits) > words:
+        half = len(bits) // 2
+        bits = bits[:half] ^ bits[half:]
+    return bits
+
+
+def may_be_alike(a_size, b_size, differing, percent: int):
+    """Whether sizes and the differing bits of bitmaps leave room for a link; also for arrays."""
+    return (100 + percent) * differing <= (100 - percent) * (a_size + b_size)
+
+
+def own_lists(tokens: np.ndarray, table: np.ndarray, classes: np.ndarray, settings: JaccardJoin) -> list[int]:
+    """The signatures of a set in its size band, and in the one below where sets of it may be alike."""
+    bands = {size_band(len(tokens)), size_band(least_common(len(tokens), settings.percent))}
+    need = len(tokens) - least_common(len(tokens), settings.percent) + 1
+    # Rare tokens come first, so mostly a few of the least hashes are all that has to be looked up.
+    first = tokens[: 2 * need + 8]
+    k = class_of(first, table, classes)
+    if np.count_nonzero(k == 1) < need:
+        first, k = tokens, class_of(tokens, table, classes)
+        return [x for b in bands for x in signatures(first, k, b, settings.percent, settings.spread)]
+    rare = first[k == 1][:need]
+    return [x for b in bands for x in _singles(rare, b).tolist()]
+
+
 def sketched(documents: DataFrame, settings: JaccardJoin) -> DataFrame:
     """One row per document: doc_id, key (of its set), text_key, size, bits and signatures.
 
@@ -222,12 +287,8 @@ def sketched(documents: DataFrame, settings: JaccardJoin) -> DataFrame:
                         lists.append(None)
                         continue
                     known.add(key)
-                    k = class_of(tokens, table, classes)
-                    bands = {size_band(len(tokens)), size_band(least_common(len(tokens), settings.percent))}
-                    bits.append(bitmap(tokens, settings.words))
-                    lists.append(
-                        [x for b in bands for x in signatures(tokens, k, b, settings.percent, settings.spread)]
-                    )
+                    bits.append(bitmap(tokens))
+                    lists.append(own_lists(tokens, table, classes, settings))
                 if len(known) > 1_000_000:
                     known.clear()
                 kind = pa.list_(pa.int64())
@@ -244,16 +305,38 @@ def sketched(documents: DataFrame, settings: JaccardJoin) -> DataFrame:
 
 def allowed(pairs: DataFrame, nodes: DataFrame, settings: JaccardJoin) -> DataFrame:
     """The pairs (a, b) that sizes and bitmaps do not rule out. Both rules lose no link."""
-    for side in "ab":
-        own = nodes.select(F.col("node").alias(side), F.col("size").alias(f"{side}_size"), F.col("bits").alias(f"{side}_bits"))
-        pairs = pairs.join(own, side)
-    a, b, percent = F.col("a_size"), F.col("b_size"), settings.percent
-    differing = sum(
-        (F.bit_count(F.col("a_bits")[i].bitwiseXOR(F.col("b_bits")[i])) for i in range(settings.words)), F.lit(0)
-    )
-    return pairs.where(
-        (percent * F.greatest(a, b) <= 100 * F.least(a, b)) & ((100 + percent) * differing <= (100 - percent) * (a + b))
-    ).select("a", "b")
+    percent = settings.percent
+    for column in ("size", "bits"):
+        for side in "ab":
+            own = nodes.select(F.col("node").alias(side), F.col(column).alias(f"{side}_{column}"))
+            pairs = pairs.join(own, side)
+        if column == "size":
+            a, b = F.col("a_size"), F.col("b_size")
+            pairs = pairs.where(percent * F.greatest(a, b) <= 100 * F.least(a, b))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (_Lists(batch.column(f"{side}_bits")) for side in "ab")
+            differing = np.zeros(batch.num_rows, np.int64)
+            for i in range(batch.num_rows):
+                x, y = a[i], b[i]
+                words = min(len(x), len(y))
+                differing[i] = np.bitwise_count(narrowed(x, words) ^ narrowed(y, words)).sum()
+            sizes = (batch.column(f"{side}_size").to_numpy() for side in "ab")
+            kept = np.flatnonzero(may_be_alike(*sizes, differing, percent))
+            yield batch.select(["a", "b"]).take(pa.array(kept))
+
+    return pairs.select("a", "b", "a_size", "b_size", "a_bits", "b_bits").mapInArrow(run, "a long, b long")
+
+
+class _Lists:
+    """The rows of an Arrow column of lists of numbers, without copies."""
+
+    def __init__(self, column: pa.ListArray):
+        self.ends, self.values = column.offsets.to_numpy(), column.values.to_numpy()
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        return self.values[self.ends[i] : self.ends[i + 1]]
 
 
 def verified(documents: DataFrame, pairs: DataFrame, nodes: DataFrame, settings: JaccardJoin) -> DataFrame:
@@ -312,7 +395,7 @@ def block_pairs(members: DataFrame, nodes: DataFrame, settings: JaccardJoin) ->
     rows = dealt.groupBy("list", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high")).agg(
         F.collect_list(F.struct("node", "component", "part", "size", "bits")).alias("members")
     )
-    percent, words = settings.percent, settings.words
+    percent = settings.percent
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -323,7 +406,7 @@ def block_pairs(members: DataFrame, nodes: DataFrame, settings: JaccardJoin) ->
             node, component, part, size = (
                 flat.field(c).to_numpy(zero_copy_only=False) for c in ("node", "component", "part", "size")
             )
-            bits = flat.field("bits").flatten().to_numpy(zero_copy_only=False).reshape(-1, words).view(np.uint64)
+            bits = _Lists(flat.field("bits"))
             for x, y in itertools.pairwise(ends.tolist()):
                 i, j = np.triu_indices(y - x, 1)
                 i, j = i + x, j + x
@@ -332,8 +415,12 @@ def block_pairs(members: DataFrame, nodes: DataFrame, settings: JaccardJoin) ->
                     open_ &= part[i] != part[j]
                 open_ &= percent * np.maximum(size[i], size[j]) <= 100 * np.minimum(size[i], size[j])
                 i, j = i[open_], j[open_]
-                differing = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64)
-                near = (100 + percent) * differing <= (100 - percent) * (size[i] + size[j])
+                if not len(i):
+                    continue
+                words = min(len(bits[m]) for m in range(x, y))
+                own = np.stack([narrowed(bits[m], words) for m in range(x, y)])
+                differing = np.bitwise_count(own[i - x] ^ own[j - x]).sum(axis=1, dtype=np.int64)
+                near = may_be_alike(size[i], size[j], differing, percent)
                 out_a.append(np.maximum(node[i[near]], node[j[near]]))
                 out_b.append(np.minimum(node[i[near]], node[j[near]]))
             if out_a:
@@ -345,36 +432,28 @@ def block_pairs(members: DataFrame, nodes: DataFrame, settings: JaccardJoin) ->
 
 
 def linked(documents: DataFrame, members: DataFrame, nodes: DataFrame, settings: JaccardJoin):
-    """(links, components) of the nodes in the lists (list, node); components are None without links.
+    """(links, components) of the nodes in the lists (list, node, size of the list); None without links.
 
-    In each round a list's members that are not in one component yet meet a leader, so that groups of
-    sets that are alike cost a linear number of comparisons. What is open then is compared in blocks.
+    First each member of a list meets the most central one, which shares most with the others of its
+    lists, so that groups of sets that are alike cost a linear number of comparisons. Lists whose
+    members are not all in one component then are compared in blocks, without the leader, who has met
+    all the others.
     """
-    links = found = None
-    rest = _labelled(members, None)
-
-    def add(pairs: DataFrame) -> None:
-        nonlocal links, found
-        pairs = checkpointed(allowed(pairs, nodes, settings))
-        if pairs.isEmpty():
-            return
-        new = checkpointed(verified(documents, pairs, nodes, settings))
-        links = new if links is None else checkpointed(links.union(new).distinct())
+    ranked = members.join(members.groupBy("node").agg(F.sum("size").alias("central")), "node")
+    leader = F.max(F.struct("central", "node")).over(Window.partitionBy("list"))
+    led = checkpointed(ranked.select("list", "node", leader["node"].alias("leader")).where("node != leader"))
+
+    def verify(pairs: DataFrame) -> DataFrame | None:
+        pairs = checkpointed(pairs)
+        return None if pairs.isEmpty() else checkpointed(verified(documents, pairs, nodes, settings))
+
+    links = verify(allowed(led.select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct(), nodes, settings))
+    found = None if links is None else components(links)
+    rest = checkpointed(_open(_labelled(led.select("list", "node"), found)))
+    new = None if rest.isEmpty() else verify(block_pairs(rest, nodes, settings))
+    if new is not None:
+        links = new if links is None else links.union(new)
         found = components(links)
-
-    for turn in range(settings.rounds):
-        rank = F.struct(F.xxhash64(F.lit(turn), "node").alias("rank"), F.col("node"), F.col("component"))
-        led = rest.withColumn("leader", F.min(rank).over(Window.partitionBy("list")))
-        led = led.where(F.col("component") != F.col("leader.component"))
-        add(led.select(F.col("node").alias("a"), F.col("leader.node").alias("b")).distinct())
-        # A leader has met all the others of its list, so it stands aside from now on.
-        led = rest.withColumn("leader", F.min(rank).over(Window.partitionBy("list")))
-        rest = led.where(F.col("node") != F.col("leader.node")).select("list", "node")
-        rest = checkpointed(_open(_labelled(rest, found)))
-        if rest.isEmpty():
-            break
-    else:
-        add(block_pairs(rest, nodes, settings))
     return links, found
 
 
@@ -402,7 +481,7 @@ def classes(documents: DataFrame, settings: JaccardJoin | None = None) -> DataFr
     )
     flat = reps.select("node", F.explode(F.array_distinct("lists")).alias("list"))
     members, members_path = written(
-        flat.withColumn("_n", F.count("*").over(Window.partitionBy("list"))).where("_n > 1").select("list", "node"),
+        flat.withColumn("size", F.count("*").over(Window.partitionBy("list"))).where("size > 1"),
         "jaccard-lists",
     )
     nodes = reps.select("node", "text_key", "size", "bits")

@@ -157,8 +157,8 @@ def test_join_against_brute_force(spark):
     wanted = expected_components(documents)
     assert joined(spark, documents) == wanted
     # Tiny classes and blocks: combinations of two and three, leaders, and blocks of lists.
-    assert joined(spark, documents, classes=(2, 4), rounds=1, block=3, held=50) == wanted
-    assert joined(spark, documents, table=3, classes=(2, 3), rounds=0, block=4) == wanted
+    assert joined(spark, documents, classes=(2, 4), block=3, held=50) == wanted
+    assert joined(spark, documents, table=3, classes=(2, 3), block=4) == wanted
 
 
 def test_join_of_awkward_tables(spark):
@@ -195,9 +195,35 @@ def test_sets_that_are_alike_share_a_signature(first, toggled, kinds, percent):
         return {s for n in bands for s in jaccard_join.signatures(tokens, k, n, percent, 3)}
 
     assert signed(a) & signed(b)
-    bits = [jaccard_join.bitmap(x, 8).view(np.uint64) for x in (a, b)]
-    differing = int(np.bitwise_count(bits[0] ^ bits[1]).sum())
-    assert (100 + percent) * differing <= (100 - percent) * (len(a) + len(b))
+    bits = [jaccard_join.bitmap(x) for x in (a, b)]
+    words = min(map(len, bits))
+    differing = int(np.bitwise_count(np.bitwise_xor(*[jaccard_join.narrowed(x, words) for x in bits])).sum())
+    assert jaccard_join.may_be_alike(len(a), len(b), differing, percent)
+
+
+def test_bitmaps_of_different_widths_compare():
+    tokens = np.sort(jaccard_join.mixed(np.arange(1030, dtype=np.uint64)))
+    wide, less = jaccard_join.bitmap(tokens), jaccard_join.bitmap(tokens[:1000])
+    assert (len(wide), len(less)) == (32, 16)
+    assert np.bitwise_count(jaccard_join.narrowed(wide, 16) ^ jaccard_join.narrowed(less, 16)).sum() <= 30
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(1, 400), st.integers(0, 10**6), st.sampled_from([0.0, 0.3, 0.9]))
+def test_lists_are_the_same_with_and_without_the_short_cut(size, seed, frequent):
+    join = jaccard_join.JaccardJoin()
+    chance = np.random.default_rng(seed)
+    tokens = np.unique(chance.integers(1 << 63, size=size, dtype=np.uint64) * np.uint64(2))
+    common = chance.random(len(tokens)) < frequent
+    table = np.unique(tokens[common] >> np.uint64(24))
+    classes = chance.integers(2, 4, size=len(table)).astype(np.int8)
+    k = jaccard_join.class_of(tokens, table, classes)
+    sizes = {len(tokens), jaccard_join.least_common(len(tokens), 90)}
+    whole = [
+        x for b in {jaccard_join.size_band(n) for n in sizes}
+        for x in jaccard_join.signatures(tokens, k, b, join.percent, join.spread)
+    ]
+    assert sorted(whole) == sorted(jaccard_join.own_lists(tokens, table, classes, join))
 
 
 # Merkle manifest
