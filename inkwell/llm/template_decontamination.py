@@ -10,6 +10,7 @@ as when a question is asked again with other parameters.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,8 +29,9 @@ UNITS = (
 _NUMBER = r"(?<![\p{L}\p{N}])[$€£]?\d[\d.,]*(?<=\d)"
 _UNIT = r"(?:" + "|".join(sorted((u for u in UNITS), key=len, reverse=True)) + r")(?![\p{L}\p{N}])"
 _QUANTITY = f"(?i)({_NUMBER})(?:(\\s?)({_UNIT}))?"
-# A capital inside a sentence: the word before ends in no sentence mark.
-_NAME = r"(?<=[^.!?:\s]\s)\p{Lu}[\p{L}\p{M}'’-]*+"
+# A capital inside a sentence: the word before ends in no sentence mark. Placeholders have spaces around
+# them, so a name may follow several.
+_NAME = r"(?=\p{Lu})(?<=[^.!?:\s]\s{1,4})\p{Lu}[\p{L}\p{M}'’-]*+"
 _BETWEEN = rf"[^\p{{L}}\p{{M}}\p{{N}}{MARKS}]+"
 
 
@@ -49,18 +51,19 @@ class Templates:
 
 def template(text: Column) -> Column:
     """The words of a text's template, in order."""
-    clean = F.regexp_replace(text, f"[{MARKS}]", " ")
+    clean = F.translate(text, MARKS, " " * len(MARKS))
     numbers = F.regexp_replace(clean, _QUANTITY, f" {NUMBER}$2$3 ")
     # A unit is kept by the step above and becomes a placeholder only after a number's.
     units = F.regexp_replace(numbers, f"(?i)(?<={NUMBER})\\s?{_UNIT}", f" {UNIT} ")
     names = F.regexp_replace(units, _NAME, f" {NAME} ")
-    words = F.trim(F.regexp_replace(F.lower(names), _BETWEEN, " "))
-    return F.when(words == "", F.array().cast("array<string>")).otherwise(F.split(words, " "))
+    words = F.regexp_replace(F.lower(names), _BETWEEN, " ")
+    # The text stands here once: a condition on it would evaluate all of the above again.
+    return F.filter(F.split(words, " "), lambda w: w != "")
 
 
 def values(text: Column) -> Column:
     """What the placeholders of the template stand for, in order."""
-    clean = F.regexp_replace(text, f"[{MARKS}]", " ")
+    clean = F.translate(text, MARKS, " " * len(MARKS))
     quantities = F.regexp_replace(clean, _QUANTITY, f" {NUMBER}$1{NUMBER}$2$3 ")
     marked = F.regexp_replace(
         quantities, f"(?i)(?<=\\d{NUMBER}|[.,]{NUMBER})\\s?({_UNIT})", f" {UNIT}$1{UNIT} "
@@ -71,10 +74,10 @@ def values(text: Column) -> Column:
 
 
 def _windows(words: Column, size: int) -> Column:
-    """Hashes of all windows; a shorter text is one window, an empty one none."""
-    starts = F.sequence(F.lit(0), F.greatest(F.size(words) - size, F.lit(0)))
+    """Hashes of all windows of this many words; a shorter text has none."""
+    starts = F.sequence(F.lit(0), F.size(words) - size)
     hashes = F.transform(starts, lambda i: F.xxhash64(F.slice(words, i + 1, size)))
-    return F.when(F.size(words) > 0, hashes).otherwise(F.array().cast("array<bigint>"))
+    return F.when(F.size(words) >= size, hashes).otherwise(F.array().cast("array<bigint>"))
 
 
 def _is_mark(word: Column) -> Column:
@@ -113,21 +116,33 @@ def leaks(
     items = checkpointed(
         benchmark.select("item_id", text_or_empty().alias("text"))
         .distinct()
-        .select("item_id", template(F.col("text")).alias("words"), values(F.col("text")).alias("found"))
-    )
-    each = items.select(
-        "item_id", F.col("words"), F.posexplode(_windows(F.col("words"), s.window)).alias("item_at", "hash")
-    )
-    literal = F.size(F.filter(F.slice("words", F.col("item_at") + 1, s.window), lambda w: ~_is_mark(w)))
-    each = each.select(
-        "item_id", "item_at", "hash", (literal >= F.least(F.lit(s.literals), F.size("words"))).alias("good")
-    )
+        .select(
+            "item_id", template(F.col("text")).alias("words"), values(F.col("text")).alias("found"),
+            F.rlike("text", F.lit(r"^[^\p{L}\p{N}]*\p{Lu}")).alias("capital"),
+        )
+    )
+    lengths = items.select(F.size("words").alias("n")).where(F.col("n").between(1, s.window - 1)).distinct()
+    short = sorted(r.n for r in lengths.collect())  # fewer than the words of a window
+    length = F.least(F.size("words"), F.lit(s.window))
+    named = F.concat(F.array(F.lit(NAME)), F.slice("words", 2, F.size("words")))
+    by_length = [
+        items.where(length == n).select(
+            "item_id", "words", F.lit(n).alias("length"), _windows(F.col("words"), n).alias("hashes"),
+            F.when(F.col("capital"), _windows(named, n)[0]).alias("other"),
+        )
+        for n in [*short, s.window]
+    ]
+    windows = reduce(DataFrame.union, by_length)
+    each = windows.select("item_id", "words", "length", "other", F.posexplode("hashes").alias("item_at", "hash"))
+    literal = F.size(F.filter(F.slice("words", F.col("item_at") + 1, F.col("length")), lambda w: ~_is_mark(w)))
+    each = each.withColumn("good", literal >= F.least(F.lit(s.literals), F.size("words")))
     sizes = each.groupBy("item_id").agg(F.count_if("good").alias("good_ones"), F.count("*").alias("every"))
     each = (
         each.join(sizes, "item_id")
         .where(F.col("good") | (F.col("good_ones") == 0))
         .select(
-            "item_id", "item_at", "hash",
+            "item_id", "item_at", "length",
+            F.explode(F.array_compact(F.array("hash", F.when(F.col("item_at") == 0, F.col("other"))))).alias("hash"),
             F.when(F.col("good_ones") > 0, F.col("good_ones")).otherwise(F.col("every")).alias("item_windows"),
         )
     )
@@ -136,10 +151,21 @@ def leaks(
     docs = documents.select("doc_id", text_or_empty().alias("text"))
     docs = docs.withColumn("text_hash", F.xxhash64("text"))
     key = ["doc_id", "text_hash", "item_id"]
+    own = docs.select("doc_id", "text_hash", template(F.col("text")).alias("words"))
+    if short:
+        by_length = F.array(
+            *[F.struct(F.lit(n).alias("length"), _windows(F.col("words"), n).alias("hashes")) for n in [*short, s.window]]
+        )
+        own = own.select("doc_id", "text_hash", F.explode(by_length).alias("of")).select(
+            "doc_id", "text_hash", "of.length", F.posexplode("of.hashes").alias("at", "hash")
+        )
+    else:
+        own = own.select(
+            "doc_id", "text_hash", F.lit(s.window).alias("length"),
+            F.posexplode(_windows(F.col("words"), s.window)).alias("at", "hash"),
+        )
     met = (
-        docs.select("doc_id", "text_hash", template(F.col("text")).alias("words"))
-        .select("doc_id", "text_hash", F.posexplode(_windows(F.col("words"), s.window)).alias("at", "hash"))
-        .join(_sent(each, s), "hash")
+        own.join(_sent(each, s), ["length", "hash"])
         # Of the places of a document where a window of the item stands, each alignment counts once.
         .groupBy(*key, "item_windows", "item_at", (F.col("at") - F.col("item_at")).alias("shift"))
         .agg(F.lit(1).alias("one"))
