@@ -1,4 +1,4 @@
-"""Near-duplicates by Order MinHash, verified by banded alignment.
+"""Near-duplicates by Order MinHash, verified by banded alignment alone.
 
 A text's k-mers are its windows of five words, each labelled with how often it occurred before.
 A sketch entry takes, under one hash function, the two k-mers with the least hashes and
@@ -21,21 +21,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from inkwell.llm.common import batch_rows, checkpointed, removed, text_or_empty, written
+from inkwell.operators.joins import heavy_keys, lookup
 
 
 @dataclass(frozen=True)
 class NearDuplicates:
-    """k: words of a window; similarity: least Jaccard similarity of the windows and least edit
-    similarity of the words; bands of rows sketch entries. With 24 bands of 3 entries two texts of
-    similarity 0.8 share a bucket with probability 0.9993, those of 0.85 with 0.99998, of 0.5 with
-    0.31, of 0.3 with 0.02. block: texts compared at a time; broadcast_rows: most keys that are sent
-    to all executors.
+    """k: words of a window; similarity: least edit similarity of the words; bands of rows sketch
+    entries. An entry of two texts agrees about as often as the square of the share of windows that they
+    have in common, so with 32 bands of 2 entries texts share a bucket with probability 0.9999 if this
+    share is 0.7 (4 changes in 100 words spread evenly), 0.98 at 0.58, 0.87 at 0.5 (7 changes), and 0.23
+    at 0.3. block: texts compared at a time; broadcast_rows: most keys that are sent to all executors.
     """
 
     k: int = 5
     similarity: float = 0.8
-    bands: int = 24
-    rows: int = 3
+    bands: int = 32
+    rows: int = 2
     block: int = 256
     broadcast_rows: int = 200_000
     seed: int = 11
@@ -152,16 +153,28 @@ def edit_distance(a: list, b: list, limit: int) -> int:
     return limit + 1
 
 
+def most_edits(a: int, b: int, least: float) -> int:
+    """Edits that texts of so many words may differ in."""
+    return int((1 - least) * max(a, b) + 1e-9)
+
+
 def similar(a: list[bytes], b: list[bytes], ga: np.ndarray, gb: np.ndarray, least: float) -> bool:
-    """Whether windows (distinct, sorted) and aligned words agree by ``least`` or more."""
-    common = len(np.intersect1d(ga, gb, assume_unique=True))
-    if common < least * (len(ga) + len(gb) - common) or not common:
+    """Whether aligned words agree by ``least`` or more.
+
+    ``ga`` and ``gb`` are the sorted words with their occurrence numbers. An edit takes away at most one
+    word that both have, so texts that lack too many of them need no alignment.
+    """
+    limit = most_edits(len(a), len(b), least)
+    if len(np.intersect1d(ga, gb, assume_unique=True)) < max(len(a), len(b), 1) - limit:
         return False
-    size = max(len(a), len(b))
-    limit = int((1 - least) * size + 1e-9)
     return edit_distance(a, b, limit) <= limit
 
 
+def word_bag(hashes: np.ndarray) -> np.ndarray:
+    """Words labelled with their occurrence numbers, sorted."""
+    return np.sort(labelled(hashes)) if len(hashes) else hashes
+
+
 def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split()
 
@@ -183,10 +196,10 @@ def hash_functions(settings: NearDuplicates) -> np.ndarray:
 
 
 def sketched(documents: DataFrame, settings: NearDuplicates) -> DataFrame:
-    """doc_id, key (of the text), distinct windows and bands of each row."""
+    """doc_id, key (of the text), number of words and bands of each row."""
     functions = hash_functions(settings)
     source = documents.select("doc_id", text_or_empty().alias("text"))
-    schema = T.StructType([source.schema["doc_id"]]).add("key", "binary").add("windows", "long")
+    schema = T.StructType([source.schema["doc_id"]]).add("key", "binary").add("words", "long")
     schema = schema.add("bands", T.ArrayType(T.LongType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,8 +209,9 @@ def sketched(documents: DataFrame, settings: NearDuplicates) -> DataFrame:
                 keys, sizes, bands = [], [], []
                 for text in batch.column("text").to_pylist():
                     keys.append(key_of(text))
-                    grams = windows(hashes.of(words_of(text)), settings.k)
-                    sizes.append(len(np.unique(grams)))
+                    words = hashes.of(words_of(text))
+                    grams = windows(words, settings.k)
+                    sizes.append(len(words))
                     bands.append(buckets(sketch(grams, functions), settings.rows) if len(grams) else [])
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -206,7 +220,7 @@ def sketched(documents: DataFrame, settings: NearDuplicates) -> DataFrame:
                         pa.array(sizes, pa.int64()),
                         pa.array(bands, pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "key", "windows", "bands"],
+                    names=["doc_id", "key", "words", "bands"],
                 )
 
     return source.mapInArrow(run, schema)
@@ -251,25 +265,24 @@ def verified(documents: DataFrame, pairs: DataFrame, settings: NearDuplicates) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        key, words, grams = None, [], np.array([], np.uint64)
+        key, words, bag = None, [], np.array([], np.uint64)
         for whole in batches:
             for batch in batch_rows(whole):
                 kept = []
                 for i, b in enumerate(batch.column("b").to_pylist()):
                     if b != key:  # rows of one leader follow each other
                         key, words = b, words_of(batch.column("text_b")[i].as_py())
-                        grams = np.unique(windows(hashes.of(words), settings.k))
+                        bag = word_bag(hashes.of(words))
                     own = words_of(batch.column("text_a")[i].as_py())
-                    mine = np.unique(windows(hashes.of(own), settings.k))
-                    if similar(own, words, mine, grams, settings.similarity):
+                    if similar(own, words, word_bag(hashes.of(own)), bag, settings.similarity):
                         kept.append(i)
                 yield batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
 
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary")
 
 
-def shared_windows(grams: list[np.ndarray]) -> np.ndarray:
-    """How many windows each two of the sets share: a product of matrices over those in several."""
+def shared_words(grams: list[np.ndarray]) -> np.ndarray:
+    """How many words each two of the sets share: a product of matrices over those in several."""
     values, number, count = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True)
     row = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
     several = (count > 1)[number]
@@ -295,10 +308,10 @@ def block_links(table: pa.Table, settings: NearDuplicates) -> list[tuple[bytes,
     two = len(set(part)) > 1
     hashes = WordHashes()
     words = [words_of(t) for t in texts]
-    grams = [np.unique(windows(hashes.of(w), settings.k)) for w in words]
-    size = np.array([len(g) for g in grams], float)
-    common = shared_windows(grams)
-    near = common >= settings.similarity * (size[:, None] + size[None, :] - common) - 1e-6
+    grams = [word_bag(hashes.of(w)) for w in words]
+    size = np.array([len(w) for w in words])
+    longer = np.maximum(size[:, None], size[None, :])
+    near = shared_words(grams) >= longer - np.floor((1 - settings.similarity) * longer + 1e-9) - 1e-3
     top = {c: c for c in own}
 
     def root(c: bytes) -> bytes:
@@ -398,14 +411,14 @@ def linked(documents: DataFrame, members: DataFrame, settings: NearDuplicates):
     """
     links = found = None
     leaders = checkpointed(
-        members.groupBy("bucket").agg(F.max(F.struct("central", "key", "windows")).alias("leader"))
+        members.groupBy("bucket").agg(F.max(F.struct("central", "key", "words")).alias("leader"))
     )
     pairs = (
         members.join(leaders, "bucket")
         .where(F.col("key") != F.col("leader.key"))
         .where(
-            F.least("windows", "leader.windows")
-            >= settings.similarity * F.greatest("windows", "leader.windows")
+            F.least("words", "leader.words")
+            >= settings.similarity * F.greatest("words", "leader.words") - 1e-6
         )
         .select(F.col("key").alias("a"), F.col("leader.key").alias("b"))
         .distinct()
@@ -430,28 +443,34 @@ def linked(documents: DataFrame, members: DataFrame, settings: NearDuplicates):
 def classes(documents: DataFrame, settings: NearDuplicates | None = None) -> DataFrame:
     """One row per document: doc_id, key of its text, class_id, and the size of its class.
 
-    Two texts are linked when their sets of 5-word windows have a Jaccard similarity of 0.8 or
-    more and their words an edit similarity of 0.8 or more; a class is a connected group, with
-    the least doc_id as its id. Equal texts are always in one class, so all null and empty texts
+    Two texts that share a bucket are linked when their words have an edit similarity of 0.8 or more; a
+    class is a connected group, with the least doc_id as its id. Equal texts are always in one class, so all null and empty texts
     are; texts of less than five words are one window. Rows without doc_id count as well; a class
     of such rows alone has a null id. Repeated rows come out repeatedly. An empty table has no
     classes. Other columns of ``documents`` do not matter.
     """
     settings = settings or NearDuplicates()
     rows, _ = written(sketched(documents, settings), "omh-sketches")
-    flat = rows.select("key", "windows", F.explode("bands").alias("bucket")).distinct()
+    flat = rows.select("key", "words", F.explode("bands").alias("bucket")).distinct()
     sizes = flat.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     shared = checkpointed(flat.join(sizes, "bucket"))
     central = shared.groupBy("key").agg(F.sum("size").alias("central"))
     members, members_path = written(
-        shared.join(central, "key").select("bucket", "key", "windows", "central"), "omh-buckets"
+        shared.join(central, "key").select("bucket", "key", "words", "central"), "omh-buckets"
     )
     found = linked(documents, members, settings)
     removed(documents.sparkSession, members_path)
     own = rows.select("doc_id", "key")
-    own = own.withColumn("component", F.col("key")) if found is None else _with_component(own, found)
-    groups = own.groupBy("component").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
-    return own.join(groups, "component").select("doc_id", "key", "component", "class_id", "class_size")
+    # One row per text first: copies of a text, however many, are reduced before anything is joined.
+    texts = own.groupBy("key").agg(F.min("doc_id").alias("low"), F.count("*").alias("copies"))
+    texts = texts.withColumn("component", F.col("key")) if found is None else _with_component(texts, found)
+    groups = texts.groupBy("component").agg(
+        F.min("low").alias("class_id"), F.sum("copies").alias("class_size")
+    )
+    told = lookup(texts.select("key", "component"), groups, "component", ["key"], heavy_keys(texts, "component"))
+    return lookup(own, told, "key", ["doc_id"], heavy_keys(own, "key")).select(
+        "doc_id", "key", "component", "class_id", "class_size"
+    )
 
 
 def without_near_duplicates(documents: DataFrame, settings: NearDuplicates | None = None) -> DataFrame:
