@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.llm.common import checkpointed, text_or_empty
+from inkwell.operators.joins import heavy_keys, lookup
 
 KINDS = ("email", "ip", "card", "phone")
 # Characters of Unicode's private use area replace the marks that join two characters. Runs with
@@ -50,14 +51,13 @@ _TERM = r"\p{L}{4,}+"
 @dataclass(frozen=True)
 class Disclosure:
     """min_texts: distinct texts in which value and term must meet; generalise and remove: shares
-    of IC(e) that a term must give; context: characters on each side of a value that are searched;
-    broadcast_rows: most rows of a table that is sent to all executors.
+    of IC(e) that a term must give; broadcast_rows: most rows, or entries of arrays, of a table that is
+    sent to all executors.
     """
 
     min_texts: int = 3
     generalise: float = 0.9
     remove: float = 0.98
-    context: int = 80
     broadcast_rows: int = 100_000
 
 
@@ -138,8 +138,7 @@ def _cut(text: Column, pattern: str) -> tuple[Column, Column]:
 
 def with_spans(documents: DataFrame, text: str = "text") -> DataFrame:
     """``documents`` with ``_email`` ... ``_phone``: for each kind the matches that count, as an
-    array of (start, end, match, left, right); left and right are the texts beside it up to the
-    neighbouring matches of the kind.
+    array of (start, end, match).
     """
     columns = documents.columns
     for kind in KINDS:
@@ -161,21 +160,15 @@ def with_spans(documents: DataFrame, text: str = "text") -> DataFrame:
             F.arrays_zip(
                 F.col("_starts").alias("start"),
                 F.col("_found").alias("match"),
-                F.slice("_gaps", 1, n).alias("left"),
-                F.slice("_gaps", 2, n).alias("right"),
             ),
             lambda z: F.struct(
                 z["start"].alias("start"),
                 (z["start"] + F.length(z["match"])).alias("end"),
                 _restored(z["match"]).alias("match"),
-                z["left"].alias("left"),
-                z["right"].alias("right"),
             ),
         )
         good = F.filter(F.when(n > 0, spans), lambda s: _counts(kind, s["match"]))
-        empty = F.array().cast(
-            "array<struct<start:bigint,end:bigint,match:string,left:string,right:string>>"
-        )
+        empty = F.array().cast("array<struct<start:bigint,end:bigint,match:string>>")
         documents = cut.withColumn(f"_{kind}", F.coalesce(good, empty)).select(*columns, f"_{kind}")
         columns = documents.columns
     return documents
@@ -187,19 +180,13 @@ def _shown(kind: str, spans: Column) -> Column:
     )
 
 
-def _beside(spans: Column, size: int) -> Column:
-    """The words of four letters or more beside a match, in lower case."""
-    left = F.substring(spans["left"], -size, size)
-    right = F.substring(spans["right"], 1, size)
-    # A word that the limit may have cut is left out.
-    left = F.when(F.length(spans["left"]) > size, F.regexp_replace(left, r"^\p{L}+", "")).otherwise(left)
-    right = F.when(F.length(spans["right"]) > size, F.regexp_replace(right, r"\p{L}+$", "")).otherwise(right)
-    return _terms_of(F.concat_ws(" ", left, right))
-
+def _sent(df: DataFrame, settings: Disclosure, size: Column | None = None) -> DataFrame:
+    """A table for the small side of a join: sent to all only when its measured size allows.
 
-def _sent(df: DataFrame, settings: Disclosure) -> DataFrame:
-    """A table for the small side of a join: sent to all only when its measured size allows."""
-    return F.broadcast(df) if df.count() <= settings.broadcast_rows else df
+    ``size``: entries of a row that has arrays.
+    """
+    entries = df.agg(F.sum(F.lit(1) if size is None else size)).first()[0] or 0
+    return F.broadcast(df) if entries <= settings.broadcast_rows else df
 
 
 def _terms_of(text: Column) -> Column:
@@ -211,37 +198,33 @@ def disclosing_terms(spans: DataFrame, settings: Disclosure) -> DataFrame | None
     information, those terms with their shares. None if there are no terms to look for.
 
     ``spans``: key and text of each document with the columns of :func:`with_spans`. Values come
-    from one pass over the texts; only terms near a value in enough distinct texts are then looked
-    up in all texts, in a second pass.
+    from one pass over the texts; terms count wherever they stand in a text with the value. Only those
+    that meet a value in enough distinct texts are then looked up in all texts, in a second pass.
     """
     every = F.concat(
         *[
-            F.transform(
-                F.col(f"_{kind}"),
-                lambda s: F.struct(
-                    F.concat_ws(":", F.lit(kind), s["match"]).alias("value"),
-                    _beside(s, settings.context).alias("terms"),
-                ),
-            )
-            for kind in KINDS
+            F.transform(F.col(f"_{kind}"), lambda s: F.concat_ws(":", F.lit(kind), s["match"])) for kind in KINDS
         ]
     )
-    values = checkpointed(
-        spans.select("key", F.explode(every).alias("v")).select("key", "v.value", "v.terms")
-    )
+    values = checkpointed(spans.select("key", F.explode(every).alias("value")).distinct())
     per_value = (
-        values.select("value", "key").distinct().groupBy("value").agg(F.count("*").alias("n_value"))
-    ).where(F.col("n_value") >= settings.min_texts)
+        values.groupBy("value").agg(F.count("*").alias("n_value")).where(F.col("n_value") >= settings.min_texts)
+    )
+    # Texts with a value that enough texts have; a value may be in a third of all texts.
+    shared = lookup(values, per_value, "value", ["key"], heavy_keys(values, "value")).where("n_value is not null")
+    shared = checkpointed(shared)
+    if shared.isEmpty():
+        return None
     total = float(spans.select("key").distinct().count())
-    near = values.select("key", F.explode("terms").alias("term")).distinct()
-    near = near.groupBy("term").agg(F.count("*").alias("n_near"))
-    # A term can reach the share only while n(t) <= n(e,t) (N / n(e)) ^ (1 - share). The texts
-    # where it stands near any value already are a part of n(t), so most common terms end here.
+    whole = spans.select("key", "text").join(shared.select("key").distinct(), "key", "left_semi")
+    whole = whole.dropDuplicates(["key"]).select("key", _terms_of(F.col("text")).alias("terms"))
+    near = whole.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n_near"))
+    # A term can reach the share only while n(t) <= n(e,t) (N / n(e)) ^ (1 - share). The texts with a
+    # shared value that have it already are a part of n(t), so most common terms end here.
     most = F.col("n_both") * F.pow(F.lit(total) / F.col("n_value"), F.lit(1 - settings.generalise))
     met = checkpointed(
-        values.join(per_value, "value")
-        .select("value", "n_value", "key", F.explode("terms").alias("term"))
-        .distinct()
+        shared.join(whole, "key")
+        .select("value", "n_value", F.explode("terms").alias("term"))
         .groupBy("value", "n_value", "term")
         .agg(F.count("*").alias("n_both"))
         .where(F.col("n_both") >= settings.min_texts)
@@ -266,7 +249,8 @@ def disclosing_terms(spans: DataFrame, settings: Disclosure) -> DataFrame | None
         .where(F.col("share") >= settings.generalise)
     )
     return checkpointed(
-        held.join(disclosing, "term")
+        lookup(held, disclosing, "term", ["key"], heavy_keys(held, "term"))
+        .where(F.col("share").isNotNull())
         .groupBy("key")
         .agg(F.collect_set(F.struct("term", "share")).alias("_terms"))
     )
@@ -278,7 +262,9 @@ def sanitise(documents: DataFrame, settings: Disclosure | None = None, text: str
     Spans are ``kind:start:end`` in code points with the end exclusive, by kind and start, joined
     by commas. ``sanitised`` has a placeholder for each: the kind's, ``[TERM]`` for a generalised
     term and nothing for a removed one. A null text counts as empty and has no spans. Equal texts
-    count once in the statistics. Columns of ``documents`` with names of results are replaced.
+    count once in the statistics, so repeated rows come out repeatedly with the same result. Of equal
+    shares for several values the greatest counts, so ties do not matter. Texts of any length are read
+    whole; an empty table stays empty. Columns of ``documents`` with names of results are replaced.
     """
     settings = settings or Disclosure()
     results = ["n_email", "n_ip", "n_card", "n_phone", "n_term", "base_spans", "spans", "sanitised"]
@@ -294,7 +280,7 @@ def sanitise(documents: DataFrame, settings: Disclosure | None = None, text: str
     if terms is None:
         found = found.withColumn("_terms", F.lit(None).cast("array<struct<term:string,share:double>>"))
     else:
-        found = found.join(_sent(terms, settings), "key", "left")
+        found = found.join(_sent(terms, settings, F.size("_terms")), "key", "left")
     return _finished(found, own, text, settings)
 
 

@@ -363,6 +363,38 @@ def test_disclosing_terms_against_brute_force(spark):
     assert again[60].sanitised == "A text with  alone, \U0001f600 ." and again[60].spans == out[60].spans
 
 
+def expected_terms(rows, least=3, generalise=0.9):
+    """Shares of the terms of each text, by counting over all distinct texts."""
+    texts = sorted({t or "" for _, t in rows})
+    found = {t: {s.split(":")[0] + ":" + t[int(s.split(":")[1]) : int(s.split(":")[2])] for s in base_spans(t)} for t in texts}
+    words = {t: set(re.findall(r"[^\W\d_]{4,}", t.lower())) for t in texts}
+    n_value = collections.Counter(v for vs in found.values() for v in vs)
+    n_term = collections.Counter(w for ws in words.values() for w in ws)
+    both = collections.Counter((v, w) for t in texts for v in found[t] for w in words[t])
+    shares = collections.defaultdict(float)
+    for (v, w), n in both.items():
+        if n >= least and n_value[v] < len(texts):
+            share = math.log(len(texts) * n / (n_value[v] * n_term[w])) / math.log(len(texts) / n_value[v])
+            shares[w] = max(shares[w], share)
+    return {t: {w for w in words[t] if shares[w] >= generalise} for t in texts}
+
+
+def test_terms_count_over_whole_texts(spark):
+    """Terms behind other numbers, in other sentences, and far from the value."""
+    rows = [(i, f"{prose(i, 2)} card 4111 1111 1111 1111 exp 12/26 holder Zorgblatt {prose(i + 9, 3)}") for i in range(6)]
+    rows += [(10 + i, f"mail to a0@b.com. {prose(i, 90)}. The agent is Quuxman. {prose(i, 4)}") for i in range(6)]
+    rows += [(30 + i, f"The card and agent of the holder, mail {prose(40 + i, 9)}") for i in range(90)]
+    rows += [(200, "Quuxman and Zorgblatt"), (201, None), (202, rows[0][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    wanted = expected_terms(rows)
+    assert wanted[rows[0][1]] >= {"zorgblatt"} and wanted[rows[6][1]] >= {"quuxman"}
+    for chosen in (pii_sanitise.Disclosure(), pii_sanitise.Disclosure(broadcast_rows=0)):
+        for r in pii_sanitise.sanitise(df, chosen).collect():
+            text = r.text or ""
+            spans = [s.split(":") for s in r.spans.split(",") if s.startswith("term")]
+            assert {text[int(a) : int(b)].lower() for _, a, b in spans} == wanted[text]
+
+
 def test_running_sums(spark):
     for n in (0, 1, 255, 256, 257, 1000):
         values = list(range(n))
@@ -573,3 +605,23 @@ def test_pipeline_stages(spark):
     key = lambda r: (r.doc_id, r.start, r.length, r.ids_crc32)
     assert {(r.doc_id, r.doc_tokens) for r in rows} == {(p.doc_id, p.doc_tokens) for p in packed}
     assert sum(r.length for r in rows) == sum(p.length for p in packed) and len(set(map(key, rows))) == len(rows)
+
+
+def test_pipeline_stages_on_awkward_rows(spark):
+    """Columns with names of results keep their values, and no case breaks a stage."""
+    import corpus_pipeline
+
+    folder, own = "/root/testdata/sf0.001", {"score": 7.0, "predicted": 9, "spans": "mine", "n_email": "x", "_hash2": True}
+    rows = awkward()
+    docs = spark.createDataFrame(rows, SCHEMA).withColumns({n: F.lit(v) for n, v in own.items()})
+    for stage in (corpus_pipeline.unique, corpus_pipeline.decontaminated, corpus_pipeline.sanitised):
+        found = stage(spark, docs, folder)
+        assert found.columns == docs.columns
+        kept = found.collect()
+        assert all(r[n] == v for r in kept for n, v in own.items())
+        assert stage(spark, docs.limit(0), folder).count() == 0
+    assert [r.text for r in kept if r.doc_id == 8] == ["é \U0001f600 ñ [EMAIL] \U0001f600 [CARD]"]
+    assert corpus_pipeline.good_quality(spark, docs.limit(0), folder).count() == 0
+    good = corpus_pipeline.good_quality(spark, docs, folder).collect()
+    assert all(r[n] == v for r in good for n, v in own.items())
+    assert corpus_pipeline.packed(spark, docs.limit(0), folder).count() == 0
