@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from inkwell.functions.readers import active_subscription
 from inkwell.operators.joins import lookup
 from inkwell.operators.spine import as_of_counts, day_range
+from inkwell.plans.actives import CLIENTS, LOGINS, VISITORS
 from inkwell.plans.warehouse import Warehouse
 
 Measure = Callable[[], Column]
@@ -23,6 +24,8 @@ class Cube:
     relation: Callable[[Warehouse], DataFrame]
     measures: Mapping[str, Measure]
     dimensions: Mapping[str, str]
+    # Measures that are distinct ids, and whose they are in the day's bitmaps.
+    actives: Mapping[str, str] = field(default_factory=dict)
 
 
 def _sum(column: str) -> Measure:
@@ -237,6 +240,7 @@ CUBES: dict[str, Cube] = {
             "activeSubscribers": _active_subscribers,
         },
         {"eventName": "event_name", "eventDate": "event_date", "url": "page_location"},
+        {"activeUsers": CLIENTS, "activeRegisteredUsers": LOGINS},
     ),
     "pages": Cube(
         _event_date("pages"),
@@ -318,6 +322,7 @@ CUBES: dict[str, Cube] = {
             **_CHANNEL_DIMENSIONS,
             "landingPage": "landing_page_path",
         },
+        {"activeUsers": VISITORS},
     ),
     "subscriptions": Cube(
         lambda w: w.relation("subscription_last_touch"),

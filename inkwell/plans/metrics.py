@@ -10,7 +10,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.plans.cubes import CUBES
+from inkwell.plans.actives import active
+from inkwell.plans.cubes import CUBES, Cube
 from inkwell.plans.warehouse import Warehouse
 
 MISSING_NAME = "—"
@@ -70,6 +71,8 @@ def metric_query(w: Warehouse, query: MetricQuery, range_: DateRange | None = No
     if len(cube_names) != 1:
         raise ValueError(f"members of one cube expected, got {sorted(cube_names)}")
     cube = CUBES[cube_names.pop()]
+    if any(_member(m) in cube.actives for m in query.measures) and not query.dimensions:
+        return _with_actives(w, cube, query, range_)
     rows = cube.relation(w)
     keys = [F.col(cube.dimensions[_member(d)]).alias(_member(d)) for d in query.dimensions]
     if query.time_dimension:
@@ -88,6 +91,39 @@ def metric_query(w: Warehouse, query: MetricQuery, range_: DateRange | None = No
     return result.limit(query.limit) if query.limit else result
 
 
+def _with_actives(w: Warehouse, cube: Cube, query: MetricQuery, range_: DateRange | None) -> DataFrame:
+    """A query over time alone: its distinct clients and logins come from the days' bitmaps."""
+    distinct = [m for m in query.measures if _member(m) in cube.actives]
+    others = [m for m in query.measures if m not in distinct]
+    days = w.table("activity_bitmaps")
+    if range_ is not None and query.time_dimension:
+        days = days.filter(range_.covers(F.col("event_date")))
+    who = list(dict.fromkeys(cube.actives[_member(m)] for m in distinct))
+    named = [F.col(cube.actives[_member(m)]).alias(_member(m)) for m in distinct]
+    order = [_member(m) for m in query.measures]
+    rows = cube.relation(w)
+    values = [cube.measures[_member(m)]().alias(_member(m)) for m in others] or [F.count(F.lit(1)).alias("_rows")]
+    if not query.grain:
+        if not others:
+            return active(days, who).select(*named).select(*order)
+        if range_ is not None and query.time_dimension:
+            rows = rows.filter(range_.covers(F.col(cube.dimensions[_member(query.time_dimension)])))
+        counts = active(days, who).select(F.struct(*named)).scalar()
+        both = rows.agg(*values).withColumn("_actives", counts)
+        return both.select(*[F.col("_actives")[c].alias(c) if c in {_member(m) for m in distinct} else c for c in order])
+    day = _member(query.time_dimension)
+    time = F.col(cube.dimensions[day])
+    if range_ is not None:
+        rows = rows.filter(range_.covers(time))
+    grouped = rows.groupBy(F.date_trunc(query.grain, time).cast("date").alias(day)).agg(*values)
+    bucket = F.date_trunc(query.grain, F.col("event_date")).cast("date")
+    counts = active(days, who, bucket).select(F.col("at").alias(day), *named)
+    result = grouped.join(counts, day, "left").fillna(0, [_member(m) for m in distinct]).select(day, *order)
+    if query.order_by:
+        result = result.orderBy(F.col(_member(query.order_by)).desc(), F.col(day).asc())
+    return result.limit(query.limit) if query.limit else result
+
+
 def total(w: Warehouse, query: MetricQuery, range_: DateRange) -> DataFrame:
     """Single row of totals, null where nothing matched (MQ3)."""
     return metric_query(w, query, range_)

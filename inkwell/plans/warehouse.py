@@ -11,8 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwell.config import EngineConfig
-from inkwell.plans import articles, clients, pages, sessions, staging, subscriptions
-from inkwell.rebuilds.incremental import in_window, overwrite, replace_window
+from inkwell.plans import actives, articles, clients, pages, sessions, staging, subscriptions
+from inkwell.rebuilds.incremental import (
+    day_digests,
+    finish,
+    in_window,
+    overwrite,
+    replace_days,
+    replace_window,
+)
 from inkwell.rebuilds.states import Bundle, ClosedStates, as_it_is, extended
 
 
@@ -27,6 +34,8 @@ class Relation:
     build: Callable[[Warehouse], DataFrame]
     day: str | None = None
     lookback: Callable[[EngineConfig], int | None] = lambda config: 0
+    # Rows that a run adds to those that are there, from its window; nothing that is there changes.
+    added: Callable[[_Window, DataFrame], DataFrame] | None = None
 
 
 @dataclass
@@ -78,6 +87,7 @@ class Warehouse:
         A table without any file has no schema to read; it is built anew.
         """
         path = f"{self.root}/{name}"
+        self._finish(name)
         target = self.spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
         if not target.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(target):
             return False
@@ -89,6 +99,13 @@ class Warehouse:
             return False
         return True
 
+    def _finish(self, name: str) -> None:
+        """Carry through a run that broke off while it replaced days of this table."""
+        path, day = f"{self.root}/{name}", RELATIONS[name].day if name in RELATIONS else None
+        under_way = self.spark._jvm.org.apache.hadoop.fs.Path(f"{path}__window/_days/_SUCCESS")
+        if day and under_way.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(under_way):
+            finish(self.spark, path, day, self.spark.read.parquet(path).schema)
+
     def rebuild(self, name: str, as_of: dt.date) -> None:
         """Bring one table up to date: the days from ``late_days`` before ``as_of`` to ``as_of``
         of a table with days (I1, I8), the whole of any other (I6).
@@ -102,6 +119,11 @@ class Warehouse:
         kind, path = RELATIONS[name], f"{self.root}/{name}"
         lookback = kind.lookback(self.config)
         known = name in self._tables or self.open(name)
+        if known and kind.added:
+            rows = kind.added(_Window(self, as_of, self.config.late_days), self._tables[name])
+            rows.write.mode("append").parquet(path)
+            self._tables[name] = self.spark.read.schema(rows.schema).parquet(path)
+            return
         if not known or kind.day is None or lookback is None:
             rows = self.relation(name)
             overwrite(rows, path, kind.day)
@@ -143,6 +165,57 @@ class Warehouse:
             if name in make(self.config).days:
                 ClosedStates(self.spark, f"{self.root}/{bundle}__closed", make(self.config)).forget()
 
+    def refresh(self, names: tuple[str, ...] | None = None) -> dict[str, set[dt.date]]:
+        """Rebuild what changed sources ask for, however old: the days whose digest differs from the one
+        of the last refresh, and in each table the days that depend on such days.
+
+        Returns the days that were written, by table. The first refresh only takes the digests.
+        """
+        path = f"{self.root}/source_days"
+        now = day_digests(self.table("events"), INPUT_DAYS["events"])
+        now = now.withColumn("day", F.to_date("day", "yyyyMMdd"))
+        changed: dict[str, set[dt.date]] = {"events": set()}
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+        if target.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(target):
+            before = self.spark.read.schema(now.schema).parquet(path).withColumnsRenamed({"rows": "_rows", "digest": "_digest"})
+            both = now.join(before, "day", "full")
+            same = F.col("rows").eqNullSafe(F.col("_rows")) & F.col("digest").eqNullSafe(F.col("_digest"))
+            changed["events"] = {r.day for r in both.where(~same).select("day").collect()}
+        for name in names or STORED:
+            self._refresh(name, changed)
+        overwrite(self.spark.createDataFrame(now.collect(), now.schema), path)
+        return changed
+
+    def _refresh(self, name: str, changed: dict[str, set[dt.date]]) -> None:
+        if name in BUNDLES:
+            bundle = BUNDLES[name](self.config)
+            days = set().union(*(changed.get(n, set()) for n in bundle.days))
+            if days:
+                # Closed states may hold what these days were.
+                ClosedStates(self.spark, f"{self.root}/{name}__closed", bundle).forget()
+                self.extend(name, self.table(bundle.days[0]).agg(F.max(RELATIONS[bundle.days[0]].day)).first()[0])
+            changed |= dict.fromkeys(bundle.tables, days)
+            return
+        kind = RELATIONS[name]
+        used = _Uses(self)
+        kind.build(used)
+        lookback = kind.lookback(self.config)
+        moved = set().union(*(changed.get(n, set()) for n in used.names))
+        if not moved:
+            changed[name] = set()
+            return
+        if kind.day is None or lookback is None:
+            rows = self.relation(name)
+            overwrite(rows, f"{self.root}/{name}", kind.day)
+            changed[name] = moved
+        else:
+            days = {d + dt.timedelta(days=n) for d in moved for n in range(lookback + 1)}
+            source = {d - dt.timedelta(days=n) for d in days for n in range(lookback + 1)}
+            rows = kind.build(_Days(self, source)).where(F.col(kind.day).isin(sorted(days)))
+            replace_days(rows, f"{self.root}/{name}", kind.day, sorted(days))
+            changed[name] = days
+        self._tables[name] = self.spark.read.schema(rows.schema).parquet(f"{self.root}/{name}")
+
     def build(self, as_of: dt.date, names: tuple[str, ...] | None = None) -> None:
         """A daily run: :meth:`rebuild` for the tables, each after those it is made from."""
         for name in names or STORED:
@@ -173,6 +246,36 @@ class _Window:
         return staging.event_type(self.table("staged_events"), name, self.config)
 
 
+class _Days(_Window):
+    """A warehouse whose tables have some days only."""
+
+    def __init__(self, whole: Warehouse, days: set[dt.date]):
+        self.whole, self.days, self.config = whole, sorted(days), whole.config
+
+    def table(self, name: str) -> DataFrame:
+        rows = self.whole.table(name)
+        if name in INPUT_DAYS:
+            return rows.where(F.col(INPUT_DAYS[name]).isin([f"{d:%Y%m%d}" for d in self.days]))
+        day = RELATIONS[name].day if name in RELATIONS else None
+        return rows.where(F.col(day).isin(self.days)) if day else rows
+
+
+class _Uses(_Window):
+    """A warehouse that notes the tables that a relation is made from."""
+
+    def __init__(self, whole: Warehouse):
+        self.whole, self.config, self.spark = whole, whole.config, whole.spark
+        self.names: set[str] = set()
+
+    def table(self, name: str) -> DataFrame:
+        self.names.add(name)
+        return self.whole.table(name)
+
+    def folded(self, table: str) -> DataFrame:
+        self.names |= {n for make in BUNDLES.values() for n in make(self.config).days if table in make(self.config).tables}
+        return self.whole.folded(table)
+
+
 INPUT_DAYS = {"events": "event_date"}
 
 RELATIONS: dict[str, Relation] = {
@@ -209,6 +312,16 @@ RELATIONS: dict[str, Relation] = {
     "session_facts": Relation(
         lambda w: sessions.session_facts(w.table("session_days"), w.config), "session_partition_date"
     ),
+    "id_numbers": Relation(
+        lambda w: actives.id_numbers(w.table("events_daily")),
+        added=lambda w, known: actives.id_numbers(w.table("events_daily"), known),
+    ),
+    "activity_bitmaps": Relation(
+        lambda w: actives.activity_bitmaps(
+            w.table("events_daily"), w.table("session_activity"), w.table("id_numbers")
+        ),
+        "event_date",
+    ),
     "client_days": Relation(
         lambda w: clients.client_days(w.table("staged_events"), w.config), "event_date_dt"
     ),
@@ -290,6 +403,8 @@ STORED = (
     "paywall_daily",
     "paywall_sessions_daily",
     "events_daily",
+    "id_numbers",
+    "activity_bitmaps",
     "client_days",
     "client_states",
     "totals",

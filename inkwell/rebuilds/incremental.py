@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def window_start(as_of: dt.date, days: int) -> dt.date:
@@ -41,21 +42,57 @@ def overwrite_days(df: DataFrame, path: str, partition: str) -> None:
     )
 
 
-def replace_window(df: DataFrame, path: str, day: str, as_of: dt.date, late_days: int) -> None:
-    """Write the days of ``df`` and drop the other days of the window from the table.
+def _files(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
 
-    The rows are computed once, into a table beside, from which the days are taken over.
+def replace_days(df: DataFrame, path: str, day: str, days: Sequence[dt.date]) -> None:
+    """Replace these days of a table by the rows of ``df``; days that it has no rows for go.
+
+    The rows are computed once, into a table beside, together with the list of days. From then on the
+    replacement is under way and :func:`finish` can carry it through, whoever calls it.
     """
-    spark, beside = df.sparkSession, f"{path.rstrip('/')}__window"
+    spark, beside = df.sparkSession, _beside(path)
+    finish(spark, path, day, df.schema)
+    files, folder = _files(spark, beside)
+    files.delete(folder, True)
     overwrite(df, beside, day)
-    built = spark.read.schema(df.schema).parquet(beside)
+    spark.createDataFrame([(d,) for d in days], "day date").coalesce(1).write.parquet(f"{beside}/_days")
+    finish(spark, path, day, df.schema)
+
+
+def _beside(path: str) -> str:
+    return f"{path.rstrip('/')}__window"
+
+
+def finish(spark: SparkSession, path: str, day: str, schema: T.StructType) -> None:
+    """Carry through a replacement of days that broke off, if there is one."""
+    beside = _beside(path)
+    files, done = _files(spark, f"{beside}/_days/_SUCCESS")
+    if not files.exists(done):
+        return
+    days = [r.day for r in spark.read.parquet(f"{beside}/_days").collect()]
+    built = spark.read.schema(schema).parquet(beside)
     overwrite_days(built, path, day)
     written = {r[0] for r in built.select(day).distinct().collect()}
-    window = [as_of - dt.timedelta(days=n) for n in range(late_days + 1)]
-    gone = [f"{path}/{day}={d.isoformat()}" for d in window if d not in written]
-    for folder in (*gone, beside):
-        target = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    for gone in days:
+        if gone not in written:
+            files.delete(_files(spark, f"{path}/{day}={gone.isoformat()}")[1], True)
+    files.delete(_files(spark, beside)[1], True)
+
+
+def replace_window(df: DataFrame, path: str, day: str, as_of: dt.date, late_days: int) -> None:
+    """Replace the days of a window."""
+    replace_days(df, path, day, [as_of - dt.timedelta(days=n) for n in range(late_days + 1)])
+
+
+def day_digests(rows: DataFrame, day: str) -> DataFrame:
+    """(day, rows, digest): what a day's rows are, whatever their order."""
+    each = F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns])))
+    return rows.groupBy(F.col(day).alias("day")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(each.cast("decimal(38,0)")).alias("digest")
+    )
 
 
 def rebuild_window(
@@ -74,7 +111,7 @@ def rebuild_window(
     ``build`` maps source rows to table rows. With a lookback (I8) it reads that many
     more days of the source, but only the window is written. Whole days are replaced,
     so rows whose source is gone disappear as well, and so does a day without any rows. A
-    run that broke off is repaired by running it again.
+    run that broke off is carried through by the next one.
     """
     recent = source.filter(in_window(source_day, as_of, late_days + lookback_days))
     replace_window(build(recent).filter(in_window(day, as_of, late_days)), path, day, as_of, late_days)

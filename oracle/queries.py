@@ -861,6 +861,7 @@ def build() -> dict[str, str]:
     for name, model in {
         "session_facts": "m11_session_facts_daily",
         "session_conversions": "m03_session_conversions",
+        "changed_days": "m11_session_facts_daily",
         "user_id_mapping": "m06_user_id_mapping",
         "user_properties": "m07_user_properties",
         "client_first_last_events": "m08_client_first_last_events",

@@ -95,6 +95,53 @@ def test_a_second_application_finds_the_tables_and_extends_them(spark, tmp_path)
     assert kept and kept <= set(tmp_path.rglob("*.parquet"))
 
 
+def test_a_changed_source_day_is_rebuilt_with_what_depends_on_it(spark, tmp_path):
+    config = EngineConfig(lookback_days=3)
+    hits = [
+        hit("page_view", START + n * DAY, session=n, source="google" if n == 2 else None, medium="organic" if n == 2 else None)
+        for n in range(25)
+    ]
+    names = ("staged_events", "session_days", "session_traffic_sources", "last_non_direct", "session_activity", "paywall_daily", "client_days", "client_states")
+    late = hit("page_view", START + 3 * DAY + 9, client="new", session=1)
+    gone = hits[20]
+    first = warehouse(spark, tmp_path, hits, config=config)
+    assert first.refresh(names) == dict.fromkeys(["events", *names], set())
+    first.build(dt.date(2024, 1, 25), names)
+    before = {p: p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet")}
+    again = warehouse(spark, tmp_path, [h for h in hits if h is not gone] + [late], config=config)
+    written = again.refresh(names)
+    day = dt.date(2024, 1, 1)
+    moved = {day + dt.timedelta(days=n) for n in (3, 20)}
+    widened = {d + dt.timedelta(days=n) for d in moved for n in range(4)}
+    assert written["events"] == written["staged_events"] == written["session_days"] == moved
+    assert written["last_non_direct"] == written["session_activity"] == widened
+    whole = warehouse(spark, tmp_path / "whole", [h for h in hits if h is not gone] + [late], config=config)
+    for name in ("session_days", "last_non_direct", "session_activity", "paywall_daily", "client_states"):
+        ordered = [sorted(w.table(name).select(*sorted(w.table(name).columns)).drop("session_number").collect(), key=repr) for w in (again, whole)]
+        assert ordered[0] == ordered[1], name
+    kept = {p for p in before if p.exists() and p.stat().st_mtime_ns == before[p]}
+    rewritten = {str(p).split("date")[-1] for p in set(before) - kept if "/session_days/" in str(p)}
+    assert {r[4:14] if r.startswith("_dt") else r[1:11] for r in rewritten} == {d.isoformat() for d in moved}
+    assert again.refresh(names) == dict.fromkeys(["events", *names], set())
+
+
+def test_a_replacement_that_broke_off_is_carried_through(spark, tmp_path, monkeypatch):
+    rows = [hit("page_view", START + n * DAY, session=n) for n in (0, 4, 5)]
+    names = ("staged_events", "session_days", "session_facts")
+    warehouse(spark, tmp_path, rows).build(AS_OF, names)
+    again = warehouse(spark, tmp_path, rows[:2])
+
+    def broken(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m, pytest.raises(RuntimeError):
+        m.setattr(incremental, "overwrite_days", broken)
+        again.build(AS_OF, names[:1])
+    assert (tmp_path / "staged_events__window" / "_days").exists()
+    assert warehouse(spark, tmp_path, rows[:2]).table("staged_events").count() == 2
+    assert not (tmp_path / "staged_events__window").exists()
+
+
 def test_lookback_is_read_but_not_written(spark, tmp_path):
     config = EngineConfig(lookback_days=3)
     hits = [

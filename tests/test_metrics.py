@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 
 import pytest
@@ -10,6 +11,7 @@ from inkwell.plans.cubes import CUBES
 from inkwell.plans.dashboards import NAMED_QUERIES, named_query
 from inkwell.plans.metrics import DateRange, MetricQuery, grain_for, metric_query
 from tests.rows import DAY, account, article, hit, micros, warehouse
+from tests.test_plans import plan
 
 START = micros("2024-01-03T12:00:00")
 RANGE = DateRange.of("2024-01-01", "2024-01-31")
@@ -166,3 +168,34 @@ def test_routes_to_the_same_total(w):
     traffic = metric_query(w, MetricQuery(["traffic.sessions"]))
     sessions = metric_query(w, MetricQuery(["sessions.sessions"]))
     assert first(quality.reconciliation("sessions", traffic, sessions))["passed"] is True
+
+
+def test_active_clients_and_logins_come_from_bitmaps(spark, tmp_path):
+    start = micros("2024-01-01T12:00:00")
+    hits = [
+        hit("page_view", start + n * DAY, client=f"c{(n * k) % 7}", session=n, user_id=f"u{k}" if k % 2 else None)
+        for n in range(12) for k in range(4)
+    ]
+    hits += [hit("page_view", start + 3 * DAY, client=None, session=None)]
+    # Ids keep their numbers over runs, also when ids come in between.
+    for last in (6, 8, 11):
+        w = warehouse(spark, tmp_path, [h for h in hits if h["event_timestamp"] <= start + last * DAY])
+        w.build(dt.date(2024, 1, 1 + last))
+    numbers = w.table("id_numbers")
+    assert numbers.count() == numbers.select("kind", "number").distinct().count() == numbers.select("kind", "id").distinct().count()
+    staged = w.table("staged_events")
+    for first, until in (("2024-01-02", "2024-01-05"), ("2024-01-01", "2024-01-12"), ("2025-01-01", "2025-01-02")):
+        range_ = DateRange.of(first, until)
+        in_range = staged.where(range_.covers(F.col("event_date_dt")))
+        (wanted,) = in_range.agg(F.countDistinct("client_key"), F.countDistinct("user_id"), F.count("*")).collect()
+        query = MetricQuery(["events.activeUsers", "events.activeRegisteredUsers", "events.eventsCount"], time_dimension="events.eventDate")
+        assert tuple(metric_query(w, query, range_).first()) == tuple(wanted)
+        weekly = dataclasses.replace(query, grain="week")
+        found = {r.eventDate: tuple(r)[1:] for r in metric_query(w, weekly, range_).collect()}
+        by_week = in_range.groupBy(F.date_trunc("week", "event_date_dt").cast("date").alias("d")).agg(
+            F.countDistinct("client_key"), F.countDistinct("user_id"), F.count("*")
+        )
+        assert found == {r.d: tuple(r)[1:] for r in by_week.collect()}
+    only = MetricQuery(["sessions.activeUsers"], time_dimension="sessions.eventDate")
+    text = plan(metric_query(w, only, DateRange.of("2024-01-01", "2024-01-12")))
+    assert "activity_bitmaps" in text and "client_key" not in text and "session_activity" not in text
