@@ -12,6 +12,7 @@ from inkwell.functions.readers import micros_to_date, micros_to_timestamp, reade
 from inkwell.functions.urls import article_number
 from inkwell.operators.firsts import earliest, newest
 from inkwell.operators.joins import lookup
+from inkwell.operators.medians import exact_medians
 from inkwell.operators.ordered import DAY_MICROS
 
 _PLACE = (
@@ -223,14 +224,11 @@ def subscription_rows(
 
 
 def journey_medians(rows: DataFrame) -> DataFrame:
-    """One row: exact medians of the journeys (M22f).
-
-    The aggregate keeps one counter per distinct value, and both columns are small whole
-    numbers (days, impressions), so its state does not grow with the subscriptions.
-    """
-    return rows.agg(
-        F.percentile("prior_wall_impressions", 0.5).alias("median_prior_wall_impressions"),
-        F.percentile("days_first_wall_to_sub", 0.5).alias("median_days_first_wall_to_sub"),
+    """One row: exact medians of the journeys (M22f), found by counting; no values are gathered."""
+    medians = exact_medians(rows, ["prior_wall_impressions", "days_first_wall_to_sub"])
+    return medians.select(
+        F.col("prior_wall_impressions").alias("median_prior_wall_impressions"),
+        F.col("days_first_wall_to_sub").alias("median_days_first_wall_to_sub"),
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from inkwell.operators.dedup import first_copy
 from inkwell.operators.joins import heavy_keys, lookup
+from inkwell.operators.medians import exact_medians
 from inkwell.operators.ordered import day_bucket, running, sessionise, slice_starts
 from inkwell.operators.spine import as_of_counts, day_range
 from tests.rows import DAY, SECOND
@@ -233,3 +234,27 @@ def test_frequent_keys_are_joined_apart(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_exact_medians_of_any_column(spark):
+    chance = random.Random(1)
+    rows = [
+        (chance.randrange(1_700_000_000_000_000, 1_800_000_000_000_000), chance.gauss(0, 1e-3), chance.choice([3, 3, 3, 8]), None)
+        for _ in range(3001)
+    ]
+    rows += [(2**62, float("1e300"), None, None), (-(2**62), -1e300, 9, None), (5, 0.0, 9, None)]
+    df = spark.createDataFrame(rows, "micros long, x double, few int, none long").repartition(4)
+    names = df.columns
+    for part in (df, df.limit(1), df.limit(2), df.limit(0), df.where("few = 3")):
+        rows = part.collect()
+        found = exact_medians(spark.createDataFrame(rows, df.schema), names).first()
+        for name in names:
+            values = sorted(r[name] for r in rows if r[name] is not None)
+            middle = values[(len(values) - 1) // 2 : len(values) // 2 + 1]
+            assert found[name] == (sum(map(float, middle)) / len(middle) if middle else None), name
+
+
+def test_medians_group_only_by_bins(spark):
+    """No task gathers values: each job of the search returns a thousand groups at most."""
+    hits = spark.range(100_000).select((F.col("id") * 7919 % 100_003).alias("x"))
+    assert exact_medians(hits, ["x"]).first().x == hits.agg(F.percentile("x", 0.5)).first()[0]
