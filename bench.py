@@ -30,8 +30,9 @@ WRITTEN = [
     "paywall_daily",
     "paywall_sessions_daily",
     "events_daily",
+    "touch_hits",
     "buyers",
-    "journeys",
+    "journey_hits",
     "subscription_rows",
 ]
 TIMED = ("m", "d", "mq", "g01", "i01_late", "i08")

@@ -14,6 +14,7 @@ from inkwell.operators.firsts import earliest, newest
 from inkwell.operators.joins import lookup
 from inkwell.operators.medians import exact_medians
 from inkwell.operators.ordered import DAY_MICROS
+from inkwell.rebuilds.states import Bundle, Keep, Tables
 
 _PLACE = (
     "platform",
@@ -34,39 +35,46 @@ def subscribers(accounts: DataFrame) -> DataFrame:
     )
 
 
-def subscribe_events(staged: DataFrame) -> DataFrame:
-    """Earliest subscribe hit of each login."""
+def subscribe_days(staged: DataFrame) -> DataFrame:
+    """Earliest subscribe hit of each login and day, with its place in the order of hits."""
     hit = F.struct(
+        hit_order().alias("at"),
         "session_partition_key",
         "event_timestamp",
         param(F.col("event_params"), "article_id").try_cast("int").alias("article_id"),
     )
-    return (
-        staged.filter((F.col("event_name") == "subscribe") & F.col("user_id").isNotNull())
-        .groupBy("user_id")
-        .agg(earliest(hit, hit_order()).alias("hit"))
-        .select(
-            "user_id",
-            F.col("hit.session_partition_key").alias("subscribe_session_key"),
-            F.col("hit.event_timestamp").alias("subscription_ts"),
-            F.col("hit.article_id").alias("paywall_article_id"),
-        )
-    )
+    bought = staged.filter((F.col("event_name") == "subscribe") & F.col("user_id").isNotNull())
+    return bought.groupBy("user_id", "event_date_dt").agg(earliest(hit, hit_order()).alias("hit"))
 
 
-def buyers(accounts: DataFrame, staged: DataFrame) -> DataFrame:
-    """Subscribers with their subscribe hit, where there is one."""
-    return subscribers(accounts).join(subscribe_events(staged), "user_id", "left")
+def subscribe_hits() -> Bundle:
+    """Earliest subscribe hit of each login, a state that days are added to."""
 
+    def advance(state: Tables | None, days: Tables, keep: Keep) -> Tables:
+        rows = days["subscribe_days"].drop("event_date_dt")
+        if state:
+            rows = rows.unionByName(state["subscribe_hits"])
+        return {"subscribe_hits": rows.groupBy("user_id").agg(earliest(F.col("hit"), F.col("hit.at")).alias("hit"))}
 
-def journeys(staged: DataFrame, buying: DataFrame) -> DataFrame:
-    """Hits of each subscriber's client up to the day of the subscription.
+    return Bundle(("subscribe_hits",), ("subscribe_days",), advance)
 
-    Only the three kinds of hits that matter, reduced to the columns in use, meet the
-    subscribers; clients that never subscribed drop out in this join.
-    """
+
+def buyers(accounts: DataFrame, hits: DataFrame) -> DataFrame:
+    """Subscribers with their subscribe hit, where there is one."""
+    earliest_hits = hits.select(
+        "user_id",
+        F.col("hit.session_partition_key").alias("subscribe_session_key"),
+        F.col("hit.event_timestamp").alias("subscription_ts"),
+        F.col("hit.article_id").alias("paywall_article_id"),
+    )
+    return subscribers(accounts).join(earliest_hits, "user_id", "left")
+
+
+def touch_hits(staged: DataFrame) -> DataFrame:
+    """The three kinds of hits that a journey is made of, reduced to the columns in use."""
     article = F.coalesce(param(F.col("event_params"), "article_id"), article_number(F.col("page_location")))
-    hits = staged.filter(F.col("event_name").isin("session_start", "page_view", "paywall_impression")).select(
+    kinds = ("session_start", "page_view", "paywall_impression")
+    return staged.filter(F.col("event_name").isin(*kinds) & F.col("user_pseudo_id").isNotNull()).select(
         "user_pseudo_id",
         "event_name",
         "event_date_dt",
@@ -76,8 +84,36 @@ def journeys(staged: DataFrame, buying: DataFrame) -> DataFrame:
         *_PLACE,
         article.try_cast("int").alias("article_id"),
     )
-    people = buying.drop("subscription_tier", "churn_date", "paywall_article_id")
-    return hits.join(people, "user_pseudo_id").filter(F.col("event_date_dt") <= F.col("subscription_date"))
+
+
+_PEOPLE = ("user_id", "user_pseudo_id", "subscription_date", "subscribe_session_key", "subscription_ts")
+
+
+def journey_people(buying: DataFrame, version: str = "") -> DataFrame:
+    """What a journey depends on, and the run in which it was looked up."""
+    return buying.select(*_PEOPLE, F.lit(version).alias("version"))
+
+
+def journey_hits(touches: DataFrame, people: DataFrame) -> DataFrame:
+    """Hits of each subscriber's client up to the day of the subscription.
+
+    Clients that never subscribed drop out in this join.
+    """
+    return touches.join(people, "user_pseudo_id").filter(F.col("event_date_dt") <= F.col("subscription_date"))
+
+
+def journeys(hits: DataFrame, people: DataFrame) -> DataFrame:
+    """The journeys that are in force: those of the version in which a subscriber was last looked up."""
+    return hits.join(people.select("user_id", "version"), ["user_id", "version"], "left_semi").drop("version")
+
+
+def changed_people(buying: DataFrame, known: DataFrame, version: str) -> DataFrame:
+    """:func:`journey_people` of now: subscribers as they were keep their version, others get a new one."""
+    before = known.select(*[F.col(c).alias(f"_{c}") for c in (*_PEOPLE, "version")])
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in _PEOPLE]
+    return buying.select(*_PEOPLE).join(before, same, "left").select(
+        *_PEOPLE, F.coalesce("_version", F.lit(version)).alias("version")
+    )
 
 
 def touch_points(journey: DataFrame) -> DataFrame:

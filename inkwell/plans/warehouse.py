@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -19,6 +20,7 @@ from inkwell.rebuilds.incremental import (
     overwrite,
     replace_days,
     replace_window,
+    window_start,
 )
 from inkwell.rebuilds.states import Bundle, ClosedStates, as_it_is, extended
 
@@ -36,6 +38,8 @@ class Relation:
     lookback: Callable[[EngineConfig], int | None] = lambda config: 0
     # Rows that a run adds to those that are there, from its window; nothing that is there changes.
     added: Callable[[_Window, DataFrame], DataFrame] | None = None
+    # A relation that a run brings up to date in a way of its own.
+    extended: Callable[[Warehouse, dt.date], None] | None = None
 
 
 @dataclass
@@ -124,6 +128,9 @@ class Warehouse:
             rows.write.mode("append").parquet(path)
             self._tables[name] = self.spark.read.schema(rows.schema).parquet(path)
             return
+        if known and kind.extended:
+            kind.extended(self, as_of)
+            return
         if not known or kind.day is None or lookback is None:
             rows = self.relation(name)
             overwrite(rows, path, kind.day)
@@ -159,6 +166,29 @@ class Warehouse:
             overwrite(rows, f"{self.root}/{table}")
             self._tables[table] = self.spark.read.schema(rows.schema).parquet(f"{self.root}/{table}")
 
+    def extend_journeys(self, as_of: dt.date) -> None:
+        """Add the window's hits of all subscribers, and of those who are new or changed the hits before it.
+
+        A changed subscriber gets a new version; rows of the old one are no longer read. The versions
+        are written last, so a run that breaks off changes nothing that is read before its window.
+        """
+        path, day, version = f"{self.root}/journey_hits", "event_date_dt", uuid.uuid4().hex
+        known, people_path = self.table("journey_people"), f"{self.root}/journey_people"
+        people = subscriptions.changed_people(self.table("buyers"), known, version)
+        overwrite(people, f"{people_path}__next")
+        people = self.spark.read.schema(people.schema).parquet(f"{people_path}__next")
+        touches = self.table("touch_hits")
+        start = window_start(as_of, self.config.late_days)
+        changed = people.where(F.col("version") == version)
+        if not changed.isEmpty():
+            older = subscriptions.journey_hits(touches.where(F.col(day) < F.lit(start)), changed)
+            older.hint("rebalance", day).write.mode("append").partitionBy(day).parquet(path)
+        rows = subscriptions.journey_hits(touches.where(in_window(day, as_of, self.config.late_days)), people)
+        replace_window(rows, path, day, as_of, self.config.late_days)
+        overwrite(people, people_path)
+        self._tables["journey_hits"] = self.spark.read.schema(rows.schema).parquet(path)
+        self._tables["journey_people"] = self.spark.read.schema(people.schema).parquet(people_path)
+
     def _reopen(self, name: str) -> None:
         """Closed states that were made from days which have been built anew are made again."""
         for bundle, make in BUNDLES.items():
@@ -205,6 +235,11 @@ class Warehouse:
             changed[name] = set()
             return
         if kind.day is None or lookback is None:
+            if kind.extended:
+                # Made anew for the subscribers of now, all of one version.
+                people = subscriptions.journey_people(self.table("buyers"))
+                overwrite(people, f"{self.root}/journey_people")
+                self._tables["journey_people"] = self.spark.read.schema(people.schema).parquet(f"{self.root}/journey_people")
             rows = self.relation(name)
             overwrite(rows, f"{self.root}/{name}", kind.day)
             changed[name] = moved
@@ -368,15 +403,24 @@ RELATIONS: dict[str, Relation] = {
         lambda w: articles.paywall_sessions_daily(w.table("staged_events")), "event_date_dt"
     ),
     "events_daily": Relation(lambda w: staging.events_daily(w.table("staged_events")), "event_date"),
-    "buyers": Relation(lambda w: subscriptions.buyers(w.table("accounts"), w.table("staged_events"))),
-    "journeys": Relation(
-        lambda w: subscriptions.journeys(w.table("staged_events"), w.table("buyers")), "event_date_dt",
+    "touch_hits": Relation(lambda w: subscriptions.touch_hits(w.table("staged_events")), "event_date_dt"),
+    "subscribe_days": Relation(lambda w: subscriptions.subscribe_days(w.table("staged_events")), "event_date_dt"),
+    "subscribe_hits": Relation(lambda w: w.folded("subscribe_hits")),
+    "buyers": Relation(lambda w: subscriptions.buyers(w.table("accounts"), w.table("subscribe_hits"))),
+    "journey_people": Relation(lambda w: subscriptions.journey_people(w.table("buyers"))),
+    "journey_hits": Relation(
+        lambda w: subscriptions.journey_hits(w.table("touch_hits"), w.table("journey_people")),
+        "event_date_dt",
         lambda config: None,
+        extended=lambda w, as_of: w.extend_journeys(as_of),
+    ),
+    "journeys": Relation(
+        lambda w: subscriptions.journeys(w.table("journey_hits"), w.table("journey_people"))
     ),
     "subscription_rows": Relation(
         lambda w: subscriptions.subscription_rows(
             w.table("buyers"),
-            w.table("journeys"),
+            w.relation("journeys"),
             w.table("session_traffic_sources"),
             w.table("articles"),
         )
@@ -408,8 +452,11 @@ STORED = (
     "client_days",
     "client_states",
     "totals",
+    "touch_hits",
+    "subscribe_days",
+    "subscribe_state",
     "buyers",
-    "journeys",
+    "journey_hits",
     "subscription_rows",
 )
 
@@ -417,4 +464,5 @@ STORED = (
 BUNDLES: dict[str, Callable[[EngineConfig], Bundle]] = {
     "client_states": clients.client_states,
     "totals": clients.totals,
+    "subscribe_state": lambda config: subscriptions.subscribe_hits(),
 }

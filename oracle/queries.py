@@ -870,6 +870,7 @@ def build() -> dict[str, str]:
         "client_facts": "m13_client_facts",
         "user_facts": "m14_user_facts",
         "client_dimension": "m15_client_dimension",
+        "subscription_last_touch": "m22_subscription_last_touch",
         "session_dimension": "m10_session_dimension",
         "session_traffic_sources": "m01_session_traffic_sources",
         "last_non_direct": "m02_last_non_direct",
