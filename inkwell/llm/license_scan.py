@@ -49,6 +49,27 @@ TEMPLATES = {
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "CC-BY-text": "This work is licensed under a Creative Commons Attribution 4.0 International License",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License",
+    "LGPL-text": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the "
+        "GNU Lesser General Public License as published by the Free Software Foundation"
+    ),
+    "AGPL-text": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the "
+        "GNU Affero General Public License as published by the Free Software Foundation"
+    ),
+    "CC-BY-SA-text": (
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"
+    ),
+    "ISC-text": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without "
+        "fee is hereby granted, provided that the above copyright notice and this permission notice appear "
+        "in all copies"
+    ),
+    "Unlicense": "This is free and unencumbered software released into the public domain.",
+    "EPL-2.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse "
+        "Public License 2.0"
+    ),
     "all-rights-reserved": "All rights reserved.",
 }
 # Letters and digits of ASCII, and all characters beyond it.
@@ -102,12 +123,14 @@ class _Group:
         self.k, self.functions, self.scan = k, functions, scan
         self.bands: dict[int, dict[tuple[int, int], set[str]]] = {}
         self.quick: dict[int, np.ndarray] = {}
+        self.names: dict[int, set[str]] = {}
 
     def add(self, name: str, shingles: np.ndarray) -> None:
         size = 1
         while size * 2 <= min(len(shingles), self.scan.largest):
             size *= 2
         values = band_values(window_minima(shingles, self.functions, size)[size], self.scan.rows)
+        self.names.setdefault(size, set()).add(name)
         known = self.bands.setdefault(size, {})
         bits = self.quick.setdefault(size, np.zeros(1 << 18, bool))
         # Windows of one shingle agree in all bands or in none.
@@ -117,12 +140,14 @@ class _Group:
                 known.setdefault((band, value), set()).add(name)
 
     def hits(self, shingles: np.ndarray) -> set[tuple[str, int, int]]:
-        """(template, first shingle, window size) where a band of a window meets."""
+        """(template, first shingle, window size) where a band of a window meets, or the text is short."""
         found = set()
         most = max(self.bands)
         minima = window_minima(shingles, self.functions[: self.scan.rows] if most == 1 else self.functions, most)
         for size, known in self.bands.items():
             if size not in minima:
+                # A text shorter than the window may still hold most of a template: all are verified.
+                found.update((name, 0, len(shingles)) for name in self.names[size])
                 continue
             step = max(1, size // 4)
             used = minima[size][: self.scan.rows] if size == 1 else minima[size][:, ::step]
@@ -202,7 +227,8 @@ def scan_licenses(
     """A row per document and template that it holds, with the other columns of the document.
 
     The templates are a parameter and go to every task. Null and empty texts hold none; repeated
-    rows come out each; of equal places the first counts. Columns of ``documents`` with names of
+    rows come out each; of equal places the first counts. Texts of any length are read whole, those
+    shorter than a template's window are held against it directly; an empty table gives no rows. Columns of ``documents`` with names of
     results are replaced.
     """
     templates, scan = templates or TEMPLATES, scan or LicenseScan()

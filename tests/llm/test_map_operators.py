@@ -267,3 +267,27 @@ def test_longest_rule_wins_whatever_the_order(spark):
     for order in (rules, rules[::-1]):
         name, verdict = filter_cascade.longest_rule(F.col("host"), F.col("path"), order)
         assert [tuple(r) for r in df.select(name, verdict).collect()] == [("a.b/x/", "block"), ("b/", "allow")]
+
+
+def test_short_documents_are_held_against_the_templates():
+    scanner = license_scan.Scanner(license_scan.TEMPLATES, license_scan.LicenseScan())
+    cases = {
+        "This work is licensed under the GNU General Public License, version": "GPL-3.0",
+        " ".join(license_scan.TEMPLATES["BSD-text"].split()[:18]): "BSD-text",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by": "LGPL-text",
+        license_scan.TEMPLATES["Unlicense"]: "Unlicense",
+    }
+    for text, name in cases.items():
+        wanted = license_words(name)
+        here = {tuple(w) for w in zip(*[license_scan.words_of(text)[i:] for i in range(5)], strict=False)}
+        share = len(wanted & here) / len(wanted)
+        assert share >= 0.8, name
+        assert {n: c for n, c, _, _ in scanner.find(text)}.get(name) == share
+    assert not scanner.find("This work is of the General public version")
+    assert not scanner.find("one two")
+
+
+def license_words(name):
+    words = license_scan.words_of(license_scan.TEMPLATES[name])
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
