@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkwell import fixed_values as fixed
-from inkwell.plans.warehouse import Warehouse
+from inkwell.plans.warehouse import STORED, Warehouse
 
 
 @dataclass(frozen=True)
@@ -83,9 +83,9 @@ def checked(df: DataFrame, relation: str, checks: Checks) -> DataFrame:
 
 
 def run_checks(w: Warehouse, declared: Mapping[str, Checks] = DECLARED) -> DataFrame:
-    """All declared checks over a warehouse."""
+    """All declared checks over a warehouse: of the tables as they are stored, and of the views on them."""
 
     def rows(name: str) -> DataFrame:
-        return w.table(name) if name in w.inputs or name in ("staged_events",) else w.relation(name)
+        return w.table(name) if name in w.inputs or name in STORED else w.relation(name)
 
     return reduce(DataFrame.unionByName, [checked(rows(n), n, c) for n, c in declared.items()])

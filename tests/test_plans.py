@@ -81,3 +81,8 @@ def test_totals_and_event_metrics_read_the_daily_counts(w):
     for name in ("mq12_event_state", "mq14_crm_totals", "mq15_content_totals", "cube_events_measures"):
         text = plan(queries[name](w.spark, SMALL))
         assert "events_daily" in text and "staged_events" not in text, name
+
+
+def test_checks_read_the_staged_hits_for_their_own_keys_only(w):
+    text = plan(registered.queries()["t08_all_checks"](w.spark, SMALL))
+    assert len(re.findall(r"Location: .*?/staged_events\]", text)) <= 1
