@@ -11,6 +11,7 @@ together yet are then compared in blocks of bounded size, so that no link inside
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -119,7 +120,8 @@ def edit_distance(a: list, b: list, limit: int) -> int:
     """Levenshtein distance if at most ``limit``, else limit + 1.
 
     Works in a band of diagonals that widens by one with each edit: per diagonal the farthest
-    place reached is kept, and equal stretches are skipped.
+    place reached is kept, and equal stretches are skipped. This is quick for few edits; texts that need
+    more than about the root of their length go on by columns.
     """
     n, m = len(a), len(b)
     if abs(n - m) > limit:
@@ -135,7 +137,10 @@ def edit_distance(a: list, b: list, limit: int) -> int:
     reached = {0: slide(0, 0)}
     if n == m and reached[0] == n:
         return 0
+    quick = math.isqrt(n + m)
     for d in range(1, limit + 1):
+        if d > quick:
+            return by_columns(a, b, limit)
         now = {}
         for diagonal in range(-d, d + 1):  # diagonal = place in b - place in a
             i = max(
@@ -153,6 +158,39 @@ def edit_distance(a: list, b: list, limit: int) -> int:
     return limit + 1
 
 
+def by_columns(a: list, b: list, limit: int) -> int:
+    """Levenshtein distance if at most ``limit``, else limit + 1: a column of the alignment at a time.
+
+    Neighbours in a column differ by one at most, so two sets of bits say where a column rises and
+    falls, and a few operations on them give the next column. The last cell, less the columns to come,
+    bounds the distance from below.
+    """
+    n, m = len(a), len(b)
+    if not n:
+        return min(m, limit + 1)
+    places: dict = {}
+    for i, word in enumerate(a):
+        places[word] = places.get(word, 0) | 1 << i
+    every = (1 << n) - 1
+    last = 1 << n >> 1
+    rises, falls, cell = every, 0, n
+    for j, word in enumerate(b, 1):
+        equal = places.get(word, 0)
+        same = (((equal & rises) + rises ^ rises) | equal | falls) & every
+        up = falls | (every & ~(same | rises))
+        down = same & rises
+        if up & last:
+            cell += 1
+        elif down & last:
+            cell -= 1
+        if cell - (m - j) > limit:
+            return limit + 1
+        up, down = (up << 1 | 1) & every, down << 1 & every
+        rises = down | (every & ~(same | up))
+        falls = up & same
+    return cell if cell <= limit else limit + 1
+
+
 def most_edits(a: int, b: int, least: float) -> int:
     """Edits that texts of so many words may differ in."""
     return int((1 - least) * max(a, b) + 1e-9)

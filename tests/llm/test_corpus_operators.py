@@ -121,7 +121,10 @@ def test_real_documents_against_brute_force(spark):
 @given(st.lists(st.integers(0, 3), max_size=30), st.lists(st.integers(0, 3), max_size=30), st.integers(0, 12))
 def test_edit_distance(a, b, limit):
     wanted = levenshtein(a, b)
-    assert omh.edit_distance(a, b, limit) == (wanted if wanted <= limit else limit + 1)
+    expected = wanted if wanted <= limit else limit + 1
+    assert omh.edit_distance(a, b, limit) == expected
+    if a and abs(len(a) - len(b)) <= limit:
+        assert omh.by_columns(a, b, limit) == expected
 
 
 def test_production_bands_meet_as_often_as_promised():
