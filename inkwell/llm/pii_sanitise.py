@@ -52,13 +52,14 @@ _TERM = r"\p{L}{4,}+"
 class Disclosure:
     """min_texts: distinct texts in which value and term must meet; generalise and remove: shares
     of IC(e) that a term must give; broadcast_rows: most rows, or entries of arrays, of a table that is
-    sent to all executors.
+    sent to all executors; broadcast_terms: most candidate terms that are (some 60 bytes each).
     """
 
     min_texts: int = 3
     generalise: float = 0.9
     remove: float = 0.98
     broadcast_rows: int = 100_000
+    broadcast_terms: int = 1_000_000
 
 
 def running_sums(values: Column) -> Column:
@@ -180,13 +181,13 @@ def _shown(kind: str, spans: Column) -> Column:
     )
 
 
-def _sent(df: DataFrame, settings: Disclosure, size: Column | None = None) -> DataFrame:
+def _sent(df: DataFrame, most: int, size: Column | None = None) -> DataFrame:
     """A table for the small side of a join: sent to all only when its measured size allows.
 
     ``size``: entries of a row that has arrays.
     """
     entries = df.agg(F.sum(F.lit(1) if size is None else size)).first()[0] or 0
-    return F.broadcast(df) if entries <= settings.broadcast_rows else df
+    return F.broadcast(df) if entries <= most else df
 
 
 def _terms_of(text: Column) -> Column:
@@ -216,7 +217,8 @@ def disclosing_terms(spans: DataFrame, settings: Disclosure) -> DataFrame | None
     if shared.isEmpty():
         return None
     total = float(spans.select("key").distinct().count())
-    whole = spans.select("key", "text").join(shared.select("key").distinct(), "key", "left_semi")
+    holders = _sent(checkpointed(shared.select("key").distinct()), settings.broadcast_rows)
+    whole = spans.select("key", "text").join(holders, "key", "left_semi")
     whole = whole.dropDuplicates(["key"]).select("key", _terms_of(F.col("text")).alias("terms"))
     near = whole.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n_near"))
     # A term can reach the share only while n(t) <= n(e,t) (N / n(e)) ^ (1 - share). The texts with a
@@ -236,7 +238,7 @@ def disclosing_terms(spans: DataFrame, settings: Disclosure) -> DataFrame | None
         return None
     held = checkpointed(
         spans.select("key", F.explode(_terms_of(F.col("text"))).alias("term"))
-        .join(_sent(met.select("term").distinct(), settings), "term", "left_semi")
+        .join(_sent(met.select("term").distinct(), settings.broadcast_terms), "term", "left_semi")
         .distinct()
     )
     pmi = F.log(F.lit(total) * F.col("n_both") / (F.col("n_value") * F.col("n_term")))
@@ -280,7 +282,7 @@ def sanitise(documents: DataFrame, settings: Disclosure | None = None, text: str
     if terms is None:
         found = found.withColumn("_terms", F.lit(None).cast("array<struct<term:string,share:double>>"))
     else:
-        found = found.join(_sent(terms, settings, F.size("_terms")), "key", "left")
+        found = found.join(_sent(terms, settings.broadcast_rows, F.size("_terms")), "key", "left")
     return _finished(found, own, text, settings)
 
 

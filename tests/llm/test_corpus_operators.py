@@ -391,7 +391,7 @@ def test_terms_count_over_whole_texts(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     wanted = expected_terms(rows)
     assert wanted[rows[0][1]] >= {"zorgblatt"} and wanted[rows[6][1]] >= {"quuxman"}
-    for chosen in (pii_sanitise.Disclosure(), pii_sanitise.Disclosure(broadcast_rows=0)):
+    for chosen in (pii_sanitise.Disclosure(), pii_sanitise.Disclosure(broadcast_rows=0, broadcast_terms=0)):
         for r in pii_sanitise.sanitise(df, chosen).collect():
             text = r.text or ""
             spans = [s.split(":") for s in r.spans.split(",") if s.startswith("term")]
