@@ -407,6 +407,8 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rows = lookup(rows, people, "login", ["row_id"])
 
+    # Dealt out by day while the rows are narrow; their records are made after that.
+    rows = rows.withColumn("day", F.date_format(F.timestamp_micros("micros"), "yyyyMMdd")).hint("rebalance", "day")
     copies = F.when(F.col("row_id") % 970 == 5, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     rows = rows.withColumn("params", _params()).withColumn("copy", F.explode(copies))
     name, k = F.col("name"), F.col("k")
@@ -421,7 +423,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     browser = pick((k + 1) % 4, "Chrome", "Safari", "Firefox", "Edge")
     source = pick(user % 4, "google", "facebook", "mailchimp", "(direct)")
     columns = {
-        "event_date": F.date_format(F.timestamp_micros("micros"), "yyyyMMdd"),
+        "event_date": F.col("day"),
         "event_timestamp": F.col("micros"),
         "event_name": name,
         "event_params": F.when(F.col("copy") == 1, F.reverse("params")).otherwise(F.col("params")),

@@ -66,6 +66,8 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
         # The export has some hundred columns. Java never compiles methods of more than 8000
         # bytes, so above that Spark is to split the projection into smaller ones.
         spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+        # Tasks hold few days each: their wide rows are written to a file a day and not sorted by day.
+        spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "64")
         inputs = {
             "events": lambda: derived.events(spark, sf_dir),
             "articles": lambda: derived.articles(spark, sf_dir),

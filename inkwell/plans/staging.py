@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkwell import fixed_values as fixed
@@ -25,6 +25,10 @@ _IDENTITY = (
     "session_id",
     "event_name",
 )
+# What tells most hits apart without reading the parameters; copies agree in all of it.
+_MARKS = ("event_timestamp", "event_date_dt", "stream_id", "user_pseudo_id", "event_name")
+# Most marks of possible copies that are sent to all tasks (some 20 bytes each).
+MOST_MARKS = 1_000_000
 _STANDARD_PARAMETERS = (
     Parameter("page_location"),
     Parameter("ga_session_number", "int", "session_number"),
@@ -65,11 +69,25 @@ def parameter_columns(parameters: Sequence[Parameter]) -> dict:
     return {p.column: param(pairs, p.key, p.kind) for p in parameters}
 
 
+def with_shared_marks(export: DataFrame, mark: Column, most_marks: int = MOST_MARKS) -> DataFrame:
+    """``export`` with ``_shared``: whether a row's mark is that of other rows too.
+
+    Marks are found in a narrow pass and sent to all tasks. Beyond ``most_marks`` of them none is
+    sent, and all rows count as sharing theirs.
+    """
+    marks = export.select(mark.alias("_mark")).groupBy("_mark").agg(F.count("*").alias("_rows"))
+    shared = marks.where(F.col("_rows") > 1).select("_mark")
+    many = shared.agg(F.count("*") > most_marks).scalar()
+    found = export.join(F.broadcast(shared.where(~many)), mark == F.col("_mark"), "left")
+    return found.withColumn("_shared", F.col("_mark").isNotNull() | many)
+
+
 def base_events(export: DataFrame, config: EngineConfig) -> DataFrame:
     """Flat, typed and deduplicated hits.
 
     Parameters are read out after the deduplication: the shuffle then carries their
-    array once, and not the values found in it as well.
+    array once, and not the values found in it as well. Only rows that share their mark with others can
+    be copies and are shuffled; all others stay in the task that read them.
     """
     pairs = F.col("event_params")
     columns = {
@@ -82,11 +100,14 @@ def base_events(export: DataFrame, config: EngineConfig) -> DataFrame:
         "is_purchase": flag(F.col("event_name") == "purchase"),
         "params_digest": keys.params_digest(pairs),
     }
-    hits = export.filter(F.col("event_date") >= config.start_date).select(
-        *[column.alias(name) for name, column in columns.items()]
-    )
+    rows = export.filter(F.col("event_date") >= config.start_date)
+    rows = with_shared_marks(rows, F.xxhash64(*[columns[name] for name in _MARKS]))
+    flat = [column.alias(name) for name, column in columns.items()]
     order = ("batch_page_id", "batch_ordering_id", "batch_event_index")
-    hits = first_copy(hits, _IDENTITY, [F.col(name).asc_nulls_last() for name in order])
+    kept = first_copy(
+        rows.where("_shared").select(*flat), _IDENTITY, [F.col(name).asc_nulls_last() for name in order]
+    )
+    hits = rows.where(~F.col("_shared")).select(*flat).union(kept.hint("rebalance", "event_date_dt"))
     return hits.withColumns(
         {
             "property_id": F.lit(config.property_id).cast("bigint"),

@@ -38,6 +38,8 @@ class Relation:
     lookback: Callable[[EngineConfig], int | None] = lambda config: 0
     # Rows that a run adds to those that are there, from its window; nothing that is there changes.
     added: Callable[[_Window, DataFrame], DataFrame] | None = None
+    # Rows come by day, as those of the export do, and are written without a shuffle.
+    dealt: bool = False
     # A relation that a run brings up to date in a way of its own.
     extended: Callable[[Warehouse, dt.date], None] | None = None
 
@@ -47,7 +49,7 @@ class Warehouse:
     """Relations over one set of inputs.
 
     Inputs are read where they lie. Those named in ``computed`` are not stored yet and
-    are written like the tables below.
+    are written like the tables below; those with days come dealt out by day.
 
     ``relation`` composes a relation lazily from the tables below it; ``table`` writes
     it once and reads it back. Deduplicating and keying the export is the most expensive
@@ -78,7 +80,10 @@ class Warehouse:
         if name not in self._tables and not self.open(name):
             df = self.relation(name)
             path = f"{self.root}/{name}"
-            overwrite(df, path, INPUT_DAYS.get(name) if name in self.computed else RELATIONS[name].day)
+            if name in self.computed:
+                overwrite(df, path, INPUT_DAYS.get(name), dealt=True)
+            else:
+                overwrite(df, path, RELATIONS[name].day, RELATIONS[name].dealt)
             self._tables[name] = self.spark.read.schema(df.schema).parquet(path)
         return self._tables[name]
 
@@ -133,7 +138,7 @@ class Warehouse:
             return
         if not known or kind.day is None or lookback is None:
             rows = self.relation(name)
-            overwrite(rows, path, kind.day)
+            overwrite(rows, path, kind.day, kind.dealt)
             self._reopen(name)
         else:
             late = self.config.late_days
@@ -241,7 +246,7 @@ class Warehouse:
                 overwrite(people, f"{self.root}/journey_people")
                 self._tables["journey_people"] = self.spark.read.schema(people.schema).parquet(f"{self.root}/journey_people")
             rows = self.relation(name)
-            overwrite(rows, f"{self.root}/{name}", kind.day)
+            overwrite(rows, f"{self.root}/{name}", kind.day, kind.dealt)
             changed[name] = moved
         else:
             days = {d + dt.timedelta(days=n) for d in moved for n in range(lookback + 1)}
@@ -314,9 +319,11 @@ class _Uses(_Window):
 INPUT_DAYS = {"events": "event_date"}
 
 RELATIONS: dict[str, Relation] = {
-    "base_events": Relation(lambda w: staging.base_events(w.table("events"), w.config), "event_date_dt"),
+    "base_events": Relation(
+        lambda w: staging.base_events(w.table("events"), w.config), "event_date_dt", dealt=True
+    ),
     "staged_events": Relation(
-        lambda w: staging.staged_events(w.relation("base_events"), w.config), "event_date_dt"
+        lambda w: staging.staged_events(w.relation("base_events"), w.config), "event_date_dt", dealt=True
     ),
     "session_days": Relation(
         lambda w: sessions.session_days(w.table("staged_events"), w.config), "session_partition_date"

@@ -19,16 +19,18 @@ def in_window(day: str, as_of: dt.date, days: int) -> Column:
     return F.col(day).between(F.lit(window_start(as_of, days)), F.lit(as_of))
 
 
-def overwrite(df: DataFrame, path: str, partition: str | None = None) -> None:
+def overwrite(df: DataFrame, path: str, partition: str | None = None, dealt: bool = False) -> None:
     """Replace the whole table.
 
     A partitioned table is rebalanced by its partition first: few files per day, and
-    adaptive execution splits the days that are larger than the others.
+    adaptive execution splits the days that are larger than the others. Rows that are ``dealt``
+    come by day already and stay where they are.
     """
     if partition is None:
         df.write.mode("overwrite").parquet(path)
         return
-    df.hint("rebalance", partition).write.mode("overwrite").partitionBy(partition).parquet(path)
+    rows = df if dealt else df.hint("rebalance", partition)
+    rows.write.mode("overwrite").partitionBy(partition).parquet(path)
 
 
 def overwrite_days(df: DataFrame, path: str, partition: str) -> None:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from inkwell.config import EngineConfig, Parameter
 from inkwell.plans import staging
 from inkwell.plans.sessions import session_days
-from tests.rows import export, hit, staged
+from tests.rows import export, hit, micros, staged
 
 
 def test_copies_with_reordered_parameters_are_one_hit(spark):
@@ -22,6 +22,26 @@ def test_copies_without_a_client_are_one_hit(spark):
     assert staged(spark, [row, dict(row)]).count() == 1
 
 
+def test_only_possible_copies_are_shuffled(spark):
+    moments = [micros(f"2024-01-01T10:{n % 60:02d}:00") for n in range(120)]
+    rows = [hit("scroll", at, client=f"c{n}", n=n) for n, at in enumerate(moments)]
+    rows += [dict(rows[7]), rows[8] | {"event_params": rows[9]["event_params"]}]
+    spread = export(spark, rows).repartition(4).withColumn("batch_event_index", F.spark_partition_id().cast("bigint"))
+    base = staging.base_events(spread, EngineConfig())
+    at = base.select("batch_ordering_id", "batch_event_index", F.spark_partition_id().alias("task")).collect()
+    assert len(at) == 121
+    stayed = [r for r in at if r.batch_ordering_id not in (rows[7]["batch_ordering_id"], rows[8]["batch_ordering_id"])]
+    assert len(stayed) == 118 and all(r.task == r.batch_event_index for r in stayed)
+
+
+def test_with_too_many_marks_all_rows_share_theirs(spark):
+    rows = spark.createDataFrame([(1, 1), (2, 1), (3, 2), (4, 2), (5, 3), (6, None)], "id int, mark long")
+    mark = F.xxhash64("mark")
+    for most, shared in ((2, {1, 2, 3, 4}), (1, {1, 2, 3, 4, 5, 6})):
+        found = staging.with_shared_marks(rows, mark, most).collect()
+        assert len(found) == 6 and {r.id for r in found if r._shared} == shared
+
+
 def test_start_date_and_names(spark):
     rows = [hit(" Page View ", "2024-01-02T00:00:00"), hit("page_view", "2024-01-01T00:00:00")]
     base = staging.base_events(export(spark, rows), EngineConfig(start_date="20240102", property_id=7))
