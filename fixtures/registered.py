@@ -222,19 +222,26 @@ STATES = {
     "client_dimension": ("first_event", "last_event"),
     "subscription_last_touch": (),
 }
-_STATE_TABLES = (
-    "session_days", "session_facts", "client_days", "client_states", "totals", "touch_hits", "subscribe_days",
-    "subscribe_state", "buyers", "journey_hits", "subscription_rows",
-)
-_extended: dict[tuple[str, str], Warehouse] = {}
+# The tables that a run brings up to date for each kind of relation.
+_STATE_TABLES = {
+    "client_states": ("client_days", "client_states"),
+    "totals": ("session_days", "session_facts", "client_days", "totals"),
+    "journeys": ("touch_hits", "subscribe_days", "subscribe_state", "buyers", "journey_hits", "subscription_rows"),
+}
+_KINDS = {
+    **dict.fromkeys(("sessions", "client_facts", "user_facts"), "totals"),
+    "subscription_last_touch": "journeys",
+}
+_extended: dict[tuple[str, str, str], Warehouse] = {}
 
 
-def _two_runs(w: Warehouse) -> Warehouse:
+def _two_runs(w: Warehouse, kind: str) -> Warehouse:
     """A warehouse after a daily run that missed a third of the last two days' hits, and the run two
-    days later over all hits: sessions go on, clients move between logins, days come in."""
-    key = (w.spark.sparkContext.applicationId, w.root)
+    days later over all hits: sessions go on, clients move between logins, days come in. It has the
+    tables of one kind, in a folder of their own."""
+    key = (w.spark.sparkContext.applicationId, w.root, kind)
     if key not in _extended:
-        hits, root = w.table("staged_events"), _scratch(w, "extended")
+        hits, root = w.table("staged_events"), _scratch(w, f"extended/{kind}")
         first_day = LAST_DAY - dt.timedelta(days=2)
         missed = (F.col("event_date_dt") >= first_day - dt.timedelta(days=1)) & (F.col("batch_ordering_id") % 3 == 0)
         early = hits.where((F.col("event_date_dt") <= first_day) & ~missed)
@@ -243,10 +250,10 @@ def _two_runs(w: Warehouse) -> Warehouse:
         bought = F.when(F.crc32(F.col("user_id").cast("binary")) % 3 > 0, F.col("subscription_date"))
         inputs = {n: lambda n=n: w.table(n) for n in ("articles", "session_traffic_sources")}
         before = {"staged_events": lambda: early, "accounts": lambda: people.withColumn("subscription_date", bought)}
-        Warehouse(w.spark, inputs | before, w.config, root).build(first_day, _STATE_TABLES)
+        Warehouse(w.spark, inputs | before, w.config, root).build(first_day, _STATE_TABLES[kind])
         now = {"staged_events": lambda: hits, "accounts": lambda: people}
         later = Warehouse(w.spark, inputs | now, w.config, root)
-        later.build(LAST_DAY, _STATE_TABLES)
+        later.build(LAST_DAY, _STATE_TABLES[kind])
         _extended[key] = later
     return _extended[key]
 
@@ -270,7 +277,7 @@ def _changed_days(w: Warehouse) -> DataFrame:
 
 
 def _state_run(name: str, dropped: tuple[str, ...]) -> Callable[[Warehouse], DataFrame]:
-    return lambda w: _two_runs(w).relation(name).drop(*dropped)
+    return lambda w: _two_runs(w, _KINDS.get(name, "client_states")).relation(name).drop(*dropped)
 
 
 # Tables that the incremental models are made from.
