@@ -52,7 +52,7 @@ _TERM = r"\p{L}{4,}+"
 class Disclosure:
     """min_texts: distinct texts in which value and term must meet; generalise and remove: shares
     of IC(e) that a term must give; broadcast_rows: most rows, or entries of arrays, of a table that is
-    sent to all executors; broadcast_terms: most candidate terms that are (some 60 bytes each).
+    sent to all executors; broadcast_terms: most disclosing terms that are (some 60 bytes each).
     """
 
     min_texts: int = 3
@@ -199,8 +199,9 @@ def disclosing_terms(spans: DataFrame, settings: Disclosure) -> DataFrame | None
     information, those terms with their shares. None if there are no terms to look for.
 
     ``spans``: key and text of each document with the columns of :func:`with_spans`. Values come
-    from one pass over the texts; terms count wherever they stand in a text with the value. Only those
-    that meet a value in enough distinct texts are then looked up in all texts, in a second pass.
+    from one pass over the texts; terms count wherever they stand in a text with the value. A second
+    pass counts the distinct texts of all terms, each task its own first, so that no pairs of text and
+    term are kept; a third one looks up the few that are left.
     """
     every = F.concat(
         *[
@@ -216,7 +217,8 @@ def disclosing_terms(spans: DataFrame, settings: Disclosure) -> DataFrame | None
     shared = checkpointed(shared)
     if shared.isEmpty():
         return None
-    total = float(spans.select("key").distinct().count())
+    copies = checkpointed(spans.groupBy("key").agg(F.count("*").alias("_copies")))
+    total = float(copies.count())
     holders = _sent(checkpointed(shared.select("key").distinct()), settings.broadcast_rows)
     whole = spans.select("key", "text").join(holders, "key", "left_semi")
     whole = whole.dropDuplicates(["key"]).select("key", _terms_of(F.col("text")).alias("terms"))
@@ -236,26 +238,35 @@ def disclosing_terms(spans: DataFrame, settings: Disclosure) -> DataFrame | None
     )
     if met.isEmpty():
         return None
-    held = checkpointed(
-        spans.select("key", F.explode(_terms_of(F.col("text"))).alias("term"))
-        .join(_sent(met.select("term").distinct(), settings.broadcast_terms), "term", "left_semi")
-        .distinct()
+    # Each of a text's copies counts as a part of it; the sum differs from a whole number by rounding only.
+    texts = spans.select("key", "text", F.monotonically_increasing_id().alias("_at"))
+    several = copies.where(F.col("_copies") > 1)
+    if several.count() <= settings.broadcast_rows:
+        weighed = texts.join(F.broadcast(several), "key", "left")
+    else:
+        weighed = lookup(texts, several, "key", ["_at"], heavy_keys(texts, "key"))
+    counted = (
+        weighed.select(F.coalesce(F.lit(1.0) / F.col("_copies"), F.lit(1.0)).alias("part"), F.explode(_terms_of(F.col("text"))).alias("term"))
+        .groupBy("term")
+        .agg(F.round(F.sum("part")).cast("bigint").alias("n_term"))
     )
     pmi = F.log(F.lit(total) * F.col("n_both") / (F.col("n_value") * F.col("n_term")))
     information = F.log(F.lit(total) / F.col("n_value"))
-    disclosing = (
-        met.join(held.groupBy("term").agg(F.count("*").alias("n_term")), "term")
+    disclosing = checkpointed(
+        met.join(counted, "term")
         .select("term", F.when(information > 0, F.try_divide(pmi, information)).alias("share"))
         .groupBy("term")
         .agg(F.max("share").alias("share"))
         .where(F.col("share") >= settings.generalise)
     )
-    return checkpointed(
-        lookup(held, disclosing, "term", ["key"], heavy_keys(held, "term"))
-        .where(F.col("share").isNotNull())
-        .groupBy("key")
-        .agg(F.collect_set(F.struct("term", "share")).alias("_terms"))
+    few = disclosing.count() <= settings.broadcast_terms
+    terms = spans.select("key", F.explode(_terms_of(F.col("text"))).alias("term"))
+    found = (
+        terms.join(F.broadcast(disclosing), "term")
+        if few
+        else lookup(terms, disclosing, "term", ["key"], heavy_keys(terms, "term")).where(F.col("share").isNotNull())
     )
+    return checkpointed(found.groupBy("key").agg(F.collect_set(F.struct("term", "share")).alias("_terms")))
 
 
 def sanitise(documents: DataFrame, settings: Disclosure | None = None, text: str = "text") -> DataFrame:

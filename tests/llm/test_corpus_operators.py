@@ -398,6 +398,23 @@ def test_terms_count_over_whole_texts(spark):
             assert {text[int(a) : int(b)].lower() for _, a, b in spans} == wanted[text]
 
 
+def test_no_pairs_of_text_and_candidate_term_are_kept(spark, monkeypatch):
+    """Terms that meet a value in three texts and stand in many others: what is kept does not grow with those."""
+    rows = [(i, f"mail a@b.co {prose(i, 2)} agent Quuxman") for i in range(6)]
+    rows += [(10 + i, f"some agent and mail {prose(i + 20, 12)}") for i in range(200)] + [(300, rows[0][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sizes = []
+    kept = pii_sanitise.checkpointed
+    monkeypatch.setattr(pii_sanitise, "checkpointed", lambda d: (k := kept(d), sizes.append((d.columns, k.count())))[0])
+    out = pii_sanitise.sanitise(df).collect()
+    assert {w.split(":")[0] for r in out for w in r.spans.split(",")} == {"email", "term", ""}
+    assert not any({"key", "term"} <= set(columns) for columns, _ in sizes)
+    wanted = expected_terms(rows)
+    for r in out:
+        spans = [s.split(":") for s in r.spans.split(",") if s.startswith("term")]
+        assert {r.text[int(a) : int(b)].lower() for _, a, b in spans} == wanted[r.text]
+
+
 def test_running_sums(spark):
     for n in (0, 1, 255, 256, 257, 1000):
         values = list(range(n))
