@@ -125,19 +125,16 @@ def driver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per driver event: its name, article, location and place in its session."""
+    """One row per driver event: its name, article, page before and place in its session.
+
+    Pages go through the shuffles as article and ``k``; see :func:`_location`.
+    """
     k = F.col("k")
     hits = driver_events(spark, sf_dir)
-    hits = hits.withColumn("name", _event_name(F.col("event_type"), k)).withColumn(
-        "article", ((F.col("event_id") * 7 + k) % _article_numbers(spark, sf_dir)).cast("int")
-    )
-    suffix = (
-        F.when(k % 10 == 0, F.concat(F.lit("?gclid=g"), k.cast("string")))
-        .when(k % 10 == 1, "?utm_source=x&id=7#top")
-        .otherwise("")
-    )
-    hits = hits.withColumn(
-        "location", F.concat(F.lit(ARTICLE_PAGE), F.col("article").cast("string"), suffix)
+    article = ((F.col("event_id") * 7 + k) % _article_numbers(spark, sf_dir)).cast("int")
+    # Only what is read below: rows and states then come from the same exchange.
+    hits = hits.select(
+        "event_id", "user_id", "micros", "k", _event_name(F.col("event_type"), k).alias("name"), article.alias("article")
     )
     buys = (F.col("name") == "subscribe") & (F.col("user_id") % 3 == 0)
     viewed = F.when(F.col("name") == "page_view", F.col("micros"))
@@ -147,7 +144,7 @@ def user_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
         "micros",
         gap_micros=GAP_MICROS,
         tie_breakers=["event_id"],
-        latest_before={"last_view": viewed, "last_location": F.col("location")},
+        latest_before={"last_view": viewed, "last_page": F.when(F.col("article").isNotNull(), F.struct("article", "k"))},
         total={"buys": buys.cast("bigint")},
     )
     first_buy = buys & (F.col("buys") == 1)
@@ -158,18 +155,27 @@ def user_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
         "micros",
         "k",
         "article",
-        "location",
         "session_number",
         "session_first_micros",
         "opens_session",
         F.when((F.col("name") == "subscribe") & ~first_buy, "newsletter_signup")
         .otherwise(F.col("name"))
         .alias("name"),
-        F.when(~F.col("opens_session"), F.col("last_location")).alias("referrer"),
+        F.when(~F.col("opens_session"), F.col("last_page")).alias("page_before"),
         ((F.col("name") == "page_view") & no_view_yet).alias("entrance"),
     )
 
 
+def _location(article: Column, k: Column) -> Column:
+    """The page of a hit; null without an article."""
+    suffix = (
+        F.when(k % 10 == 0, F.concat(F.lit("?gclid=g"), k.cast("string")))
+        .when(k % 10 == 1, "?utm_source=x&id=7#top")
+        .otherwise("")
+    )
+    return F.concat(F.lit(ARTICLE_PAGE), article.cast("string"), suffix)
+
+
 def _article_numbers(spark: SparkSession, sf_dir: str) -> Column:
     """Numbers that hits refer to: those of all documents, and two that the CMS lacks."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -395,8 +401,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(hit, F.col("name")).otherwise(F.col("role")).alias("name"),
         F.when(hit, F.col("k")).otherwise(F.lit(-1)).alias("k"),
         F.when(hit, F.col("article")).alias("article"),
-        F.when(hit, F.col("location")).otherwise(HOME_PAGE).alias("location"),
-        F.when(hit, F.col("referrer")).alias("referrer"),
+        F.when(hit, F.col("page_before")).alias("page_before"),
         (hit & F.col("entrance")).alias("entrance"),
     )
     user = F.col("user_id")
@@ -409,10 +414,13 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     # Dealt out by day while the rows are narrow; their records are made after that.
     rows = rows.withColumn("day", F.date_format(F.timestamp_micros("micros"), "yyyyMMdd")).hint("rebalance", "day")
+    opener = F.col("name").isin("session_start", "first_visit")
+    page = _location(F.col("article"), F.col("k"))
+    rows = rows.withColumn("location", F.when(opener, HOME_PAGE).otherwise(page))
+    rows = rows.withColumn("referrer", _location(F.col("page_before.article"), F.col("page_before.k")))
     copies = F.when(F.col("row_id") % 970 == 5, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     rows = rows.withColumn("params", _params()).withColumn("copy", F.explode(copies))
     name, k = F.col("name"), F.col("k")
-    opener = name.isin("session_start", "first_visit")
     denied = user % 50 == 49
     paid_hit = name.isin("subscribe", "newsletter_signup")
     clicked = (name == "page_view") & F.col("location").contains("gclid")

@@ -68,6 +68,8 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
         spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
         # Tasks hold few days each: their wide rows are written to a file a day and not sorted by day.
         spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "64")
+        # A task sorts what it groups before the shuffle: a split of wide hits is to fit its memory.
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "32m")
         inputs = {
             "events": lambda: derived.events(spark, sf_dir),
             "articles": lambda: derived.articles(spark, sf_dir),

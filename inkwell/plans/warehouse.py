@@ -38,7 +38,8 @@ class Relation:
     lookback: Callable[[EngineConfig], int | None] = lambda config: 0
     # Rows that a run adds to those that are there, from its window; nothing that is there changes.
     added: Callable[[_Window, DataFrame], DataFrame] | None = None
-    # Rows come by day, as those of the export do, and are written without a shuffle.
+    # Written whole without a shuffle by day: rows come by day, as those of the export do, or have just been
+    # shuffled by a key as fine as the rows, and each task then writes a file for each of its days.
     dealt: bool = False
     # A relation that a run brings up to date in a way of its own.
     extended: Callable[[Warehouse, dt.date], None] | None = None
@@ -326,7 +327,7 @@ RELATIONS: dict[str, Relation] = {
         lambda w: staging.staged_events(w.relation("base_events"), w.config), "event_date_dt", dealt=True
     ),
     "session_days": Relation(
-        lambda w: sessions.session_days(w.table("staged_events"), w.config), "session_partition_date"
+        lambda w: sessions.session_days(w.table("staged_events"), w.config), "session_partition_date", dealt=True
     ),
     "session_traffic_sources": Relation(
         lambda w: sessions.session_traffic_sources(w.table("session_days"), w.table("source_categories")),
@@ -347,6 +348,7 @@ RELATIONS: dict[str, Relation] = {
     "session_activity": Relation(
         lambda w: sessions.session_activity(w.table("session_days"), w.table("last_non_direct")),
         "session_partition_date",
+        dealt=True,
     ),
     "session_dimension": Relation(
         lambda w: sessions.session_dimension(w.table("session_activity")), "session_partition_date"

@@ -1,14 +1,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import glob
 from types import SimpleNamespace
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from fixtures import registered
 from inkwell.config import EngineConfig
 from inkwell.plans import sessions
+from inkwell.plans.warehouse import RELATIONS
 from inkwell.sources.readers import read_accounts, read_articles, read_events, read_source_categories
 from inkwell.rebuilds import incremental
 from tests.rows import DAY, account, article, export, hit, micros, staged, warehouse
@@ -213,3 +216,12 @@ def test_tables_go_to_the_folder_the_cluster_names():
     assert registered._root(session("local[2]", None)).endswith("/inkwell/app-1")
     with pytest.raises(ValueError, match="shared folder"):
         registered._root(session("yarn", None))
+
+
+def test_session_days_are_written_where_they_were_grouped(spark, tmp_path):
+    """Not shuffled by day after the shuffle by session, and packed."""
+    w = warehouse(spark, tmp_path, [hit("page_view", f"2024-01-0{d}T10:00:00", session=d) for d in (1, 2, 3)])
+    assert by_day(w.table("session_days")) == {f"2024-01-0{d}": 1 for d in (1, 2, 3)}
+    assert RELATIONS["session_days"].dealt and RELATIONS["session_activity"].dealt
+    (file,) = glob.glob(f"{w.root}/session_days/session_partition_date=2024-01-02/*.parquet")
+    assert pq.ParquetFile(file).metadata.row_group(0).column(0).compression == "ZSTD"

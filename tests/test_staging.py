@@ -2,7 +2,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from fixtures import derived
 from inkwell.config import EngineConfig, Parameter
+from inkwell.functions.params import param
 from inkwell.plans import staging
 from inkwell.plans.sessions import session_days
 from tests.rows import export, hit, micros, staged
@@ -94,3 +96,24 @@ def test_conversions_decide_the_columns(spark):
     rows = staged(spark, [hit("sign-up", "2024-01-01T10:00:00"), hit("4th", "2024-01-01T10:00:01")])
     day = session_days(rows, config).first()
     assert (day["sign_up_count"], day["_4th_count"]) == (1, 1)
+
+
+def test_hits_are_shuffled_once_to_be_sessionised(spark, tmp_path):
+    """Rows and the states carried between them come from one exchange; pages are put together after it."""
+    moments = [("2024-01-01 10:00:00", 7), ("2024-01-01 10:05:00", None), ("2024-01-01 10:09:00", 11), ("2024-01-02 10:00:00", 20)]
+    rows = [(n, 3, at, "view", f'{{"k": {k}}}' if k is not None else "{}") for n, (at, k) in enumerate(moments, 1)]
+    events = spark.createDataFrame(rows, "event_id long, user_id long, ts string, event_type string, props string")
+    events.withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(f"{tmp_path}/events.parquet")
+    documents = spark.range(100).withColumnRenamed("id", "doc_id")
+    documents.write.parquet(f"{tmp_path}/documents.parquet")
+    hits = derived.user_hits(spark, str(tmp_path))
+    seen = [(r.article, r.k, r.page_before and tuple(r.page_before)) for r in hits.orderBy("micros").collect()]
+    assert seen == [(14, 7, None), (None, None, (14, 7)), (32, 11, (14, 7)), (48, 20, None)]
+    hits.collect()
+    assert "ReusedExchange" in hits._jdf.queryExecution().executedPlan().toString()
+    pages = derived.events(spark, str(tmp_path)).where("event_name = 'page_view'").orderBy("event_timestamp")
+    location, referrer = (param(F.col("event_params"), n) for n in ("page_location", "page_referrer"))
+    at = derived.ARTICLE_PAGE
+    assert [tuple(r) for r in pages.select(location, referrer).collect()] == [
+        (f"{at}14", None), (None, f"{at}14"), (f"{at}32?utm_source=x&id=7#top", f"{at}14"), (f"{at}48?gclid=g20", None),
+    ]
