@@ -392,34 +392,27 @@ def blocks(documents: DataFrame, members: DataFrame, settings: NearDuplicates) -
     return groups.join(texts, "key").groupBy("bucket", "low", "high").applyInArrow(compared, "a binary, b binary")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(key, component) for all ends of edges; the component is its least key.
+def star_round(edges: DataFrame) -> DataFrame:
+    """Edges (a, b) after a large-star and a small-star step, which keep the components.
 
-    Large-star and small-star steps, each a grouping with a join, until nothing changes. The edges
-    are checkpointed in each round.
+    The least neighbour comes from a window, so a step shuffles the edges once and joins nothing; what both
+    steps give twice is dropped at the end.
     """
 
-    def both_ways(e: DataFrame) -> DataFrame:
-        return e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-
-    def large_star(e: DataFrame) -> DataFrame:
-        near = both_ways(e)
-        least = near.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
-        return (
-            near.where(F.col("b") > F.col("a"))
-            .join(least, "a")
-            .select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .where(F.col("a") != F.col("b"))
-            .distinct()
-        )
+    def with_least(e: DataFrame) -> DataFrame:
+        return e.withColumn("m", F.least("a", F.min("b").over(Window.partitionBy("a"))))
 
-    def small_star(e: DataFrame) -> DataFrame:
-        down = e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        least = down.groupBy("a").agg(F.min("b").alias("m"))
-        moved = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        return (
-            moved.union(least.select("a", F.col("m").alias("b"))).where(F.col("a") != F.col("b")).distinct()
-        )
+    both_ways = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    large = with_least(both_ways).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    ends = F.explode(F.array("a", "b")).alias("a")
+    return with_least(large).select(ends, F.col("m").alias("b")).where("a != b").distinct()
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(key, component) for all ends of edges; the component is its least key.
+
+    Rounds of :func:`star_round` until nothing changes. The edges are checkpointed in each round.
+    """
 
     def state(e: DataFrame) -> tuple:
         row = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -428,7 +421,7 @@ def components(edges: DataFrame) -> DataFrame:
     edges = checkpointed(edges.where(F.col("a") != F.col("b")).distinct())
     before = state(edges)
     while before[0]:
-        edges = checkpointed(small_star(large_star(edges)))
+        edges = checkpointed(star_round(edges))
         now = state(edges)
         if now == before:
             break

@@ -28,6 +28,28 @@ SMALL = "/root/testdata/sf0.001"
 # Near-duplicates
 
 
+def test_rounds_of_components_shuffle_three_times(spark):
+    rng = np.random.default_rng(4)
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (200, 2))] + [(n, n + 1) for n in range(400, 440)]
+    top = {}
+
+    def root(n):
+        while top.setdefault(n, n) != n:
+            n = top[n]
+        return n
+
+    for a, b in edges:
+        if a != b:
+            low, high = sorted((root(a), root(b)))
+            top[high] = low
+    data = [(bytes([a >> 8, a & 255]), bytes([b >> 8, b & 255])) for a, b in edges]
+    links = spark.createDataFrame(data, "a binary, b binary")
+    found = {(bytes(k), bytes(c)) for k, c in omh.components(links).collect()}
+    assert found == {(bytes([n >> 8, n & 255]), bytes([root(n) >> 8, root(n) & 255])) for n in top}
+    plan = omh.star_round(links)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"\bExchange ", plan)) == 3 and "Join" not in plan
+
+
 def levenshtein(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
