@@ -69,25 +69,31 @@ def parameter_columns(parameters: Sequence[Parameter]) -> dict:
     return {p.column: param(pairs, p.key, p.kind) for p in parameters}
 
 
-def with_shared_marks(export: DataFrame, mark: Column, most_marks: int = MOST_MARKS) -> DataFrame:
+def with_shared_marks(
+    export: DataFrame, mark: Column, most_marks: int = MOST_MARKS, among: Column | None = None
+) -> DataFrame:
     """``export`` with ``_shared``: whether a row's mark is that of other rows too.
 
     Marks are found in a narrow pass and sent to all tasks. Beyond ``most_marks`` of them none is
-    sent, and all rows count as sharing theirs.
+    sent, and all rows count as sharing theirs. With ``among``, which is never null, the other rows have
+    no mark and share none.
     """
-    marks = export.select(mark.alias("_mark")).groupBy("_mark").agg(F.count("*").alias("_rows"))
+    among = F.lit(True) if among is None else among
+    own = F.when(among, mark)
+    marks = export.where(among).select(mark.alias("_mark")).groupBy("_mark").agg(F.count("*").alias("_rows"))
     shared = marks.where(F.col("_rows") > 1).select("_mark")
     many = shared.agg(F.count("*") > most_marks).scalar()
-    found = export.join(F.broadcast(shared.where(~many)), mark == F.col("_mark"), "left")
-    return found.withColumn("_shared", F.col("_mark").isNotNull() | many)
+    found = export.join(F.broadcast(shared.where(~many)), own == F.col("_mark"), "left")
+    return found.withColumn("_shared", F.col("_mark").isNotNull() | (among & many)).drop("_mark")
 
 
 def base_events(export: DataFrame, config: EngineConfig) -> DataFrame:
     """Flat, typed and deduplicated hits.
 
     Parameters are read out after the deduplication: the shuffle then carries their
-    array once, and not the values found in it as well. Only rows that share their mark with others can
-    be copies and are shuffled; all others stay in the task that read them.
+    array once, and not the values found in it as well. Only rows that share their identity with others can
+    be copies and are shuffled; all others stay in the task that read them. The identity is looked at, with
+    the parameters, where rows share the mark that does without them.
     """
     pairs = F.col("event_params")
     columns = {
@@ -102,6 +108,7 @@ def base_events(export: DataFrame, config: EngineConfig) -> DataFrame:
     }
     rows = export.filter(F.col("event_date") >= config.start_date)
     rows = with_shared_marks(rows, F.xxhash64(*[columns[name] for name in _MARKS]))
+    rows = with_shared_marks(rows, F.xxhash64(*[columns[name] for name in _IDENTITY]), among=F.col("_shared"))
     flat = [column.alias(name) for name, column in columns.items()]
     order = ("batch_page_id", "batch_ordering_id", "batch_event_index")
     kept = first_copy(

@@ -36,6 +36,23 @@ def test_only_possible_copies_are_shuffled(spark):
     assert len(stayed) == 118 and all(r.task == r.batch_event_index for r in stayed)
 
 
+def test_hits_of_one_moment_that_are_no_copies_stay_where_they_were_read(spark):
+    rows = [hit("scroll", "2024-01-01T10:00:00", n=n) for n in range(80)]
+    rows += [dict(rows[7])]
+    spread = export(spark, rows).repartition(4).withColumn("batch_event_index", F.spark_partition_id().cast("bigint"))
+    base = staging.base_events(spread, EngineConfig())
+    at = base.select("batch_ordering_id", "batch_event_index", F.spark_partition_id().alias("task")).collect()
+    stayed = [r for r in at if r.batch_ordering_id != rows[7]["batch_ordering_id"]]
+    assert len(at) == 80 and len(stayed) == 79 and all(r.task == r.batch_event_index for r in stayed)
+
+
+def test_rows_that_are_left_out_share_no_mark(spark):
+    rows = spark.createDataFrame([(1, 1, True), (2, 1, True), (3, 1, False), (4, 2, False), (5, 3, True)], "id int, mark long, asked boolean")
+    for most, shared in ((1, {1, 2}), (0, {1, 2, 5})):
+        found = staging.with_shared_marks(rows, F.xxhash64("mark"), most, F.col("asked")).collect()
+        assert len(found) == 5 and {r.id for r in found if r._shared} == shared
+
+
 def test_with_too_many_marks_all_rows_share_theirs(spark):
     rows = spark.createDataFrame([(1, 1), (2, 1), (3, 2), (4, 2), (5, 3), (6, None)], "id int, mark long")
     mark = F.xxhash64("mark")
