@@ -41,10 +41,10 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
-    """``df`` as a Parquet table in the shared folder, reread; and its path."""
+def written(df: DataFrame, label: str, by: str | None = None) -> tuple[DataFrame, str]:
+    """``df`` as a Parquet table in the shared folder, reread; and its path. With a folder per value of ``by``."""
     path = f"{shared_folder(df.sparkSession)}/inkwell-llm/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").partitionBy(*([by] if by else [])).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 

@@ -10,6 +10,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -576,6 +577,30 @@ def test_learned_probabilities_sum_to_one(spark):
     assert scores[0] == scores[1]
 
 
+def test_language_model_in_many_chunks_and_blocks(spark):
+    """Pairs travel packed, a row per chunk and block and not one per pair, with the same results."""
+    texts = [prose(i % 7, 40) + " a b a c a b" for i in range(20)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    rows = df.select(F.col("text").alias("_text"), F.lit(True).alias("_train"))
+    found = pitman_yor._chunks(rows, [], 2, pitman_yor.Model(), 0).where("kind <> 'text'").collect()
+    assert len(found) <= 1 + 2 * 2
+    model = pitman_yor.Model(flush=1, block=900)
+    learned = pitman_yor.learn(df, model)
+    words = {bytes(r.word): r for r in learned.words.collect()}
+    gains = {(bytes(r.ctx), bytes(r.word)): 10**r.gain for r in learned.gains.collect()}
+    pairs = {p for t in texts for p in itertools.pairwise([b"", *t.lower().encode().split(), b""])}
+    assert set(gains) == pairs
+    for u, r in words.items():
+        total = sum(x.parent * r.backoff * gains.get((u, w), 1) for w, x in words.items())
+        assert abs(total + learned.unknown * r.backoff - 1) < 1e-9
+
+
+def test_words_that_share_a_hash_are_noticed():
+    words = pa.array([b"a", b"b", b"a", b"c"])
+    assert pitman_yor._merged(np.array([1, 2, 1, 3], np.uint64), words)[3] == 0
+    assert pitman_yor._merged(np.array([1, 1, 1, 3], np.uint64), words)[3] == 1
+
+
 def test_predictive_probabilities_sum_to_one():
     """Of every restaurant, over the vocabulary and the unknown word, whatever the seating."""
     rng = np.random.default_rng(2)
